@@ -9,17 +9,23 @@ score. Scores are a function of the row and the forest alone.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.portable import known
 from martkit.operators.selection import exact_quantile, hash_cut
 
+# Send this module's functions to the Python workers themselves, so that these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, length double"
 EULER_GAMMA = 0.5772156649015329
 POOL_FACTOR = 4  # pool rows per row the trees draw in total, before which all rows are the pool
@@ -61,8 +67,7 @@ def grow_tree(rows: np.ndarray, rng: np.random.Generator, height: int) -> list[t
     return nodes
 
 
-@dataclass(frozen=True)
-class Forest:
+class Forest(NamedTuple):
     """A fitted forest: one row of each array per tree, one column per node."""
 
     feature: np.ndarray
@@ -73,21 +78,20 @@ class Forest:
     height: int
     normal: float
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        """Score of each row in (0, 1); close to 1 means easy to isolate."""
-        total = np.zeros(len(x))
-        row = np.arange(len(x))
-        for feature, cut, left, right, length in zip(
-            self.feature, self.cut, self.left, self.right, self.length, strict=True
-        ):
-            node = np.zeros(len(x), dtype=np.int32)
-            for _ in range(self.height):
-                f = feature[node]
-                go_left = x[row, np.maximum(f, 0)] <= cut[node]
-                node = np.where(go_left, left[node], right[node])  # a leaf points to itself
-            total += length[node]
-        mean = total / len(self.feature)
-        return np.exp2(-mean / self.normal) if self.normal > 0 else np.ones(len(x)) * 0.5
+
+def forest_scores(forest: tuple, x: np.ndarray) -> np.ndarray:
+    """Score of each row in (0, 1); close to 1 means easy to isolate."""
+    features, cuts, lefts, rights, lengths, height, normal = forest
+    total = np.zeros(len(x))
+    row = np.arange(len(x))
+    for feature, cut, left, right, length in zip(features, cuts, lefts, rights, lengths, strict=True):
+        node = np.zeros(len(x), dtype=np.int32)
+        for _ in range(height):
+            go_left = x[row, np.maximum(feature[node], 0)] <= cut[node]
+            node = np.where(go_left, left[node], right[node])  # a leaf points to itself
+        total += length[node]
+    mean = total / len(features)
+    return np.exp2(-mean / normal) if normal > 0 else np.full(len(x), 0.5)
 
 
 @dataclass(frozen=True)
@@ -162,11 +166,11 @@ class IsolationForest:
 
     def score(self, df: DataFrame, forest: Forest) -> DataFrame:
         """Add ``anomaly_score``; the forest goes to each executor once."""
-        shipped = df.sparkSession.sparkContext.broadcast(forest)
+        shipped = df.sparkSession.sparkContext.broadcast(tuple(forest))
 
         def score_batch(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(shipped.value.scores(np.column_stack(batch)))
+                yield pd.Series(forest_scores(shipped.value, np.column_stack(batch)))
 
         scorer = F.pandas_udf(score_batch, "double")
         return df.withColumn("anomaly_score", scorer(*self._values()))
