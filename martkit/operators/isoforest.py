@@ -68,12 +68,14 @@ def grow_tree(rows: np.ndarray, rng: np.random.Generator, height: int) -> list[t
 
 
 class Forest(NamedTuple):
-    """A fitted forest: one row of each array per tree, one column per node."""
+    """A fitted forest: one row per tree, one column per node.
+
+    ``children`` holds two entries per node, right child then left child; a leaf has itself twice.
+    """
 
     feature: np.ndarray
     cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    children: np.ndarray
     length: np.ndarray
     height: int
     normal: float
@@ -81,17 +83,18 @@ class Forest(NamedTuple):
 
 def forest_scores(forest: tuple, x: np.ndarray) -> np.ndarray:
     """Score of each row in (0, 1); close to 1 means easy to isolate."""
-    features, cuts, lefts, rights, lengths, height, normal = forest
-    total = np.zeros(len(x))
-    row = np.arange(len(x))
-    for feature, cut, left, right, length in zip(features, cuts, lefts, rights, lengths, strict=True):
-        node = np.zeros(len(x), dtype=np.int32)
+    features, cuts, families, lengths, height, normal = forest
+    n, k = x.shape
+    values, start = np.ascontiguousarray(x).ravel(), np.arange(n, dtype=np.int64) * k
+    total = np.zeros(n)
+    for feature, cut, children, length in zip(features, cuts, families, lengths, strict=True):
+        node = np.zeros(n, dtype=np.int64)
         for _ in range(height):
-            go_left = x[row, np.maximum(feature[node], 0)] <= cut[node]
-            node = np.where(go_left, left[node], right[node])  # a leaf points to itself
-        total += length[node]
+            goes_left = values.take(start + feature.take(node)) <= cut.take(node)
+            node = children.take(2 * node + goes_left)
+        total += length.take(node)
     mean = total / len(features)
-    return np.exp2(-mean / normal) if normal > 0 else np.full(len(x), 0.5)
+    return np.exp2(-mean / normal) if normal > 0 else np.full(n, 0.5)
 
 
 @dataclass(frozen=True)
@@ -152,17 +155,20 @@ class IsolationForest:
         table, size = self.nodes(df)
         rows = table.toPandas()
         width = int(rows["node"].max()) + 1 if len(rows) else 1
-        shape = (max(1, rows["tree"].nunique()), width)
-        tree = rows["tree"].rank(method="dense").astype(int) - 1
-        arrays = {}
-        for name, kind in (
-            ("feature", np.int32), ("cut", float), ("left", np.int32), ("right", np.int32),
-            ("length", float),
-        ):
-            arrays[name] = np.full(shape, -1 if name == "feature" else 0, dtype=kind)
-            arrays[name][tree, rows["node"]] = rows[name]
+        count = max(1, rows["tree"].nunique())
+        tree = rows["tree"].rank(method="dense").astype(int).to_numpy() - 1
+        node = rows["node"].to_numpy()
+        feature, cut, length = np.zeros((count, width), int), np.zeros((count, width)), np.zeros((count, width))
+        children = np.zeros((count, width, 2), int)
+        feature[tree, node] = np.maximum(rows["feature"], 0)
+        cut[tree, node] = rows["cut"]
+        length[tree, node] = rows["length"]
+        children[tree, node, 0] = rows["right"]
+        children[tree, node, 1] = rows["left"]
         height = max(1, math.ceil(math.log2(max(size, 2))))
-        return Forest(**arrays, height=height, normal=average_path(size))
+        return Forest(
+            feature, cut, children.reshape(count, 2 * width), length, height, average_path(size)
+        )
 
     def score(self, df: DataFrame, forest: Forest) -> DataFrame:
         """Add ``anomaly_score``; the forest goes to each executor once."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.functions.portable import known, nan_to_null, scale_round
-from martkit.operators.selection import exact_quantile, sample_n
+from martkit.operators.selection import exact_quantiles, sample_n
 from martkit.sources.schemas import ML_METRICS
 
 if TYPE_CHECKING:
@@ -42,12 +42,13 @@ TEST_SHARE = 0.2
 SEED = 42
 TREES = 60
 DEPTH = 14
+ROWS_PER_PARTITION = 25_000
 MODEL_NAME = "RandomForestRegressor"
 
 
 def impute_median(df: DataFrame, columns: Sequence[str] = IMPUTED) -> DataFrame:
     """Fill missing values of each column with its exact median; an empty column stays as it is."""
-    medians = {c: exact_quantile(df, c, 0.5) for c in columns}
+    medians = exact_quantiles(df, dict.fromkeys(columns, 0.5))
     return df.withColumns(
         {c: F.coalesce(known(c), F.lit(m).cast("double")) for c, m in medians.items()}
     )
@@ -130,6 +131,16 @@ def fit_price_model(
     return forest.fit(features(train, columns).select("features", target))
 
 
+def settled(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """Put a sample of known size into few partitions in key order, and checkpoint it.
+
+    A sample of a huge table is a few rows in each of its many partitions. Afterwards it has one partition
+    per ``ROWS_PER_PARTITION`` rows, the same on every cluster, so a seeded model comes out the same too.
+    """
+    parts = max(1, -(-rows // ROWS_PER_PARTITION))
+    return df.repartition(parts, key).sortWithinPartitions(key).checkpoint()
+
+
 def score(model: RandomForestRegressionModel, df: DataFrame) -> DataFrame:
     """Add ``prediction``."""
     return model.transform(features(df)).drop("features")
@@ -234,7 +245,7 @@ def train_and_score(
     run_id = run_id or new_run_id()
     needed = {key, TARGET, "pickup_date", "pu_zone", "pu_borough", *FEATURES, *OUTLIER_FEATURES}
     narrow = silver.select(*sorted(needed))
-    sample = sample_n(narrow, sample_rows, key, SEED).checkpoint()
+    sample = settled(sample_n(narrow, sample_rows, key, SEED), key, sample_rows)
     parts = split(prepare(sample), key, TEST_SHARE, f"{SEED}:split")
     model = fit_price_model(parts.train, trees, depth)
     forest = outliers or IsolationForest(columns=OUTLIER_FEATURES, key=key)

@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.functions.portable import as_col, hash_hex, known
+from martkit.functions.portable import hash_hex, known
 
 HEX_STEP = 3  # hexadecimal digits looked at per pass: 4096 buckets
 SMALL = 5_000  # rows of the last bucket that may be listed
@@ -87,34 +87,76 @@ def split(df: DataFrame, key: str, test_share: float = 0.2, seed: int | str = 42
     return Split(df.filter(~in_test), df.filter(in_test), cut.total - cut.size, cut.size)
 
 
-def exact_quantile(df: DataFrame, column: str | Column, q: float) -> float | None:
-    """Quantile of the non-missing values, interpolated between neighbours; None if there are none."""
-    values = df.select(known(as_col(column).cast("double")).alias("x")).filter("x IS NOT NULL")
-    low, high, n = values.agg(F.min("x"), F.max("x"), F.count("x")).first()
-    if not n:
-        return None
-    rank = q * (n - 1)
-    k, share = int(math.floor(rank)), rank - math.floor(rank)
-    inside, after = n, high
-    while low < high and inside > SMALL:
-        place = F.floor((F.col("x") - low) / F.lit(high - low) * BINS)
-        counts = sorted(
-            values.filter(F.col("x").between(low, high))
-            .groupBy(F.least(place, F.lit(BINS - 1)).alias("b"))
+class _Search:
+    """What is known so far about one wanted quantile: its rank lies within [low, high]."""
+
+    def __init__(self, low: float, high: float, n: int, q: float):
+        place = q * (n - 1)
+        self.low, self.high, self.inside, self.after = low, high, n, high
+        self.rank, self.share = math.floor(place), place - math.floor(place)
+
+    @property
+    def open(self) -> bool:
+        return self.low < self.high
+
+    def narrow(self, buckets: list) -> None:
+        """Move to the bucket that holds the rank; buckets come as (count, low, high) in order."""
+        for i, (count, low, high) in enumerate(buckets):
+            if self.rank < count:
+                break
+            self.rank -= count
+        if i + 1 < len(buckets):
+            self.after = buckets[i + 1][1]
+        self.low, self.high, self.inside = low, high, count
+
+    def value(self) -> float:
+        following = self.low if self.rank + 1 < self.inside else self.after
+        return self.low + (following - self.low) * self.share
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
+    """Quantile of the non-missing values of each column, ``{column: q}``, interpolated linearly.
+
+    All columns share the passes. Each pass divides the range left for a column into equal buckets and
+    counts them; no bucket holds both ends of the range, so it shrinks until few rows or one value are left.
+    """
+    names = list(wanted)
+    floats = df.select(*[known(F.col(c).cast("double")).alias(c) for c in names])
+    values = floats.unpivot([], names, "name", "x").filter(F.col("x").isNotNull())
+    ranges = values.groupBy("name").agg(F.min("x"), F.max("x"), F.count("x")).collect()
+    searches = {name: _Search(low, high, n, wanted[name]) for name, low, high, n in ranges}
+
+    def within(some: dict[str, _Search]) -> DataFrame:
+        condition = F.lit(False)
+        for name, s in some.items():
+            condition = condition | ((F.col("name") == name) & F.col("x").between(s.low, s.high))
+        return values.filter(condition)
+
+    while large := {c: s for c, s in searches.items() if s.open and s.inside > SMALL}:
+        place = F.lit(None).cast("double")
+        for name, s in large.items():
+            x, width = F.col("x"), (s.high - s.low) / BINS
+            if 0 < width < math.inf:
+                offset = F.when(x < s.high, (x - s.low) / width).otherwise(BINS - 1.0)
+            else:  # the range is too long or too short to divide: its highest value against the rest
+                offset = F.when(x < s.high, 0.0).otherwise(1.0)
+            place = F.when(F.col("name") == name, offset).otherwise(place)
+        counts = (
+            within(large)
+            .groupBy("name", F.least(F.floor(place), F.lit(BINS - 1)).alias("bucket"))
             .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
             .collect()
         )
-        for i, bucket in enumerate(counts):
-            if k < bucket["n"]:
-                break
-            k -= bucket["n"]
-        if i + 1 < len(counts):
-            after = counts[i + 1]["low"]
-        low, high, inside = bucket["low"], bucket["high"], bucket["n"]
-    if low == high:
-        here, following = low, low if k + 1 < inside else after
-    else:
-        listed = values.filter(F.col("x").between(low, high)).collect()
-        ordered = sorted(row["x"] for row in listed)
-        here, following = ordered[k], ordered[k + 1] if k + 1 < inside else after
-    return here + (following - here) * share
+        for name, s in large.items():
+            mine = sorted((r["bucket"], r["n"], r["low"], r["high"]) for r in counts if r["name"] == name)
+            s.narrow([row[1:] for row in mine])
+    if small := {c: s for c, s in searches.items() if s.open}:
+        listed = within(small).collect()  # at most SMALL values per column
+        for name, s in small.items():
+            s.narrow([(1, x, x) for x in sorted(r["x"] for r in listed if r["name"] == name)])
+    return {name: searches[name].value() if name in searches else None for name in names}
+
+
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    """One quantile; None if the column holds no value."""
+    return exact_quantiles(df, {column: q})[column]

@@ -442,8 +442,8 @@ def _learning_rows(spark, sf_dir) -> DataFrame:
 @query
 def sampled_trips(spark, sf_dir):
     """Exactly 20,000 clean trips, or all of them if there are fewer."""
-    trips = sample_n(_learning_rows(spark, sf_dir), SAMPLE_SIZE, "trip_key", 42)
-    return trips.select("trip_key", "total_amount")
+    trips = clean_trips(raw.raw_trips(spark, sf_dir)).select("trip_key", "total_amount")
+    return sample_n(trips, SAMPLE_SIZE, "trip_key", 42)
 
 
 @query
