@@ -26,8 +26,8 @@ def _present(df: DataFrame, name: str) -> Column:
 
 def _share_text(share: Column, digits: int, after: str) -> Column:
     """Share as percent text; the share of nothing prints as nan."""
-    percent = F.format_string(f"%.{digits}f", share * 100)
-    return F.concat(F.coalesce(percent, F.lit("nan")), F.lit(f"% {after}"))
+    percent = F.when(share.isNotNull(), F.format_string(f"%.{digits}f", share * 100)).otherwise("nan")
+    return F.concat(percent, F.lit(f"% {after}"))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
