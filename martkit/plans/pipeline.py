@@ -132,7 +132,8 @@ class Run:
         self._store(tips_analysis(silver), self.lake.tips, "gold", "tips_analysis")
 
     def check(self) -> None:
-        report = quality_report(read_layer(self.spark, self.lake.silver)).collect()
+        # Read with the schema of the files themselves: a column that should not be there must show.
+        report = quality_report(self.spark.read.parquet(self.lake.silver)).collect()
         failed = sum(1 for r in report if not r["passed"] and r["severity"] == CRITICAL)
         self.record("QualityFailedChecks", failed)
         self.record("QualityRowsTested", report[0]["total_rows"])

@@ -134,6 +134,15 @@ placed AS (
   FROM ready WHERE temp_mean_c IS NOT NULL AND precip_mm IS NOT NULL
 )"""
 
+_GUESS = """
+gm AS (
+  SELECT CAST(pickup_date AS VARCHAR) AS pickup_date, pu_zone, pu_borough, total_amount AS actual_total,
+    ROUND(p, 2) AS predicted_total, ROUND(ABS(total_amount - ROUND(p, 2)), 2) AS abs_error,
+    CAST(ABS(total_amount - p) > 40 AS BIGINT) AS is_anomaly
+  FROM (SELECT *, 12 + trip_distance * 0.25::DOUBLE AS p FROM sv)
+  ORDER BY md5('42:exposed:' || trip_key), trip_key LIMIT 10000
+)"""
+
 _USAGE = f"""
 priced AS (
   SELECT scenario, item, SUM(q / unit_size * unit_price) AS cost
@@ -182,6 +191,10 @@ def ready(text: str) -> str:
     return _with(text, _TRIPS, _ZONES, _WEATHER, _SILVER, _READY)
 
 
+def guess(text: str) -> str:
+    return _with(text, _TRIPS, _ZONES, _WEATHER, _SILVER, _GUESS)
+
+
 def usage(text: str) -> str:
     return _with(text, _USAGE)
 
@@ -455,6 +468,19 @@ def all_oracles() -> dict[str, str]:
                 AVG(ABS(y - 40)) AS flat
               FROM (SELECT total_amount AS y, 12 + trip_distance * 0.25 AS p FROM sv))"""
         ),
+        "guess_mart": guess("SELECT * FROM gm"),
+        "guess_top_errors": guess(
+            """SELECT * FROM gm ORDER BY abs_error DESC, pickup_date, pu_borough, pu_zone, actual_total,
+            predicted_total, is_anomaly LIMIT 100"""
+        ),
+        "guess_anomalies": guess(
+            """SELECT * FROM gm WHERE is_anomaly = 1 ORDER BY abs_error DESC, pickup_date, pu_borough,
+            pu_zone, actual_total, predicted_total LIMIT 20"""
+        ),
+        "guess_scatter": guess(
+            """SELECT actual_total, predicted_total, is_anomaly,
+            (SELECT MAX(actual_total) FROM gm) AS diagonal_end FROM gm"""
+        ),
         "cost_report": usage("SELECT scenario, item, ROUND(cost, 4) AS cost FROM costs"),
         "cost_annualized": usage(
             """SELECT scenario, ROUND(cost * 12, 2) AS yearly_cost FROM costs WHERE item = 'TOTAL'"""

@@ -490,6 +490,37 @@ def regression_metrics(spark, sf_dir):
     )
 
 
+def _guessed(spark, sf_dir) -> DataFrame:
+    """All clean trips scored by the fixed guess, flagged where it is far off: a mart the oracle can check."""
+    guess = F.lit(12.0) + F.col("trip_distance") * 0.25
+    far = F.abs(F.col("total_amount") - guess) > 40
+    scored = _learning_rows(spark, sf_dir).withColumns(
+        {"prediction": guess, "is_anomaly": far.cast("int")}
+    )
+    return learning.prediction_mart(scored, "trip_key")
+
+
+@query
+def guess_mart(spark, sf_dir):
+    """The predictions mart of the fixed guess: 10,000 exposed rows in its published form."""
+    return _guessed(spark, sf_dir)
+
+
+@query
+def guess_top_errors(spark, sf_dir):
+    return reads.top_errors(_guessed(spark, sf_dir), 100)
+
+
+@query
+def guess_anomalies(spark, sf_dir):
+    return reads.top_errors(_guessed(spark, sf_dir), 20, anomalies_only=True)
+
+
+@query
+def guess_scatter(spark, sf_dir):
+    return reads.actual_vs_predicted(_guessed(spark, sf_dir))
+
+
 _learned: dict[tuple[str, str], dict] = {}
 
 

@@ -30,6 +30,24 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(df, con, sql: str) -> str | None:
+    wanted = {r[0]: r[1] for r in con.execute(f"DESCRIBE SELECT * FROM ({sql})").fetchall()}
+    found = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    wrong = {c: (found[c], wanted[c]) for c in found if found[c] != wanted[c]}
+    return f"types {wrong}" if wrong else None
+
+
 def difference(df, con, sql: str) -> str | None:
     """None if columns and all rows agree exactly, else a short account."""
     cursor = con.execute(sql)
@@ -39,7 +57,7 @@ def difference(df, con, sql: str) -> str | None:
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
     found = rows_of(df.columns, df.collect())
     if found == wanted:
-        return None
+        return type_difference(df, con, sql)
     only_found, only_wanted = found - wanted, wanted - found
     return (
         f"rows {sum(found.values())} vs {sum(wanted.values())}; "

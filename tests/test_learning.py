@@ -127,6 +127,25 @@ def test_isolation_forest(spark, rows):
     }
 
 
+def test_scores_equal_a_walk_of_the_node_table(spark):
+    """Brute force: follow every tree row by row through the stored nodes."""
+    data = spark.range(60).selectExpr("id", "sin(id) AS a", "IF(id % 9 = 0, 5D, cos(id)) AS b")
+    forest = IsolationForest(columns=["a", "b"], key="id", trees=7, max_samples=16)
+    table, size = forest.nodes(data)
+    nodes = {(n.tree, n.node): n for n in table.collect()}
+    found = {r.id: r.anomaly_score for r in forest.score(data, forest.fit(data)).collect()}
+    for row in data.collect():
+        lengths = []
+        for tree in range(7):
+            node = nodes[tree, 0]
+            while node.feature >= 0:
+                goes_left = (row.a, row.b)[node.feature] <= node.cut
+                node = nodes[tree, node.left if goes_left else node.right]
+            lengths.append(node.length)
+        wanted = 2 ** (-np.mean(lengths) / average_path(size))
+        assert math.isclose(found[row.id], wanted, rel_tol=1e-12)
+
+
 def test_forest_fits_on_a_bounded_pool(spark):
     """More rows than the pool: trees draw from it and the work of fitting stays the same."""
     data = spark.range(5_000).selectExpr("id", "id % 97 * 1.0 AS a")
