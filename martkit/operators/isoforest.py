@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions.portable import known
 from martkit.operators.selection import exact_quantile, hash_cut
+from martkit.sources.layers import stored
 
 # Send this module's functions to the Python workers themselves, so that these need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -183,7 +184,7 @@ class IsolationForest:
 
     def fit_flag(self, df: DataFrame) -> DataFrame:
         """Fit on df, score it and set ``is_anomaly`` to 1 strictly above the contamination quantile."""
-        scored = self.score(df, self.fit(df)).checkpoint()
+        scored = stored(self.score(df, self.fit(df)), "scored")
         threshold = exact_quantile(scored, "anomaly_score", 1.0 - self.contamination)
         flag = F.col("anomaly_score") > F.lit(threshold)
         return scored.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)).cast("int"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.functions.portable import known, nan_to_null, scale_round
-from martkit.operators.selection import exact_quantiles, sample_n
+from martkit.operators.selection import exact_quantiles, sample_n, split
+from martkit.sources.layers import stored
 from martkit.sources.schemas import ML_METRICS
 
 if TYPE_CHECKING:
@@ -112,12 +113,17 @@ def fit_price_model(
     seed: int = SEED,
     columns: Sequence[str] = FEATURES,
     target: str = TARGET,
+    key: str | None = None,
+    parts: int = 8,
 ) -> RandomForestRegressionModel:
     """Random forest that considers every feature at every split.
 
     More memory for node statistics means fewer passes over the rows, and remembering which node each row
     has reached spares walking all trees again in every pass; together they halve the time of deep trees.
     """
+    rows = features(train, columns).select(*([key] if key else []), "features", target)
+    if key:
+        rows = rows.repartition(parts, key).sortWithinPartitions(key)
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=target,
@@ -129,17 +135,7 @@ def fit_price_model(
         maxMemoryInMB=1024,
         cacheNodeIds=True,
     )
-    return forest.fit(features(train, columns).select("features", target))
-
-
-def settled(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Put a sample of known size into few partitions in key order, and checkpoint it.
-
-    A sample of a huge table is a few rows in each of its many partitions. Afterwards it has one partition
-    per ``ROWS_PER_PARTITION`` rows, the same on every cluster, so a seeded model comes out the same too.
-    """
-    parts = max(1, -(-rows // ROWS_PER_PARTITION))
-    return df.repartition(parts, key).sortWithinPartitions(key).checkpoint()
+    return forest.fit(rows)
 
 
 def score(model: RandomForestRegressionModel, df: DataFrame) -> DataFrame:
@@ -234,21 +230,21 @@ def train_and_score(
 ) -> dict:
     """Sample, prepare, split, fit both models and score the test rows.
 
-    ``key`` names a unique column of silver. The prepared sample and the scored rows are checkpointed in
-    the shared folder: each is read many times, and a lost executor must not retrain or rescore.
+    ``key`` names a unique column of silver. The sample and the scored rows are stored in the shared
+    folder: each is read many times, and a lost executor must not mean sampling or scoring again. The
+    sample is brought into few files first, as it comes in a few rows from each task of a huge table.
     Returns the predictions mart, the metrics document and the model.
     """
     from martkit.operators.isoforest import IsolationForest
-    from martkit.operators.selection import split
-    from martkit.session import shared_folder
 
-    shared_folder(silver.sparkSession)
     run_id = run_id or new_run_id()
     needed = {key, TARGET, "pickup_date", "pu_zone", "pu_borough", *FEATURES, *OUTLIER_FEATURES}
     narrow = silver.select(*sorted(needed))
-    sample = settled(sample_n(narrow, sample_rows, key, SEED), key, sample_rows)
-    parts = split(prepare(sample), key, TEST_SHARE, f"{SEED}:split")
-    model = fit_price_model(parts.train, trees, depth)
+    few = max(1, -(-sample_rows // ROWS_PER_PARTITION))
+    sample = stored(sample_n(narrow, sample_rows, key, SEED).repartition(few, key), "sample")
+    ready = prepare(sample)
+    parts = split(ready, key, TEST_SHARE, f"{SEED}:split")
+    model = fit_price_model(parts.train, trees, depth, key=key, parts=few)
     forest = outliers or IsolationForest(columns=OUTLIER_FEATURES, key=key)
     scored = forest.fit_flag(score(model, parts.test))
     metrics = ml_metrics(

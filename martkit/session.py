@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Model training shuffles arrays of statistics, not SQL rows; Kryo packs those faster.
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # Do not look up the Python call site of every column expression: it doubles plan-building time.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

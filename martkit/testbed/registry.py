@@ -27,7 +27,7 @@ from martkit.operators.selection import sample_n, split
 from martkit.plans import marts
 from martkit.plans.pipeline import Lake
 from martkit.plans.silver import is_rainy, is_rush_hour, is_weekend, time_columns, tip_pct
-from martkit.session import scratch_path, shared_folder
+from martkit.session import scratch_path
 from martkit.sources import landing
 from martkit.sources.documents import to_json_rows
 from martkit.sources.layers import (
@@ -36,6 +36,7 @@ from martkit.sources.layers import (
     month_spans,
     read_folder,
     read_layer,
+    stored,
     write_partitioned,
 )
 from martkit.sources.schemas import DEMAND, LANDED_WEATHER, ML_METRICS
@@ -88,7 +89,7 @@ def month_rewrite(spark, sf_dir):
     foldered = weather.withColumns({"year": F.year(day), "month": F.month(day)})
     write_partitioned(foldered, path, cluster=True)
     again = for_months(read_layer(spark, path, LANDED_WEATHER), CHOSEN_MONTHS[:1])
-    write_partitioned(again.withColumn("precipitation_sum", F.lit(99.0)).checkpoint(), path)
+    write_partitioned(stored(again.withColumn("precipitation_sum", F.lit(99.0)), "month"), path)
     return read_layer(spark, path, LANDED_WEATHER)
 
 
@@ -579,7 +580,6 @@ def actual_vs_predicted(spark, sf_dir):
 @query
 def isolation_forest(spark, sf_dir):
     """Outlier flag for every clean trip."""
-    shared_folder(spark)
     forest = IsolationForest(columns=learning.OUTLIER_FEATURES, key="trip_key")
     trips = _learning_rows(spark, sf_dir).select("trip_key", *learning.OUTLIER_FEATURES)
     return forest.fit_flag(trips)
