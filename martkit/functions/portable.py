@@ -20,14 +20,12 @@ def as_col(c: Name) -> Column:
 
 # --- time ------------------------------------------------------------------------------------------
 
-# Any date before all data: minute numbers counted from here are positive, so truncation is a floor.
-_ORIGIN = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
-
 
 def _minute_number(ts: Column) -> Column:
-    # NTZ subtraction involves no time zone; narrowing the interval to minutes drops the seconds.
-    since = ts.cast("timestamp_ntz") - F.expr(_ORIGIN)
-    return since.cast("interval minute").cast("bigint")
+    # Day, hour and minute of a local time need no time zone; the seconds fall away.
+    local = ts.cast("timestamp_ntz")
+    day = F.unix_date(F.to_date(local)).cast("bigint")
+    return day * 1440 + F.hour(local) * 60 + F.minute(local)
 
 
 def minutes_between(start: Name, end: Name, mode: str = "boundary") -> Column:

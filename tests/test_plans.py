@@ -67,3 +67,36 @@ def test_rankings_do_not_sort_everything(spark, sf_dir):
 
     text = plan(top_zones(adapters.demand(spark, sf_dir)))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_hot_location_is_split_when_joined_by_shuffle(spark):
+    """Two thirds of the trips at one location: its partition is read in several pieces."""
+    from pyspark.sql import functions as F
+
+    from martkit.operators.dimensions import with_zone
+
+    trips = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 1000).alias("loc"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    zones = spark.range(1000).selectExpr("id AS location_id", "concat('b', id) AS borough", "'z' AS zone_name")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        joined = with_zone(trips, zones, "loc", "pu")
+        counts = {r.pu_borough: r["count"] for r in joined.groupBy("pu_borough").count().collect()}
+        assert sum(counts.values()) == 200_000 and counts["b7"] > 133_000
+        rows = joined.filter(F.length("payload") > 0).select("payload", "pu_borough")
+        assert len(rows.collect()) == 200_000
+        final = rows._jdf.queryExecution().executedPlan().toString()
+        assert "skewed" in final.split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
