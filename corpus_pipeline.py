@@ -6,9 +6,10 @@ token ids are not SQL), so ORACLE_SQL is None and the tests hold run() against a
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import blocks, mixing
+from martkit.llm import blocks, mixing, spbpe
 from martkit.sources.layers import stored
 
 
@@ -22,9 +23,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the digests that tell them and their decoding apart."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return spbpe.encode_documents(docs, path, public_tokenizers.PATTERN).drop("decoded")
+
+
 STAGES = [
     ("exact dedup", exact_dedup),
     ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
 ]
 ORACLE_SQL = None
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import blocks, mixing, warc
+from martkit.llm import blocks, dac, mixing, spbpe, warc
 from martkit.llm.common import documents
 
 
@@ -19,6 +20,12 @@ def op1_warc_chunked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op4_addressable_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids written to files in id order and read back; one row per document."""
+    manifest = dac.write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return dac.read_documents(manifest)
+
+
 def op6_exact_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of all documents; one row per document."""
     return blocks.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -29,10 +36,18 @@ def op7_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_sentencepiece_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded; one row per document."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return spbpe.encode_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_chunked_records": op1_warc_chunked_records,
+    "op4_addressable_token_ids": op4_addressable_token_ids,
     "op6_exact_block_naming": op6_exact_block_naming,
     "op7_weighted_fair_mix": op7_weighted_fair_mix,
+    "op8_sentencepiece_byte_bpe": op8_sentencepiece_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
