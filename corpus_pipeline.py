@@ -9,10 +9,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import blocks, mixing, spbpe
+from martkit.llm import blocks, langid, mixing, spbpe
 from martkit.sources.layers import stored
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear stay."""
+    return langid.accepted_documents(docs, langid.learn_languages(docs))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return blocks.drop_exact_copies(docs)
@@ -30,6 +35,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", identify_language),
     ("exact dedup", exact_dedup),
     ("mixing sources to target weights", mix_sources),
     ("byte-level BPE encoding and decoding", encode),

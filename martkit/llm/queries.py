@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import blocks, dac, mixing, spbpe, warc
-from martkit.llm.common import documents
+from martkit.llm import blocks, dac, langid, mixing, secrets, spbpe, syncmers, toxicity, warc
+from martkit.llm.common import documents, held_out
 
 
 def op1_warc_chunked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,12 +20,26 @@ def op1_warc_chunked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op2_language_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; one row per document."""
+    docs = documents(spark, sf_dir)
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn_languages(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op4_addressable_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token ids written to files in id order and read back; one row per document."""
     manifest = dac.write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return dac.read_documents(manifest)
 
 
+def op5_toxicity_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document; one row per document."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_toxicity(docs, toxicity.learn_toxicity(docs, labels))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_exact_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of all documents; one row per document."""
     return blocks.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -42,12 +56,35 @@ def op8_sentencepiece_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spbpe.encode_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op9_secrets_by_trigram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All secrets of every document; one row per document."""
+    found = secrets.scan(documents(spark, sf_dir))
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    of_base = secrets.span_text(F.filter("spans", lambda s: s["kind"].isin(base)))
+    return found.select(
+        "doc_id", *map(number, base), F.sha2(of_base, 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans")
+    )
+
+
+def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text; one row per document."""
+    return syncmers.fingerprints(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_chunked_records": op1_warc_chunked_records,
+    "op2_language_by_compression": op2_language_by_compression,
     "op4_addressable_token_ids": op4_addressable_token_ids,
+    "op5_toxicity_clause_grammar": op5_toxicity_clause_grammar,
     "op6_exact_block_naming": op6_exact_block_naming,
     "op7_weighted_fair_mix": op7_weighted_fair_mix,
     "op8_sentencepiece_byte_bpe": op8_sentencepiece_byte_bpe,
+    "op9_secrets_by_trigram_index": op9_secrets_by_trigram_index,
+    "op10_closed_syncmers": op10_closed_syncmers,
     "pipeline": corpus_pipeline.run,
 }
 
