@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import blocks, langid, mixing, spbpe
+from martkit.llm import blocks, langid, minmax, mixing, spbpe
 from martkit.sources.layers import stored
 
 
@@ -23,6 +23,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return blocks.drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: shingles of five words, similarity 0.8 or more."""
+    return minmax.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
@@ -37,6 +42,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", identify_language),
     ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
     ("mixing sources to target weights", mix_sources),
     ("byte-level BPE encoding and decoding", encode),
 ]

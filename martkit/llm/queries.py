@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import blocks, dac, langid, mixing, secrets, spbpe, syncmers, toxicity, warc
+from martkit.llm import blocks, dac, langid, minmax, mixing, secrets, spbpe, syncmers, toxicity, warc
 from martkit.llm.common import documents, held_out
 
 
@@ -27,6 +27,13 @@ def op2_language_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op3_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on shingles of two words; one row per document."""
+    groups = minmax.near_groups(documents(spark, sf_dir), size=2)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return groups.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op4_addressable_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token ids written to files in id order and read back; one row per document."""
     manifest = dac.write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -78,6 +85,7 @@ def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_chunked_records": op1_warc_chunked_records,
     "op2_language_by_compression": op2_language_by_compression,
+    "op3_minmax_near_duplicates": op3_minmax_near_duplicates,
     "op4_addressable_token_ids": op4_addressable_token_ids,
     "op5_toxicity_clause_grammar": op5_toxicity_clause_grammar,
     "op6_exact_block_naming": op6_exact_block_naming,

@@ -102,7 +102,8 @@ def trigram_query(rule: Rule) -> tuple[frozenset[str], ...] | None:
     found.append(walk(parser.parse(rule.pattern), {""}))
     queries = [[frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in run] for run in found]
     best = max((q for q in queries if q and all(q)), key=lambda q: min(map(len, q)), default=None)
-    return tuple(sorted(set(best), key=sorted)) if best else None
+    # An AND that asks for more than another one adds nothing.
+    return tuple(sorted({q for q in best if not any(o < q for o in best)}, key=sorted)) if best else None
 
 
 def postings(docs: DataFrame, trigrams: Sequence[str], key: Sequence[str] = ("doc_id", "text_hash")) -> DataFrame:
