@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR names the data folder (default sf0.1), BENCH_CPUS the local cores. Each query is built and run
 once in full (every column of every row is produced) in one session, in the order listed; ``land_raw`` is
-the landing of the raw layer that the others read, ``full_pipeline`` the whole run from source files.
+the landing of the raw layer that the others read, ``full_pipeline`` the whole run from source files. The model of
+the learning queries is trained once, in ``price_model``; ``prediction_mart`` and ``top_errors`` read its results.
 """
 
 from __future__ import annotations
@@ -14,9 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from martkit.plans.pipeline import Sources, run_pipeline  # noqa: E402
+from martkit.plans.pipeline import run_pipeline  # noqa: E402
 from martkit.session import local_session, scratch_path  # noqa: E402
-from martkit.sources.landing import ZONE_HEADER  # noqa: E402
 from martkit.testbed import adapters, registry  # noqa: E402
 
 HEADLINE = [
@@ -53,26 +53,6 @@ HEADLINE = [
 ]
 
 
-def prepare_sources(spark, sf_dir: str):
-    """The test trips as one delivered month file, with weather documents and a zone CSV."""
-    from pyspark.sql import functions as F
-
-    root = scratch_path(spark, "bench")
-    drop = ("driver_email", "driver_pseudo", "trip_key", "year", "month")
-    adapters.derive_trips(spark, sf_dir).drop(*drop).write.parquet(f"{root}/trips")
-    days = adapters.derive_weather(spark, sf_dir)
-    names = ["time", *days.columns[1:]]
-    lists = [F.collect_list(c).alias(n) for c, n in zip(days.columns, names, strict=True)]
-    daily = days.groupBy(F.substring("weather_date", 1, 4)).agg(F.struct(*lists).alias("daily"))
-    daily.select(F.to_json(F.struct("daily")).alias("value")).repartition("value").write.option(
-        "maxRecordsPerFile", 1
-    ).text(f"{root}/weather")
-    header = {new: old for old, new in ZONE_HEADER.items()}
-    zones = adapters.derive_zones(spark, sf_dir).withColumnsRenamed(header)
-    zones.coalesce(1).write.option("header", "true").csv(f"{root}/zones")
-    return root, Sources(f"{root}/trips", f"{root}/weather", f"{root}/zones")
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -92,9 +72,9 @@ def main() -> None:
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     if not sys.argv[1:]:
         # The whole run with its default model: land, clean, marts, checks, 60 trees of depth 14, report.
-        root, sources = prepare_sources(spark, sf_dir)
+        sources = adapters.deliver(spark, sf_dir)
         began = time.perf_counter()
-        report = run_pipeline(spark, f"{root}/lake", sources, ["2024-01"], "bench-salt").first()
+        report = run_pipeline(spark, scratch_path(spark, "lake"), sources, ["2024-01"], "bench-salt").first()
         seconds["full_pipeline"] = round(time.perf_counter() - began, 3)
         for step in report["steps"]:
             print(f"  {step['step']}: {step['seconds']}", file=sys.stderr)

@@ -1,7 +1,7 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs.
 
-Fitting looks at a bounded pool of rows whatever the table size; each tree grows from at most
-``max_samples`` rows in its own group. The forest is a node table of at most
+Each tree draws at most ``max_samples`` rows from the whole table, by a hash of the tree and the row, and grows in
+its own group. The forest is a node table of at most
 ``trees * (2 * max_samples - 1)`` rows, so its size is known before it is shipped to the tasks that
 score. Scores are a function of the row and the forest alone.
 """
@@ -17,11 +17,11 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.portable import known
-from martkit.operators.selection import exact_quantile, hash_cut
+from martkit.operators.selection import exact_quantile
 from martkit.sources.layers import stored
 
 # Send this module's functions to the Python workers themselves, so that these need no copy of the package.
@@ -29,7 +29,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, length double"
 EULER_GAMMA = 0.5772156649015329
-POOL_FACTOR = 4  # pool rows per row the trees draw in total, before which all rows are the pool
 
 
 def average_path(n: float) -> float:
@@ -111,21 +110,25 @@ class IsolationForest:
 
     def _draws(self, df: DataFrame) -> tuple[DataFrame, int]:
         """Rows of each tree: ``tree``, ``rank`` within it, and the features; and the sample size."""
-        pool_size = self.trees * self.max_samples * POOL_FACTOR
-        cut = hash_cut(df, self.key, f"{self.seed}:pool", lambda total: pool_size)
-        pool = df.filter(cut.below(self.key, f"{self.seed}:pool")) if cut.total > pool_size else df
-        n = min(cut.total, pool_size)
+        n = df.count()
         size = min(self.max_samples, n)
-        # Twice the rows a tree needs pass the draw on average, so it falls short only if the pool is
-        # smaller than that, and then every pool row passes.
+        # Twice the rows a tree needs pass the draw on average, so it falls short only if the table is
+        # smaller than that, and then every row passes.
         share = min(1.0, 2.0 * size / max(n, 1))
-        draws = 1 << 20
-        mark = F.xxhash64(F.lit(self.seed), F.col("tree"), F.col("_key"))
+        draws = 1 << 40
+
+        def mark(tree) -> Column:
+            return F.xxhash64(F.lit(self.seed), tree, F.col("_key"))
+
+        # The trees that draw a row are found before rows multiply: nearly all rows of a large table have none.
+        trees = F.filter(
+            F.sequence(F.lit(0), F.lit(self.trees - 1)),
+            lambda t: F.pmod(mark(t), F.lit(draws)) < draws * share,
+        )
         drawn = (
-            pool.select(F.col(self.key).cast("string").alias("_key"), *self._values())
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
-            .withColumn("mark", mark)
-            .filter(F.pmod("mark", F.lit(draws)) < draws * share)
+            df.select(F.col(self.key).cast("string").alias("_key"), *self._values())
+            .withColumn("tree", F.explode(trees))
+            .withColumn("mark", mark(F.col("tree")))
         )
         order = Window.partitionBy("tree").orderBy("mark", "_key")
         ranked = drawn.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
@@ -183,8 +186,12 @@ class IsolationForest:
         return df.withColumn("anomaly_score", scorer(*self._values()))
 
     def fit_flag(self, df: DataFrame) -> DataFrame:
-        """Fit on df, score it and set ``is_anomaly`` to 1 strictly above the contamination quantile."""
-        scored = stored(self.score(df, self.fit(df)), "scored")
-        threshold = exact_quantile(scored, "anomaly_score", 1.0 - self.contamination)
+        """Fit on df, score it and set ``is_anomaly`` to 1 strictly above the contamination quantile.
+
+        Only the scores are stored to find the threshold; score and flag of the result are computed where the caller
+        writes it.
+        """
+        scored = self.score(df, self.fit(df))
+        threshold = exact_quantile(stored(scored.select("anomaly_score"), "scores"), "anomaly_score", 1.0 - self.contamination)
         flag = F.col("anomaly_score") > F.lit(threshold)
         return scored.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)).cast("int"))

@@ -37,8 +37,8 @@ TARGET = "total_amount"
 FLAGS = ("is_weekend", "is_rush_hour")
 IMPUTED = ("temp_mean_c", "precip_mm")
 OUTLIER_FEATURES = ("trip_distance", "trip_duration_min", "total_amount", "tip_amount")
-SAMPLE_ROWS = 200_000
-EXPOSED_ROWS = 10_000
+#: Bound on the labelled rows the price model is fitted on; all rows are prepared, split, scored and measured.
+FIT_ROWS = 200_000
 TEST_SHARE = 0.2
 SEED = 42
 TREES = 60
@@ -71,14 +71,15 @@ def features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def regression_metrics(df: DataFrame, y: str | Column, yhat: str | Column) -> DataFrame:
-    """One row with mae, rmse and r2, in one pass.
+def regression_metrics(df: DataFrame, y: str | Column, yhat: str | Column, **more: Column) -> DataFrame:
+    """One row with mae, rmse and r2, and further aggregates of df by name, in one pass.
 
     The spread of the target is taken from its central moment, which Spark merges task by task.
     """
     pair = df.select(
         (F.col(y) if isinstance(y, str) else y).cast("double").alias("y"),
         (F.col(yhat) if isinstance(yhat, str) else yhat).cast("double").alias("p"),
+        *(df.columns if more else []),
     )
     error = F.col("y") - F.col("p")
     spread = F.var_pop("y") * F.count("y")
@@ -87,11 +88,13 @@ def regression_metrics(df: DataFrame, y: str | Column, yhat: str | Column) -> Da
         F.avg(error * error).alias("mse"),
         F.sum(error * error).alias("sse"),
         spread.alias("sst"),
+        *[expr.alias(name) for name, expr in more.items()],
     )
     return sums.select(
         "mae",
         F.sqrt("mse").alias("rmse"),
         (F.lit(1.0) - F.col("sse") / F.when(F.col("sst") > 0, F.col("sst"))).alias("r2"),
+        *more,
     )
 
 
@@ -148,9 +151,9 @@ def abs_error(actual: Column, predicted: Column) -> Column:
     return scale_round(F.abs(actual - predicted), 2)
 
 
-def prediction_mart(scored: DataFrame, key: str, limit: int = EXPOSED_ROWS) -> DataFrame:
-    """The exposed sample of scored test rows (``prediction`` and ``is_anomaly`` present)."""
-    exposed = sample_n(scored, limit, key, f"{SEED}:exposed")
+def prediction_mart(scored: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """All scored test rows (``prediction`` and ``is_anomaly`` present), or a sample of ``limit`` rows."""
+    exposed = scored if limit is None else sample_n(scored, limit, key, f"{SEED}:exposed")
     predicted = scale_round("prediction", 2)
     return exposed.select(
         F.col("pickup_date").cast("string").alias("pickup_date"),
@@ -187,8 +190,8 @@ def ml_metrics(
     run_id: str,
 ) -> DataFrame:
     """The metrics document, one nested row. ``anomalies`` counts all test rows, exposed or not."""
-    base, model = baseline.first(), model_metrics.first()
-    gain = None if not base["mae"] else round((1 - model["mae"] / base["mae"]) * 100, 2)
+    base = baseline.first()
+    model = model_metrics.withColumn("gain", F.round(improvement_pct(F.col("mae"), F.lit(base["mae"])), 2)).first()
 
     def r4(v: float | None) -> float | None:
         return None if v is None else round(v, 4)
@@ -200,7 +203,7 @@ def ml_metrics(
         n_test,
         (r4(base["mae"]), r4(base["rmse"])),
         (r4(model["mae"]), r4(model["rmse"]), r4(model["r2"])),
-        gain,
+        model["gain"],
         importance,
         anomalies,
     )
@@ -222,16 +225,17 @@ def save_model(model: RandomForestRegressionModel, root: str, run_id: str) -> li
 def train_and_score(
     silver: DataFrame,
     key: str,
-    sample_rows: int = SAMPLE_ROWS,
+    fit_rows: int = FIT_ROWS,
     trees: int = TREES,
     depth: int = DEPTH,
     outliers: IsolationForest | None = None,
     run_id: str | None = None,
 ) -> dict:
-    """Sample, prepare, split, fit both models and score the test rows.
+    """Prepare and split all rows, fit both models, score and measure all test rows.
 
-    ``key`` names a unique column of silver. The sample and the scored rows are stored in the shared
-    folder: each is read many times, and a lost executor must not mean sampling or scoring again. The
+    ``key`` names a unique column of silver. Only the rows the price model is fitted on are bounded
+    (``fit_rows``, a sample of the training rows). The needed columns and the scored rows are stored in the shared
+    folder: each is read many times, and a lost executor must not mean cleaning or scoring again. The training
     sample is brought into few files first, as it comes in a few rows from each task of a huge table.
     Returns the predictions mart, the metrics document and the model.
     """
@@ -239,14 +243,13 @@ def train_and_score(
 
     run_id = run_id or new_run_id()
     needed = {key, TARGET, "pickup_date", "pu_zone", "pu_borough", *FEATURES, *OUTLIER_FEATURES}
-    narrow = silver.select(*sorted(needed))
-    few = max(1, -(-sample_rows // ROWS_PER_PARTITION))
-    sample = stored(sample_n(narrow, sample_rows, key, SEED).repartition(few, key), "sample")
-    ready = prepare(sample)
+    ready = prepare(stored(silver.select(*sorted(needed)), "learning-rows"))
     parts = split(ready, key, TEST_SHARE, f"{SEED}:split")
-    model = fit_price_model(parts.train, trees, depth, key=key, parts=few)
+    few = max(1, -(-fit_rows // ROWS_PER_PARTITION))
+    sample = stored(sample_n(parts.train, fit_rows, key, SEED).repartition(few, key), "fit-rows")
+    model = fit_price_model(sample, trees, depth, key=key, parts=few)
     forest = outliers or IsolationForest(columns=OUTLIER_FEATURES, key=key)
-    scored = forest.fit_flag(score(model, parts.test))
+    scored = stored(forest.fit_flag(score(model, parts.test)), "scored")
     metrics = ml_metrics(
         mean_baseline(parts.train, scored),
         regression_metrics(scored, TARGET, "prediction"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from martkit.functions.portable import known
@@ -116,9 +118,9 @@ def quality_report(df: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*structs)))
 
 
-def quality_gate(report: DataFrame) -> list[dict]:
-    """Return the report rows (nine at most), or raise if a critical check failed."""
-    rows = [row.asDict() for row in report.collect()]
+def quality_gate(report: DataFrame | Sequence[Row]) -> list[dict]:
+    """Return the rows of a report (nine at most), or raise if a critical check failed."""
+    rows = [row.asDict() for row in (report.collect() if isinstance(report, DataFrame) else report)]
     failed = [r["name"] for r in rows if not r["passed"] and r["severity"] == CRITICAL]
     if failed:
         raise QualityGateError(f"{len(failed)} critical check(s) failed: {', '.join(failed)}")

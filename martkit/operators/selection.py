@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.functions.portable import hash_hex, known
+from martkit.sources.layers import stored
 
 HEX_STEP = 3  # hexadecimal digits looked at per pass: 4096 buckets
 SMALL = 5_000  # rows of the last bucket that may be listed
@@ -45,7 +46,10 @@ def hash_cut(df: DataFrame, key: str, seed: int | str, size: Callable[[int], int
     while True:
         inside = places.filter(F.col("h").startswith(prefix)) if prefix else places
         width = len(prefix) + HEX_STEP
-        counts = sorted(inside.groupBy(F.substring("h", 1, width).alias("p")).count().collect())
+        counts = inside.groupBy(F.substring("h", 1, width).alias("p")).count().collect()
+        if any(p is None for p, _ in counts):
+            raise ValueError(f"{key} has nulls, so the rows have no order to cut at")
+        counts = sorted(counts)
         if total is None:
             total = sum(c for _, c in counts)
             want = left = size(total)
@@ -68,23 +72,42 @@ def hash_cut(df: DataFrame, key: str, seed: int | str, size: Callable[[int], int
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
-    """Exactly n rows chosen by the hash of a unique key; all rows if there are no more than n."""
-    cut = hash_cut(df, key, seed, lambda total: n)
-    return df.filter(cut.below(key, seed)) if cut.total > n else df
+    """Exactly n rows chosen by the hash of a unique key; all rows if there are no more than n.
+
+    Two scans at any size: one counts, the next stores the rows below a hash that about twice n rows pass, and
+    the exact cut is looked for among these. Should fewer than n pass, the rate is doubled.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    if df.filter(F.col(key).isNull()).limit(1).count():
+        raise ValueError(f"{key} has nulls, so the rows have no order to cut at")
+    share = 2.0 * n / total
+    while share < 1.0:
+        few = stored(df.filter(hash_hex(key, seed) < f"{int(share * 2**64):016x}"), "sample")
+        if few.count() >= n:
+            return few.filter(hash_cut(few, key, seed, lambda _: n).below(key, seed))
+        share *= 2
+    return df.filter(hash_cut(df, key, seed, lambda _: n).below(key, seed))
 
 
 class Split(NamedTuple):
+    """``in_test`` tells the parts apart in one scan of the rows that were split."""
+
     train: DataFrame
     test: DataFrame
     n_train: int
     n_test: int
+    in_test: Column
 
 
 def split(df: DataFrame, key: str, test_share: float = 0.2, seed: int | str = 42) -> Split:
     """Split into train and test; test has exactly ceil(test_share * rows) rows."""
     cut = hash_cut(df, key, seed, lambda total: math.ceil(test_share * total))
     in_test = cut.below(key, seed)
-    return Split(df.filter(~in_test), df.filter(in_test), cut.total - cut.size, cut.size)
+    return Split(df.filter(~in_test), df.filter(in_test), cut.total - cut.size, cut.size, in_test)
 
 
 class _Search:
@@ -119,6 +142,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float
 
     All columns share the passes. Each pass divides the range left for a column into equal buckets and
     counts them; no bucket holds both ends of the range, so it shrinks until few rows or one value are left.
+    Infinite values are buckets of their own, and a range that can't be divided equally is halved, so the number
+    of passes doesn't grow with the number of values.
     """
     names = list(wanted)
     floats = df.select(*[known(F.col(c).cast("double")).alias(c) for c in names])
@@ -136,10 +161,14 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float
         place = F.lit(None).cast("double")
         for name, s in large.items():
             x, width = F.col("x"), (s.high - s.low) / BINS
-            if 0 < width < math.inf:
+            if math.isinf(s.low) or math.isinf(s.high):
+                offset = F.when(x == -math.inf, 0.0).when(x < math.inf, 1.0).otherwise(2.0)
+            elif 0 < width < math.inf:
                 offset = F.when(x < s.high, (x - s.low) / width).otherwise(BINS - 1.0)
-            else:  # the range is too long or too short to divide: its highest value against the rest
-                offset = F.when(x < s.high, 0.0).otherwise(1.0)
+            else:  # too long or too short for equal buckets
+                middle = s.low / 2 + s.high / 2
+                middle = middle if s.low < middle < s.high else s.high
+                offset = F.when(x < middle, 0.0).otherwise(1.0)
             place = F.when(F.col("name") == name, offset).otherwise(place)
         counts = (
             within(large)

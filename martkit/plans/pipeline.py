@@ -11,15 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.operators.dimensions import assert_unique_key
-from martkit.operators.learning import DEPTH, SAMPLE_ROWS, TREES, save_model, train_and_score
-from martkit.operators.quality import CRITICAL, quality_gate, quality_report
+from martkit.operators.learning import DEPTH, FIT_ROWS, TREES, save_model, train_and_score
+from martkit.operators.quality import CRITICAL, QualityGateError, quality_gate, quality_report
 from martkit.operators.runmetrics import STEP_SCHEMA, append_metrics, observed, run_report
 from martkit.plans.marts import demand_by_zone_hour, tips_analysis
 from martkit.plans.silver import build_silver
 from martkit.sources import schemas
 from martkit.sources.documents import to_json_rows, write_metrics
 from martkit.sources.landing import land_trips, land_weather, land_zones
-from martkit.sources.layers import layer_counts, read_layer
+from martkit.sources.layers import for_months, layer_counts, read_layer, write_month
+
+
+#: Carried behind the 26 columns of the clean layer: where a row comes from.
+ROW_KEY = ("_source_file", "_source_row")
 
 
 @dataclass(frozen=True)
@@ -91,7 +95,7 @@ class Run:
     months: Sequence[str]
     salt: str
     domain: str = "example.test"
-    sample_rows: int = SAMPLE_ROWS
+    fit_rows: int = FIT_ROWS
     trees: int = TREES
     depth: int = DEPTH
     recorded: list[tuple[str, float, dict]] = field(default_factory=list)
@@ -126,26 +130,30 @@ class Run:
         weather = read_layer(self.spark, self.lake.weather, schemas.LANDED_WEATHER)
         assert_unique_key(zones, "location_id")
         assert_unique_key(weather.select(F.col("weather_date").cast("date")), "weather_date")
-        self._store(build_silver(trips, zones, weather), self.lake.silver, "silver", "trips")
+        rows = 0
+        for month in self.months:  # the other months of the clean layer stay as they are
+            cleaned = build_silver(for_months(trips, [month]), zones, weather, ROW_KEY)
+            watched = observed(cleaned, f"silver_trips_{month}")
+            write_month(watched.df, self.lake.silver, month)
+            rows += watched.rows
+        self.record("RowsProcessed", rows, layer="silver", table="trips")
         silver = self.silver()
         self._store(demand_by_zone_hour(silver), self.lake.demand, "gold", "demand_by_zone_hour")
         self._store(tips_analysis(silver), self.lake.tips, "gold", "tips_analysis")
 
     def check(self) -> None:
         # Read with the schema of the files themselves: a column that should not be there must show.
-        report = quality_report(self.spark.read.parquet(self.lake.silver)).collect()
+        report = quality_report(self.spark.read.parquet(self.lake.silver).drop("year", "month")).collect()
         failed = sum(1 for r in report if not r["passed"] and r["severity"] == CRITICAL)
         self.record("QualityFailedChecks", failed)
         self.record("QualityRowsTested", report[0]["total_rows"])
-        quality_gate(self.spark.createDataFrame(report))
+        quality_gate(report)
 
     def learn(self) -> None:
-        # A written row is named by its file and its place there: unique, stable and free of charge.
-        place = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        silver = self.silver().withColumn("row_place", place)
-        result = train_and_score(
-            silver, "row_place", self.sample_rows, self.trees, self.depth
-        )
+        # A row is named by its month and its number in what was delivered, however often layers are rebuilt.
+        place = F.concat_ws(":", "year", "month", "_source_row")
+        silver = self._stored_silver().withColumn("row_place", place)
+        result = train_and_score(silver, "row_place", self.fit_rows, self.trees, self.depth)
         result["predictions"].write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
         ).parquet(self.lake.predictions)
@@ -155,8 +163,12 @@ class Run:
         self.record("MLModelMAE", metrics["model_metrics"]["mae"])
         self.record("MLImprovementPct", metrics["improvement_mae_pct"] or 0.0)
 
+    def _stored_silver(self) -> DataFrame:
+        return read_layer(self.spark, self.lake.silver, schemas.STORED_SILVER)
+
     def silver(self) -> DataFrame:
-        return read_layer(self.spark, self.lake.silver, schemas.SILVER_TRIPS)
+        """The 26 columns of the clean layer, all months."""
+        return self._stored_silver().select(schemas.SILVER_TRIPS.names)
 
     def steps(self) -> list[tuple[str, Callable[[], None]]]:
         return [
@@ -167,38 +179,61 @@ class Run:
         ]
 
 
+def _attempted(step: Callable[[], None], attempts: int, delay: float) -> tuple[int, Exception | None]:
+    """Try a step up to ``attempts`` times; a failed check is final. Returns the tries and the last error."""
+    for tried in range(1, attempts + 1):
+        try:
+            step()
+            return tried, None
+        except QualityGateError as error:
+            return tried, error
+        except Exception as error:  # reported, then raised again by the caller
+            if tried == attempts:
+                return tried, error
+            time.sleep(delay)
+    raise ValueError("a step needs at least one attempt")
+
+
 def run_pipeline(
     spark: SparkSession,
     root: str,
     sources: Sources,
     months: Sequence[str],
     salt: str,
+    attempts: int = 3,
+    delay: float = 5.0,
     **options,
 ) -> DataFrame:
-    """Run all steps in order and return the run report; also written below root.
+    """Run all steps in order over some months and return the run report; also written below root.
 
-    The first failing step ends the run: its report is written and its error raised. There is no retry
-    of whole steps here, because Spark repeats failed tasks and stages by itself.
+    Only the given months of the raw and the clean layer are written again; the marts are built from all. A failing
+    step is tried again after ``delay`` seconds (commits, listings and late files are not covered by Spark's own
+    retry of tasks). The first step that stays failed ends the run: its report is written and its error raised.
     """
     run = Run(spark, Lake(root.rstrip("/")), sources, months, salt, **options)
     done: list[tuple[str, str, int, float]] = []
     error: Exception | None = None
     for name, step in run.steps():
-        began = time.monotonic()
-        try:
+        began, before = time.monotonic(), len(run.recorded)
+
+        def again(step=step, before=before) -> None:
+            del run.recorded[before:]  # what a failed try has recorded
             step()
-        except Exception as exc:  # reported, then raised again below
-            error = exc
-        seconds = round(time.monotonic() - began, 1)
-        done.append((name, "FAILED" if error else "OK", 1, seconds))
+
+        tried, error = _attempted(again, attempts, delay)
+        done.append((name, "FAILED" if error else "OK", tried, round(time.monotonic() - began, 1)))
         if error:
             break
-    if run.recorded:
-        append_metrics(spark, f"{run.lake.root}/run_metrics", run.recorded)
-    report = run_report(
-        spark.createDataFrame(done, STEP_SCHEMA), layer_counts(spark, run.lake.counted)
-    )
-    to_json_rows(report, f"{run.lake.root}/pipeline_run_report")
+    try:
+        if run.recorded:
+            append_metrics(spark, f"{run.lake.root}/run_metrics", run.recorded)
+        counts = layer_counts(spark, run.lake.counted)
+        report = run_report(spark.createDataFrame(done, STEP_SCHEMA), counts)
+        to_json_rows(report, f"{run.lake.root}/pipeline_run_report")
+    except Exception as unwritten:
+        if error:
+            raise error from unwritten  # the step's own error matters more than the report
+        raise
     if error:
         raise error
     return report

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
-# Settings the library is tuned for. A cluster keeps its own values for anything it already sets.
+# Settings the library is tuned for; ``configured`` gives them to any builder.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,20 +24,25 @@ DEFAULTS = {
 }
 
 
+_removed_at_end: set[str] = set()
+
+
+def configured(builder: SparkSession.Builder, **extra: str) -> SparkSession.Builder:
+    """A builder with the library's defaults, for a cluster as well; ``extra`` and later settings win."""
+    return builder.config(map={**DEFAULTS, **extra})
+
+
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster the session comes from spark-submit."""
-    builder = SparkSession.builder.master(f"local[{cores}]").appName("martkit")
     settings = {
-        **DEFAULTS,
         "spark.sql.shuffle.partitions": "8" if cores == "*" else str(cores),
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **extra,
     }
-    for key, value in settings.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("martkit")
+    spark = configured(builder, **settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -43,20 +50,37 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, also used by ``DataFrame.checkpoint``.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local session, where driver and
-    executors are one process, may fall back to a temporary folder of this machine.
+    It is the one the session names in ``spark.checkpoint.dir``. Where that is unset, only a session whose driver
+    and executors are one process gets a temporary folder of this machine, and says so.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="martkit-")
+        warnings.warn(f"spark.checkpoint.dir is unset; this local session works in {folder}", stacklevel=3)
         spark.conf.set("spark.checkpoint.dir", folder)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one. It is removed when the driver ends in an orderly way.
+
+    Results are lazy and may read from it until then.
+    """
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/martkit/{context.applicationId}"
+    if folder not in _removed_at_end:
+        _removed_at_end.add(folder)
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(path)  # only what is there can be marked
+        system.deleteOnExit(path)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/martkit/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the run's folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -31,6 +31,9 @@ def write_metrics(df: DataFrame, path: str) -> None:
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Read the metrics document, or one row with an ``error`` column when there is none."""
     try:
-        return spark.read.schema(ML_METRICS).json(path)
+        found = spark.read.schema(ML_METRICS).json(path)
+        if not found.isEmpty():
+            return found
     except AnalysisException:
-        return spark.range(1).select(F.lit(NO_METRICS).alias("error"))
+        pass
+    return spark.range(1).select(F.lit(NO_METRICS).alias("error"))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.portable import nan_to_null
 from martkit.functions.privacy import pseudonymize, synthetic_subject
-from martkit.sources.layers import write_partitioned
+from martkit.sources.layers import write_month
 from martkit.sources.schemas import RAW_ZONES, TRIP_SOURCE, WEATHER_DOCUMENT
 
 # Texts a CSV cell may hold for "missing".
@@ -38,34 +38,57 @@ def with_lineage(df: DataFrame, source: str | Column | None = None) -> DataFrame
     return df.withColumns({"_ingested_at": F.current_timestamp(), "_source_file": origin})
 
 
-def _row_position(df: DataFrame) -> Column:
-    """A position number for each row of a source, read from the scan without a shuffle.
+def _with_row_numbers(groups: list[DataFrame]) -> list[DataFrame]:
+    """Add ``_source_file`` and ``_source_row``: the row's number in its file plus the rows of all files before it.
 
-    In a single file it is the row number from 0. Files of a folder each get their own starting point
-    from their name, so the numbers do not depend on how the files are split into tasks.
+    One rule for any layout: the rows of a month get the same numbers whether they come in one file or in several
+    named in order. The rows per file are counted first (a row per file); the rows themselves aren't shuffled
+    while that table is small enough for Spark to send it along.
     """
-    position = F.col("_metadata.row_index")
-    if len(df.inputFiles()) <= 1:
-        return position
-    return position + F.crc32(F.col("_metadata.file_name").cast("binary"))
+    path = F.col("_metadata.file_path").alias("_path")
+    files = union_by_name([g.groupBy(path).agg(F.count(F.lit(1)).alias("_rows")) for g in groups])
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    name, index = F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.row_index").alias("_index")
+    row = (F.col("_start") + F.col("_index")).alias("_source_row")
+    return [
+        g.select("*", path, name, index).join(starts, "_path").select("*", row).drop("_path", "_index", "_start")
+        for g in groups
+    ]
 
 
-def read_trip_source(spark: SparkSession, src: str) -> DataFrame:
-    """Read one month as delivered and give it the declared names and widths.
+def _by_footer(spark: SparkSession, src: str) -> list[DataFrame]:
+    """The files of a month, grouped by the schema in their footers, which differs where a column's width drifted."""
+    whole = spark.read.parquet(src)
+    files = whole.inputFiles()  # those of one month's delivery
+    if len(files) == 1:
+        return [whole]
+    groups: dict[str, list[str]] = {}
+    for path in files:
+        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    return [whole] if len(groups) == 1 else [spark.read.parquet(*paths) for paths in groups.values()]
 
-    A month is read with its own footer schema and cast, which covers every drift of width or letter
-    case; columns beyond the declared ones are kept as they are, declared ones it lacks are null.
-    """
-    found = spark.read.parquet(src)
-    have = {c.lower(): c for c in found.columns}
+
+def _declared(found: DataFrame) -> DataFrame:
+    """Declared names and widths first, columns beyond them as they are; declared ones it lacks are null."""
+    lineage = [c for c in found.columns if c.startswith("_source_")]
+    have = {c.lower(): c for c in found.columns if c not in lineage}
     declared = [
         (F.col(have[f.name]) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in TRIP_SOURCE.fields
     ]
     known_names = {f.name for f in TRIP_SOURCE.fields}
-    extras = [F.col(c).alias(c.lower()) for c in found.columns if c.lower() not in known_names]
-    place = _row_position(found).alias("_row")
-    return found.select(*declared, *extras, place, F.col("_metadata.file_name").alias("_source_file"))
+    extras = [F.col(c).alias(low) for low, c in have.items() if low not in known_names]
+    return found.select(*declared, *extras, *lineage)
+
+
+def read_trip_source(spark: SparkSession, src: str) -> DataFrame:
+    """Read one month as delivered and give it the declared names and widths, ``_source_file`` and ``_source_row``.
+
+    Each file is read with the schema of its own footer and cast, which covers drift of width or letter case
+    between months and between the files of a month.
+    """
+    return union_by_name([_declared(g) for g in _with_row_numbers(_by_footer(spark, src))])
 
 
 def land_trips(
@@ -73,19 +96,15 @@ def land_trips(
 ) -> int:
     """Land one month of trips under ``root/year=/month=`` and return how many rows were written.
 
-    Adds the invented subject of each trip (fixed by its row position), its pseudonym and the lineage.
-    The count is observed while the rows are written; nothing is read twice.
+    Adds the invented subject of each trip (fixed by its row number), its pseudonym and the lineage. The month's
+    folder is replaced, also by a delivery without rows. The count is observed while the rows are written.
     """
-    year, number = month.split("-")
     trips = nan_to_null(read_trip_source(spark, src))
-    trips = trips.withColumn("driver_email", synthetic_subject("_row", domain)).drop("_row")
+    trips = trips.withColumn("driver_email", synthetic_subject("_source_row", domain))
     trips = trips.withColumn("driver_pseudo", pseudonymize("driver_email", salt))
-    lineage = F.col("_source_file")
-    landed = with_lineage(trips, lineage).withColumns(
-        {"year": F.lit(int(year)), "month": F.lit(number)}
-    )
+    landed = with_lineage(trips, F.col("_source_file"))
     written = Observation(f"land_trips_{month}")
-    write_partitioned(landed.observe(written, F.count(F.lit(1)).alias("rows")), root)
+    write_month(landed.observe(written, F.count(F.lit(1)).alias("rows")), root, month)
     return written.get["rows"]
 
 
@@ -115,13 +134,10 @@ def load_weather(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_weather(spark: SparkSession, src: str, root: str, month: str) -> int:
-    """Land one month of daily weather under ``root/year=/month=``."""
-    year, number = month.split("-")
+    """Land one month of daily weather under ``root/year=/month=``; that folder is replaced."""
     written = Observation(f"land_weather_{month}")
-    days = nan_to_null(load_weather(spark, src)).withColumns(
-        {"year": F.lit(int(year)), "month": F.lit(number)}
-    )
-    write_partitioned(days.observe(written, F.count(F.lit(1)).alias("rows")), root)
+    days = nan_to_null(load_weather(spark, src))
+    write_month(days.observe(written, F.count(F.lit(1)).alias("rows")), root, month)
     return written.get["rows"]
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,14 @@ def write_partitioned(
     )
 
 
+def write_month(df: DataFrame, root: str, month: str) -> None:
+    """Replace the folder ``root/year=2024/month=01`` by df, also when df has no row."""
+    year, number = month.split("-")
+    plain = df.drop("year", "month")
+    place = f"{root}/year={int(year)}/month={int(number):02d}"
+    plain.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and continue from the file.
 
@@ -137,15 +146,12 @@ def for_months(df: DataFrame, months: Sequence[str]) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, layers: Mapping[str, str]) -> DataFrame:
-    """Rows per layer, ``{name: path}``; a layer that is not there counts as null."""
-    parts = []
+    """Rows per layer, ``{name: path}``; a layer that is not there, or can't be read, counts as null."""
+    counts = []
     for name, path in layers.items():
         try:
-            rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
-        except AnalysisException:
-            rows = spark.range(1).select(F.lit(None).cast("bigint").alias("row_count"))
-        parts.append(rows.select(F.lit(name).alias("layer"), "row_count"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+            rows = spark.read.parquet(path).count()
+        except (AnalysisException, PySparkException, Py4JJavaError):
+            rows = None
+        counts.append((name, rows))
+    return spark.createDataFrame(counts, "layer string, row_count bigint")

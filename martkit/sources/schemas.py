@@ -38,7 +38,7 @@ TRIP_SOURCE = _schema(
 RAW_TRIPS = T.StructType(
     TRIP_SOURCE.fields + _schema(driver_email=_STRING, driver_pseudo=_STRING).fields
 )
-LINEAGE = _schema(_ingested_at=_UTC, _source_file=_STRING)
+LINEAGE = _schema(_ingested_at=_UTC, _source_file=_STRING, _source_row=_LONG)
 MONTH_FOLDERS = _schema(year=_INT, month=_STRING)
 LANDED_TRIPS = T.StructType(RAW_TRIPS.fields + LINEAGE.fields + MONTH_FOLDERS.fields)
 
@@ -94,6 +94,10 @@ SILVER_TRIPS = _schema(
     precip_mm=_DOUBLE,
     driver_pseudo=_STRING,
 )
+# The clean layer as the pipeline stores it: with the rows' origin, in month folders.
+STORED_SILVER = T.StructType(
+    SILVER_TRIPS.fields + _schema(_source_file=_STRING, _source_row=_LONG).fields + MONTH_FOLDERS.fields
+)
 DEMAND = _schema(
     pu_borough=_STRING,
     pu_zone=_STRING,

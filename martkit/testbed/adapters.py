@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 from martkit.functions.privacy import pseudonymize, synthetic_subject
 from martkit.plans.marts import demand_by_zone_hour, tips_analysis
+from martkit.plans.pipeline import Sources
 from martkit.plans.silver import build_silver
 from martkit.session import scratch_path
+from martkit.sources.landing import ZONE_HEADER
 from martkit.sources.layers import read_layer, write_partitioned
 from martkit.sources.schemas import RAW_WEATHER, RAW_ZONES
 
@@ -121,6 +123,23 @@ def derive_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deliver(spark: SparkSession, sf_dir: str) -> Sources:
+    """All test trips as one delivered month in files that are in key order, weather documents, and a zone CSV."""
+    root = scratch_path(spark, "delivered")
+    trips = derive_trips(spark, sf_dir).drop("driver_email", "driver_pseudo", "year", "month")
+    trips.repartitionByRange("trip_key").sortWithinPartitions("trip_key").write.parquet(f"{root}/trips")
+    days = derive_weather(spark, sf_dir)
+    names = ["time", *days.columns[1:]]
+    lists = [F.collect_list(c).alias(n) for c, n in zip(days.columns, names, strict=True)]
+    daily = days.groupBy(F.substring("weather_date", 1, 4)).agg(F.struct(*lists).alias("daily"))
+    daily.select(F.to_json(F.struct("daily")).alias("value")).repartition("value").write.option(
+        "maxRecordsPerFile", 1
+    ).text(f"{root}/weather")
+    zones = derive_zones(spark, sf_dir).withColumnsRenamed({new: old for old, new in ZONE_HEADER.items()})
+    zones.write.option("header", "true").csv(f"{root}/zones")
+    return Sources(f"{root}/trips", f"{root}/weather", f"{root}/zones")
+
+
 _landed: dict[tuple[str, str, str], DataFrame] = {}
 
 

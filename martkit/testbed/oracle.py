@@ -147,7 +147,6 @@ gm AS (
     ROUND(p, 2) AS predicted_total, ROUND(ABS(total_amount - ROUND(p, 2)), 2) AS abs_error,
     CAST(ABS(total_amount - p) > 40 AS BIGINT) AS is_anomaly
   FROM (SELECT *, 12 + trip_distance * 0.25::DOUBLE AS p FROM sv)
-  ORDER BY md5('42:exposed:' || trip_key), trip_key LIMIT 10000
 )"""
 
 _USAGE = f"""
@@ -302,6 +301,29 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT 'gold_ml_predictions', NULL""",
             _TRIPS, _ZONES, _WEATHER, _SILVER, _DEMAND, _TIPS,
         ),
+        "landed_trips": trips(
+            """SELECT trip_key, CAST(vendorid AS BIGINT) AS vendorid, fare_amount, email AS driver_email,
+            left(sha256('"""
+            + SALT
+            + """' || email), 16) AS driver_pseudo, n AS _source_row, 2024 AS year, TRUE AS stamped FROM (
+              SELECT *, 'driver' || CAST(CAST(n AS HUGEINT) * 2654435761 % 5000 AS VARCHAR) || '@example.test' AS email
+              FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY trip_key) - 1 AS n FROM bt))"""
+        ),
+        "lake_build": _with(
+            """SELECT 'silver_trips' AS layer, COUNT(*) AS row_count FROM sv
+            UNION ALL SELECT 'gold_demand_by_zone_hour', COUNT(*) FROM dm
+            UNION ALL SELECT 'gold_tips_analysis', COUNT(*) FROM tp""",
+            _TRIPS, _ZONES, _WEATHER, _SILVER, _DEMAND, _TIPS,
+        ),
+        "external_table": demand("SELECT * FROM dm"),
+        "table_as_select": demand("SELECT * FROM dm WHERE trips >= 6"),
+        "rebuilt_table": demand("SELECT * FROM dm WHERE pickup_hour < 12"),
+        "view_read": tips("SELECT pu_borough, payment_type, trips FROM tp WHERE is_rainy"),
+        "key_guard": """SELECT 'zones' AS table_name, 'location_id' AS key_name,
+              COUNT(DISTINCT n_nationkey) = COUNT(*) AS is_unique FROM nation
+            UNION ALL SELECT 'orders', 'o_orderkey', COUNT(DISTINCT o_orderkey) = COUNT(*) FROM orders
+            UNION ALL SELECT 'orders', 'o_custkey', COUNT(DISTINCT o_custkey) = COUNT(*) FROM orders""",
+        "observed_counts": demand("SELECT COUNT(*) AS row_count, CAST(SUM(trips) AS BIGINT) AS trips FROM dm"),
         "month_list": """SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month,
             CAST(date_trunc('month', o_orderdate) AS DATE) AS first_day,
             last_day(CAST(o_orderdate AS DATE)) AS last_day FROM orders""",
@@ -475,6 +497,39 @@ def all_oracles() -> dict[str, str]:
             """SELECT actual_total, predicted_total, is_anomaly,
             (SELECT MAX(actual_total) FROM gm) AS diagonal_end FROM gm"""
         ),
+        "guess_metrics_document": ready(
+            f"""SELECT 'fixed' AS run_id, 'RandomForestRegressor' AS model, n_train, n_test,
+            ROUND(base_mae, 4) AS base_mae, ROUND(base_rmse, 4) AS base_rmse, ROUND(mae, 4) AS mae,
+            ROUND(rmse, 4) AS rmse, ROUND(1 - sse / sst, 4) AS r2,
+            ROUND((1 - mae / base_mae) * 100, 2) AS improvement_mae_pct, far AS anomalies_detected
+            FROM (SELECT {metrics}, SUM((y - p) * (y - p)) AS sse, VAR_POP(y) * COUNT(*) AS sst,
+                COUNT(*) AS n_test, COUNT(*) FILTER (WHERE ABS(y - p) > 40) AS far,
+                AVG(ABS(y - m)) AS base_mae, SQRT(AVG((y - m) * (y - m))) AS base_rmse
+              FROM (SELECT total_amount AS y, 12 + trip_distance * 0.25 AS p,
+                (SELECT AVG(total_amount) FROM placed WHERE NOT in_test) AS m FROM placed WHERE in_test)),
+            (SELECT COUNT(*) AS n_train FROM placed WHERE NOT in_test)"""
+        ),
+        "importance_listing": silver(
+            """SELECT pu_borough AS variable, CAST(COUNT(*) AS DOUBLE) AS importance FROM sv
+            WHERE pu_borough IS NOT NULL GROUP BY 1"""
+        ),
+        "trained_facts": ready(
+            """SELECT COUNT(*) FILTER (WHERE NOT in_test) AS n_train, COUNT(*) FILTER (WHERE in_test) AS n_test,
+            COUNT(*) FILTER (WHERE in_test) AS rows, TRUE AS shares_add_up,
+            TRUE AS few_flagged FROM placed"""
+        ),
+        "scored_test_rows": ready(
+            """SELECT CAST(pickup_date AS VARCHAR) AS pickup_date, pu_zone, pu_borough,
+            total_amount AS actual_total FROM placed WHERE in_test"""
+        ),
+        "fixed_forest_scores": silver(
+            """SELECT trip_key, ROUND(s, 6) AS anomaly_score, CAST(s > 0.6 AS INTEGER) AS is_anomaly FROM (
+              SELECT trip_key, pow(2.0, -(a + b) / 2 / 4.0) AS s FROM (
+                SELECT trip_key,
+                  CASE WHEN total_amount <= 20 THEN CASE WHEN trip_distance <= 60 THEN 2.0 ELSE 3.0 END
+                       ELSE CASE WHEN trip_duration_min <= 100 THEN 3.5 ELSE 1.0 END END AS a,
+                  CASE WHEN total_amount <= 30 THEN 4.0 ELSE 1.5 END AS b FROM sv))"""
+        ),
         "cost_report": usage("SELECT scenario, item, ROUND(cost, 4) AS cost FROM costs"),
         "cost_annualized": usage(
             """SELECT scenario, ROUND(cost * 12, 2) AS yearly_cost FROM costs WHERE item = 'TOTAL'"""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,22 +22,26 @@ from martkit.functions.portable import (
 from martkit.functions.privacy import protect, pseudonymize, synthetic_subject
 from martkit.operators import cost, learning, quality, reads
 from martkit.operators.cleaning import clean_trips, rejected_rows
-from martkit.operators.dimensions import enrich, with_daily, with_zone
+from martkit.operators.dimensions import assert_unique_key, enrich, with_daily, with_zone
 from martkit.operators.grouping import suppressed_groups, top_k
-from martkit.operators.isoforest import IsolationForest
+from martkit.operators.isoforest import Forest, IsolationForest
+from martkit.operators.runmetrics import Observed
 from martkit.operators.selection import sample_n, split
 from martkit.plans import marts
-from martkit.plans.pipeline import Lake
+from martkit.plans.pipeline import Lake, Run
 from martkit.plans.silver import is_rainy, is_rush_hour, is_weekend, time_columns, tip_pct
 from martkit.session import scratch_path
 from martkit.sources import landing
-from martkit.sources.documents import to_json_rows
+from martkit.sources.documents import read_metrics, to_json_rows, write_metrics
 from martkit.sources.layers import (
+    build_table,
     for_months,
     layer_counts,
     month_spans,
     read_folder,
     read_layer,
+    register_table,
+    register_views,
     stored,
     write_partitioned,
 )
@@ -47,8 +53,6 @@ _QUERIES: dict[str, Query] = {}
 
 SAMPLE_SIZE = 20_000
 CHOSEN_MONTHS = ("1996-01", "1996-02", "1999-12")
-# Small forest for the registered queries; the library default is 60 trees of depth 14.
-QUERY_TREES, QUERY_DEPTH = 20, 8
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
 
@@ -146,6 +150,86 @@ def layer_row_counts(spark, sf_dir):
     return layer_counts(spark, {**lake.counted, "gold_ml_predictions": lake.predictions})
 
 
+@query
+def landed_trips(spark, sf_dir):
+    """A month delivered in several files, landed: rows are numbered over the files, subjects follow the number."""
+    root = scratch_path(spark, "landed")
+    landing.land_trips(spark, raw.deliver(spark, sf_dir).trips, root, "2024-01", raw.SALT, raw.DOMAIN)
+    trips = spark.read.parquet(root)
+    return trips.select(
+        "trip_key", "vendorid", "fare_amount", "driver_email", "driver_pseudo", "_source_row", "year",
+        F.col("_ingested_at").isNotNull().alias("stamped"),
+    )
+
+
+@query
+def lake_build(spark, sf_dir):
+    """Rows per layer after a run has landed and built everything from delivered files."""
+    run = Run(spark, Lake(scratch_path(spark, "lake")), raw.deliver(spark, sf_dir), ["2024-01"], raw.SALT)
+    run.land()
+    run.transform()
+    return layer_counts(spark, run.lake.counted)
+
+
+def _table_name() -> str:
+    return f"testbed_{uuid.uuid4().hex[:12]}"
+
+
+@query
+def external_table(spark, sf_dir):
+    """The demand mart as a table declared over its files."""
+    path, name = scratch_path(spark, "external"), _table_name()
+    raw.demand(spark, sf_dir).write.parquet(path)
+    register_table(spark, name, DEMAND, path)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+@query
+def table_as_select(spark, sf_dir):
+    """A table made from a query."""
+    busy = raw.demand(spark, sf_dir).filter("trips >= 6")
+    return build_table(spark, _table_name(), busy, scratch_path(spark, "table"), replace=False)
+
+
+@query
+def rebuilt_table(spark, sf_dir):
+    """A table built again replaces its rows."""
+    name, path = _table_name(), scratch_path(spark, "table")
+    demand = raw.demand(spark, sf_dir)
+    build_table(spark, name, demand, path)
+    return build_table(spark, name, demand.filter("pickup_hour < 12"), path)
+
+
+@query
+def view_read(spark, sf_dir):
+    """A mart by the name of a view."""
+    name = _table_name()
+    register_views(spark, {name: raw.tips(spark, sf_dir)})
+    return spark.sql(f"SELECT pu_borough, payment_type, trips FROM {name} WHERE is_rainy")
+
+
+@query
+def key_guard(spark, sf_dir):
+    """Which columns may serve as a dimension's key."""
+    found = []
+    orders, zones = raw.driver_table(spark, sf_dir, "orders"), raw.raw_zones(spark, sf_dir)
+    for table, df, key in (("zones", zones, "location_id"), ("orders", orders, "o_orderkey"), ("orders", orders, "o_custkey")):
+        try:
+            assert_unique_key(df, key)
+            found.append((table, key, True))
+        except ValueError:
+            found.append((table, key, False))
+    return spark.createDataFrame(found, "table_name string, key_name string, is_unique boolean")
+
+
+@query
+def observed_counts(spark, sf_dir):
+    """Rows and total trips of a mart, counted while it was written."""
+    watched = Observed(raw.demand(spark, sf_dir), "demand", {}, trips=F.sum("trips"))
+    watched.df.write.parquet(scratch_path(spark, "observed"))
+    return spark.createDataFrame([(watched.rows, watched.values["trips"])], "row_count bigint, trips bigint")
+
+
 @query
 def month_list(spark, sf_dir):
     """Months with orders, given as one comma-separated list per year, with their first and last day."""
@@ -440,6 +524,12 @@ def _learning_rows(spark, sf_dir) -> DataFrame:
     return raw.silver(spark, sf_dir, ("trip_key",))
 
 
+def _narrow_rows(spark, sf_dir) -> DataFrame:
+    """Key, features and target, stored: the searches of ranks read these files instead of cleaning again."""
+    narrow = _learning_rows(spark, sf_dir).select("trip_key", *learning.FEATURES, learning.TARGET)
+    return stored(narrow, "narrow")
+
+
 @query
 def sampled_trips(spark, sf_dir):
     """Exactly 20,000 clean trips, or all of them if there are fewer."""
@@ -449,7 +539,7 @@ def sampled_trips(spark, sf_dir):
 
 @query
 def impute_median(spark, sf_dir):
-    filled = learning.impute_median(_learning_rows(spark, sf_dir))
+    filled = learning.impute_median(_narrow_rows(spark, sf_dir))
     return filled.select("trip_key", "temp_mean_c", "precip_mm")
 
 
@@ -459,21 +549,30 @@ def complete_rows(spark, sf_dir):
     return learning.complete_rows(_learning_rows(spark, sf_dir)).select("trip_key", "temp_mean_c")
 
 
-def _parts(spark, sf_dir):
-    return split(learning.prepare(_learning_rows(spark, sf_dir)), "trip_key", 0.2, "42:split")
+def _guess():
+    """A fixed linear guess of the total, which the oracle can state."""
+    return F.lit(12.0) + F.col("trip_distance") * 0.25
+
+
+def _ready_rows(spark, sf_dir) -> DataFrame:
+    return learning.prepare(_narrow_rows(spark, sf_dir))
+
+
+def _split(rows):
+    return split(rows, "trip_key", 0.2, "42:split")
 
 
 @query
 def split_rows(spark, sf_dir):
     """Which part each prepared trip belongs to."""
-    parts = _parts(spark, sf_dir)
-    train = parts.train.select("trip_key", F.lit("train").alias("part"))
-    return train.unionByName(parts.test.select("trip_key", F.lit("test").alias("part")))
+    rows = _ready_rows(spark, sf_dir)
+    part = F.when(_split(rows).in_test, "test").otherwise("train").alias("part")
+    return rows.select("trip_key", part)
 
 
 @query
 def mean_baseline(spark, sf_dir):
-    parts = _parts(spark, sf_dir)
+    parts = _split(_ready_rows(spark, sf_dir))
     errors = learning.mean_baseline(parts.train, parts.test)
     return errors.select(scale_round("mae", 4).alias("mae"), scale_round("rmse", 4).alias("rmse"))
 
@@ -482,9 +581,8 @@ def mean_baseline(spark, sf_dir):
 def regression_metrics(spark, sf_dir):
     """Errors of a fixed linear guess on all clean trips, and its gain over a guess of 40."""
     trips = _learning_rows(spark, sf_dir)
-    guess = F.lit(12.0) + F.col("trip_distance") * 0.25
-    flat = learning.regression_metrics(trips, "total_amount", F.lit(40.0)).select("mae").scalar()
-    m = learning.regression_metrics(trips, "total_amount", guess).withColumn("flat", flat)
+    flat = F.abs(F.col("total_amount") - 40.0)
+    m = learning.regression_metrics(trips, "total_amount", _guess(), flat=F.avg(flat))
     return m.select(
         *[scale_round(c, 4).alias(c) for c in ("mae", "rmse", "r2")],
         scale_round(learning.improvement_pct(F.col("mae"), F.col("flat")), 2).alias("gain_pct"),
@@ -493,17 +591,16 @@ def regression_metrics(spark, sf_dir):
 
 def _guessed(spark, sf_dir) -> DataFrame:
     """All clean trips scored by the fixed guess, flagged where it is far off: a mart the oracle can check."""
-    guess = F.lit(12.0) + F.col("trip_distance") * 0.25
-    far = F.abs(F.col("total_amount") - guess) > 40
+    far = F.abs(F.col("total_amount") - _guess()) > 40
     scored = _learning_rows(spark, sf_dir).withColumns(
-        {"prediction": guess, "is_anomaly": far.cast("int")}
+        {"prediction": _guess(), "is_anomaly": far.cast("int")}
     )
     return learning.prediction_mart(scored, "trip_key")
 
 
 @query
 def guess_mart(spark, sf_dir):
-    """The predictions mart of the fixed guess: 10,000 exposed rows in its published form."""
+    """The predictions mart of the fixed guess: all rows in its published form."""
     return _guessed(spark, sf_dir)
 
 
@@ -529,9 +626,7 @@ def _learn(spark, sf_dir) -> dict:
     """Train and score once per session; the results are checkpointed tables and a model."""
     asked = (spark.sparkContext.applicationId, sf_dir)
     if asked not in _learned:
-        _learned[asked] = learning.train_and_score(
-            _learning_rows(spark, sf_dir), "trip_key", trees=QUERY_TREES, depth=QUERY_DEPTH
-        )
+        _learned[asked] = learning.train_and_score(_learning_rows(spark, sf_dir), "trip_key")
     return _learned[asked]
 
 
@@ -577,6 +672,69 @@ def actual_vs_predicted(spark, sf_dir):
     return reads.actual_vs_predicted(_learn(spark, sf_dir)["predictions"])
 
 
+@query
+def guess_metrics_document(spark, sf_dir):
+    """A metrics document written and read back: the split's baseline, and the fixed guess on its test rows."""
+    path = scratch_path(spark, "guess-metrics")
+    parts = _split(stored(_ready_rows(spark, sf_dir), "ready"))
+    errors = learning.regression_metrics(parts.test, "total_amount", _guess())
+    far = parts.test.filter(F.abs(F.col("total_amount") - _guess()) > 40).count()
+    baseline = learning.mean_baseline(parts.train, parts.test)
+    document = learning.ml_metrics(baseline, errors, {}, parts.n_train, parts.n_test, far, "fixed")
+    write_metrics(document, path)
+    return read_metrics(spark, path).select(
+        "run_id", "model", "n_train", "n_test", F.col("baseline.mae").alias("base_mae"),
+        F.col("baseline.rmse").alias("base_rmse"), "model_metrics.mae", "model_metrics.rmse", "model_metrics.r2",
+        "improvement_mae_pct", "anomalies_detected",
+    )
+
+
+@query
+def importance_listing(spark, sf_dir):
+    """Importance rows of a map made from the data: each borough's share of the clean trips."""
+    trips = _learning_rows(spark, sf_dir).filter("pu_borough IS NOT NULL")
+    n = F.count(F.lit(1))
+    shares = trips.groupBy("pu_borough").agg(n.alias("n")).agg(
+        F.map_from_entries(F.collect_list(F.struct("pu_borough", F.col("n").cast("double")))).alias("feature_importance")
+    )
+    return learning.importance_rows(shares)
+
+
+@query
+def trained_facts(spark, sf_dir):
+    """What is known beforehand of any trained model: sizes of both parts, a row per test row."""
+    learned = _learn(spark, sf_dir)
+    rows = learned["predictions"].agg(F.count(F.lit(1)).alias("rows"), F.sum("is_anomaly").alias("flagged"))
+    metrics = learned["metrics"].select(
+        "n_train", "n_test", F.col("anomalies_detected").alias("flagged"),
+        (F.abs(F.aggregate(F.map_values("feature_importance"), F.lit(0.0), lambda a, x: a + x) - 1) < 0.01).alias("shares_add_up"),
+    )
+    same = metrics.join(rows, "flagged").withColumn("few_flagged", F.col("flagged") <= F.ceil(F.col("n_test") * 0.02))
+    return same.select("n_train", "n_test", "rows", "shares_add_up", "few_flagged")
+
+
+@query
+def scored_test_rows(spark, sf_dir):
+    """The totals of all rows that the trained model has scored."""
+    return _learn(spark, sf_dir)["predictions"].select("pickup_date", "pu_zone", "pu_borough", "actual_total")
+
+
+@query
+def fixed_forest_scores(spark, sf_dir):
+    """All clean trips scored and flagged by two small fixed trees."""
+    cuts = np.array([[20.0, 60.0, 100.0, 0, 0, 0, 0], [30.0, 0, 0, 0, 0, 0, 0]])
+    feature = np.array([[2, 0, 1, 0, 0, 0, 0], [2, 0, 0, 0, 0, 0, 0]])
+    # Right child before left child for each node; a leaf has itself twice.
+    children = np.array([[2, 1, 4, 3, 6, 5, 3, 3, 4, 4, 5, 5, 6, 6], [2, 1, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5, 6, 6]])
+    length = np.array([[0, 0, 0, 2.0, 3.0, 3.5, 1.0], [0, 4.0, 1.5, 0, 0, 0, 0]])
+    fixed = Forest(feature, cuts, children, length, 2, 4.0)
+    forest = IsolationForest(columns=learning.OUTLIER_FEATURES, key="trip_key")
+    trips = _learning_rows(spark, sf_dir).select("trip_key", *learning.OUTLIER_FEATURES)
+    scored = forest.score(trips, fixed)
+    flag = (F.col("anomaly_score") > 0.6).cast("int").alias("is_anomaly")
+    return scored.select("trip_key", scale_round("anomaly_score", 6).alias("anomaly_score"), flag)
+
+
 @query
 def isolation_forest(spark, sf_dir):
     """Outlier flag for every clean trip."""

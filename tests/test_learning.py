@@ -86,10 +86,18 @@ def test_train_and_score(spark, silver, tmp_path):
         assert RandomForestRegressionModel.load(path).getNumTrees == 10
 
 
-def test_exposed_sample_is_cut_but_the_count_is_not(spark, silver):
+def test_mart_has_all_rows_unless_limited(spark, silver):
     scored = silver.withColumns({"prediction": F.lit(1.0), "is_anomaly": F.lit(1)})
     assert learning.prediction_mart(scored, "key", limit=100).count() == 100
-    assert learning.prediction_mart(scored, "key").count() == 3000
+    many = scored.crossJoin(spark.range(5)).withColumn("key", F.concat_ws("-", "key", "id"))
+    assert learning.prediction_mart(many, "key").count() == 15_000
+
+
+def test_only_the_fit_is_bounded(silver):
+    result = learning.train_and_score(silver, "key", trees=2, depth=3, fit_rows=200)
+    metrics = result["metrics"].first()
+    assert (metrics.n_train, metrics.n_test) == (2400, 600)
+    assert result["predictions"].count() == 600
 
 
 def test_average_path():
@@ -146,8 +154,19 @@ def test_scores_equal_a_walk_of_the_node_table(spark):
         assert math.isclose(found[row.id], wanted, rel_tol=1e-12)
 
 
-def test_forest_fits_on_a_bounded_pool(spark):
-    """More rows than the pool: trees draw from it and the work of fitting stays the same."""
+def test_trees_draw_from_all_rows(spark):
+    """Beyond any pool: each tree's draw is spread over the whole table."""
+    data = spark.range(200_000).selectExpr("id", "id * 1.0 AS a")
+    drawn, size = IsolationForest(columns=["a"], key="id")._draws(data)
+    rows = drawn.collect()
+    assert size == 256 and len(rows) == 100 * 256
+    values = [r.a for r in rows]
+    assert len(set(values)) > 20_000
+    tenths = np.bincount((np.array(values) / 20_000).astype(int), minlength=10)
+    assert tenths.min() > 0.9 * len(rows) / 10
+
+
+def test_draws_have_one_size(spark):
     data = spark.range(5_000).selectExpr("id", "id % 97 * 1.0 AS a")
     forest = IsolationForest(columns=["a"], key="id", trees=5, max_samples=16)
     drawn, size = forest._draws(data)

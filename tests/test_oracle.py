@@ -4,8 +4,9 @@ import pytest
 from compare import difference, oracle_connection
 
 import __spark_entry__ as contract
+from martkit.testbed import oracle, registry
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = registry.all_queries(), oracle.all_oracles()
 LEARNED = {
     "price_model",
     "ml_metrics",
@@ -33,9 +34,30 @@ def test_equal_to_oracle(spark, sf_dir, con, query):
     assert difference(QUERIES[query](spark, sf_dir), con, ORACLE[query]) is None
 
 
-@pytest.mark.parametrize("query", sorted(LEARNED))
-def test_learned_queries_have_rows(spark, sf_dir, query):
-    assert QUERIES[query](spark, sf_dir).count() > 0
+def test_all_are_offered():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
+
+
+def test_learned_queries_agree(spark, sf_dir):
+    """What the reads over one trained model say of each other (sizes and rows have oracles of their own)."""
+    got = {q: QUERIES[q](spark, sf_dir).collect() for q in sorted(LEARNED)}
+    [facts], [document] = got["price_model"], got["ml_metrics"]
+    assert (facts.n_train, facts.n_test) == (document.n_train, document.n_test)
+    assert abs(facts.mae - document.baseline.mae) < 1e-9 and facts.model_mae == document.model_metrics.mae
+    shares = {r.variable: r.importance for r in got["feature_importance"]}
+    assert shares == document.feature_importance and abs(sum(shares.values()) - 1) < 0.01
+    mart = got["prediction_mart"]
+    assert len(mart) == facts.n_test == len(got["actual_vs_predicted"])
+    mae = sum(abs(r.actual_total - r.predicted_total) for r in mart) / len(mart)
+    assert abs(mae - facts.model_mae) < 0.01
+    errors = sorted((r.abs_error for r in mart), reverse=True)
+    assert [r.abs_error for r in got["top_errors"]] == errors[:100]
+    flagged = sorted((r.abs_error for r in mart if r.is_anomaly), reverse=True)
+    assert len(flagged) == document.anomalies_detected
+    assert [r.abs_error for r in got["top_anomalies"]] == flagged[:20]
+    scores = [r.anomaly_score for r in got["isolation_forest"]]
+    count = sum(r.is_anomaly for r in got["isolation_forest"])
+    assert 0 < min(scores) and max(scores) < 1 and 0 < count <= 0.02 * len(scores) + 1
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 """The whole run on month files derived from the driver tables."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def sources(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def lake(spark, sources, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
-    report = run_pipeline(spark, root, sources, MONTHS, "salt", trees=5, depth=4, sample_rows=900)
+    report = run_pipeline(spark, root, sources, MONTHS, "salt", trees=5, depth=4, fit_rows=900)
     return Lake(root), report.first()
 
 
@@ -61,8 +62,9 @@ def test_report(lake):
 
 def test_layers(spark, lake):
     place, report = lake
-    silver = read_layer(spark, place.silver)
-    assert silver.columns == schemas.SILVER_TRIPS.names
+    silver = read_layer(spark, place.silver, schemas.STORED_SILVER)
+    assert silver.columns == schemas.STORED_SILVER.names
+    assert silver.select("year", "month", "_source_row").distinct().count() == silver.count()
     assert silver.count() == report.rows_per_layer["silver_trips"]
     trips = read_layer(spark, place.trips, schemas.LANDED_TRIPS)
     assert {(r.year, r.month) for r in trips.select("year", "month").distinct().collect()} == {
@@ -80,7 +82,7 @@ def test_layers(spark, lake):
 def test_learning_outputs(spark, lake):
     place, _ = lake
     metrics = read_metrics(spark, place.metrics).first()
-    assert metrics.n_train + metrics.n_test <= 900
+    assert metrics.n_train + metrics.n_test > 900
     predictions = read_table(spark, place, "ml_predictions")
     assert predictions.count() == metrics.n_test
     assert predictions.filter("is_anomaly = 1").count() == metrics.anomalies_detected
@@ -98,13 +100,52 @@ def test_metrics_table_and_report_file(spark, lake):
     assert stored["error_rate"] == "0/4"
 
 
-def test_running_again_replaces(spark, sources, lake):
+def test_running_again_gives_the_same(spark, sources, lake):
+    """One month again: the other one's folders are not touched, and model, metrics and predictions come out equal."""
     place, report = lake
-    again = run_pipeline(
-        spark, place.root, sources, MONTHS[:1], "salt", trees=2, depth=2, sample_rows=100
-    ).first()
-    # The other month is still landed, so the layers above come out the same.
+    before = read_metrics(spark, place.metrics).drop("run_id").collect()
+    rows = sorted(map(str, read_table(spark, place, "ml_predictions").collect()))
+    other = Path(place.silver) / "year=1997" / "month=04"
+    stamps = {p.name: p.stat().st_mtime_ns for p in other.glob("*.parquet")}
+    again = run_pipeline(spark, place.root, sources, MONTHS[:1], "salt", trees=5, depth=4, fit_rows=900).first()
     assert again.rows_per_layer == report.rows_per_layer
+    assert {p.name: p.stat().st_mtime_ns for p in other.glob("*.parquet")} == stamps
+    assert read_metrics(spark, place.metrics).drop("run_id").collect() == before
+    assert sorted(map(str, read_table(spark, place, "ml_predictions").collect())) == rows
+
+
+def test_a_step_is_tried_again(spark, sources, tmp_path, monkeypatch):
+    from martkit.plans import pipeline
+
+    calls, real = [], pipeline.land_zones
+
+    def late(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("not there yet")
+        return real(*args)
+
+    monkeypatch.setattr(pipeline, "land_zones", late)
+    options = {"trees": 2, "depth": 2, "fit_rows": 100, "delay": 0.0}
+    report = run_pipeline(spark, str(tmp_path), sources, MONTHS[:1], "salt", **options).first()
+    assert [(s.step, s.attempts) for s in report.steps][:2] == [("bronze", 2), ("silver_gold", 1)]
+    metrics = spark.read.schema(METRIC_SCHEMA).parquet(f"{tmp_path}/run_metrics")
+    assert metrics.filter("name = 'RowsIngested'").count() == 1
+
+
+def test_a_failing_step_keeps_its_error(spark, sources, tmp_path, monkeypatch):
+    from martkit.plans import pipeline
+
+    def broken(*args):
+        (tmp_path / "silver" / "trips").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "silver" / "trips" / "part-0.parquet").write_bytes(b"damaged")
+        raise OSError("the step's own error")
+
+    monkeypatch.setattr(pipeline, "land_zones", broken)
+    with pytest.raises(OSError, match="own error"):
+        run_pipeline(spark, str(tmp_path), sources, MONTHS[:1], "salt", attempts=2, delay=0.0)
+    stored = json.loads(spark.read.text(f"{tmp_path}/pipeline_run_report").first().value)
+    assert stored["steps"][0]["attempts"] == 2 and stored["rows_per_layer"]["silver_trips"] is None
 
 
 def test_failing_check_stops_the_run(spark, sources, tmp_path, monkeypatch):

@@ -95,3 +95,35 @@ def test_hot_value(spark):
     """Two thirds of the rows hold one value."""
     df = spark.range(30_000).selectExpr("IF(id % 3 = 0, id / 7.0, 1234.5) AS x")
     assert exact_quantile(df, "x", 0.5) == 1234.5
+
+
+@pytest.mark.parametrize("ends", [(float("-inf"),), (float("inf"), float("-inf")), (-1.7e308, 1.7e308)])
+def test_quantile_of_endless_ranges(spark, ends):
+    """Infinite or very far values cost a few passes, not one per value."""
+    values = [i / 7 for i in range(400)] + list(ends)
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    old, selection.SMALL = selection.SMALL, 5
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    try:
+        found = exact_quantile(df, "x", 0.5)
+    finally:
+        selection.SMALL = old
+    assert found == float(np.quantile(values, 0.5))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before < 60
+
+
+def test_null_key_is_refused(spark):
+    keys = spark.range(100).selectExpr("IF(id = 5, NULL, id) AS id")
+    with pytest.raises(ValueError, match="nulls"):
+        sample_n(keys, 10, "id")
+    with pytest.raises(ValueError, match="nulls"):
+        split(keys, "id")
+
+
+def test_sample_scans_twice(spark, tmp_path):
+    """One count and one pass that keeps about twice the rows wanted; later passes read only these."""
+    spark.range(50_000).write.parquet(f"{tmp_path}/ids")
+    df = spark.read.parquet(f"{tmp_path}/ids")
+    plan = sample_n(df, 500, "id", 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert keys_of(sample_n(df, 500, "id", 3)) == set(by_hash(range(50_000), 3)[:500])
+    assert f"{tmp_path}/ids" not in plan

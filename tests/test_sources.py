@@ -76,6 +76,42 @@ def test_landing_a_month_again_replaces_only_it(spark, months, tmp_path):
     assert counts == {"01": 7, "02": 1}
 
 
+def test_a_month_without_rows_replaces_the_old_one(spark, months, tmp_path):
+    root = f"{tmp_path}/bronze/trips"
+    for month, path in months.items():
+        land_trips(spark, path, root, month, "salt")
+    spark.sql(f"SELECT {MONTH_2}").limit(0).write.parquet(f"{tmp_path}/none.parquet")
+    assert land_trips(spark, f"{tmp_path}/none.parquet", root, "2024-02", "salt") == 0
+    landed = layers.read_layer(spark, root, LANDED_TRIPS).groupBy("month").count()
+    assert {r.month: r["count"] for r in landed.collect()} == {"01": 7}
+
+
+def test_rows_get_the_same_numbers_in_one_file_or_several(spark, tmp_path):
+    rows = spark.sql(f"SELECT id, {MONTH_1} FROM range(0, 100, 1, 1)")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one")
+    rows.repartitionByRange(4, "id").sortWithinPartitions("id").write.parquet(f"{tmp_path}/four")
+    found = []
+    for layout in ("one", "four"):
+        land_trips(spark, f"{tmp_path}/{layout}", f"{tmp_path}/to-{layout}", "2024-01", "salt")
+        landed = spark.read.parquet(f"{tmp_path}/to-{layout}")
+        found.append({(r.id, r._source_row, r.driver_email) for r in landed.collect()})
+    assert found[0] == found[1] and {(i, n) for i, n, _ in found[0]} == {(i, i) for i in range(100)}
+
+
+def test_files_of_a_month_may_differ_in_width(spark, tmp_path):
+    for name, columns in (("a", MONTH_1), ("b", MONTH_2)):
+        spark.sql(f"SELECT {columns}").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    (tmp_path / "month").mkdir()
+    for name in ("a", "b"):
+        [part] = (tmp_path / name).glob("*.parquet")
+        part.rename(tmp_path / "month" / f"{name}.parquet")
+    assert land_trips(spark, f"{tmp_path}/month", f"{tmp_path}/to", "2024-01", "salt") == 2
+    landed = layers.read_layer(spark, f"{tmp_path}/to", LANDED_TRIPS).orderBy("_source_row").collect()
+    assert [(r._source_file, r._source_row, r.vendorid, r.passenger_count) for r in landed] == [
+        ("a.parquet", 0, 1, 2.0), ("b.parquet", 1, 2, 2.0),
+    ]
+
+
 def test_month_filter_prunes_folders(spark, months, tmp_path):
     root = f"{tmp_path}/bronze/trips"
     for month, path in months.items():
@@ -184,6 +220,9 @@ def test_layer_counts(spark, tmp_path):
     spark.range(5).write.parquet(f"{tmp_path}/here")
     counts = layers.layer_counts(spark, {"here": f"{tmp_path}/here", "gone": f"{tmp_path}/gone"})
     assert {r.layer: r.row_count for r in counts.collect()} == {"here": 5, "gone": None}
+    (tmp_path / "damaged").mkdir()
+    (tmp_path / "damaged" / "part-0.parquet").write_bytes(b"not a table")
+    assert layers.layer_counts(spark, {"damaged": f"{tmp_path}/damaged"}).first().row_count is None
 
 
 def test_json_rows(spark, tmp_path):
@@ -198,6 +237,8 @@ def test_json_rows(spark, tmp_path):
 def test_metrics_document(spark, tmp_path):
     path = f"{tmp_path}/m"
     assert read_metrics(spark, path).first().asDict() == {"error": NO_METRICS}
+    (tmp_path / "empty").mkdir()
+    assert read_metrics(spark, f"{tmp_path}/empty").first().asDict() == {"error": NO_METRICS}
     row = ("r", "M", 8, 2, (1.0, 2.0), (0.5, 1.0, 0.9), 50.0, {"a": 0.75, "b": 0.25}, 1)
     write_metrics(spark.createDataFrame([row], ML_METRICS), path)
     back = read_metrics(spark, path).first()
