@@ -136,15 +136,15 @@ def drop_exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
     """The rows of docs that stay, all columns; of rows that agree in id and text one stays."""
     text = whole_text()
     kept = exact_groups(docs, block_bytes).filter("kept")
-    keys = ["_id", "_sha", "_chars"]
+    keys = ["__key_id", "__key_sha", "__key_chars"]
     kept = kept.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"),
-        F.col("text_sha256").alias("_sha"), F.col("n_chars").alias("_chars"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__key_id"),
+        F.col("text_sha256").alias("__key_sha"), F.col("n_chars").alias("__key_chars"),
     )
     keyed = docs.select(
         "*",
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"),
-        F.sha2(normalised(text), 256).alias("_sha"),
-        F.char_length(text).alias("_chars"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__key_id"),
+        F.sha2(normalised(text), 256).alias("__key_sha"),
+        F.char_length(text).alias("__key_chars"),
     )
     return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)

@@ -146,8 +146,8 @@ def compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, perc
     wanted = stored(wanted.join(nodes.select("node", "doc_id", "text_hash"), "node").withColumnRenamed("doc_id", "id"), "wanted")
     if wanted.count() <= SENT_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_hash"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("__key_hash"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__key_hash") == F.col("text_hash"))
     dealt = texts.join(wanted, same).select("pivot", "block", "member", "node", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(parts, "pivot", "block").sortWithinPartitions("pivot", "block", "member", "node")
@@ -273,10 +273,10 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataF
 
 def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, one of each component, all columns; of rows that agree in id and text one stays."""
-    keys = ["_id", "_hash"]
+    keys = ["__key_id", "__key_hash"]
     number = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     groups = near_groups(docs, size, percent)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash")))
-    kept = kept.select(number.alias("_id"), F.col("text_hash").alias("_hash"))
-    keyed = docs.select("*", number.alias("_id"), F.xxhash64("text").alias("_hash"))
+    kept = kept.select(number.alias("__key_id"), F.col("text_hash").alias("__key_hash"))
+    keyed = docs.select("*", number.alias("__key_id"), F.xxhash64("text").alias("__key_hash"))
     return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)

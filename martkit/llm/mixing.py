@@ -148,12 +148,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """The documents of the mix, all columns, each as often as its turns (the last one whole)."""
-    keys = {"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))}
-    keys["_source"] = F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    keys = {"__key_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))}
+    keys["__key_source"] = F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
     turns = mix(docs, weights, share).filter("turns > 0").withColumns(keys)
-    turns = turns.groupBy("_id", "_source", F.col("text_hash").alias("_hash")).agg(F.sum("turns").alias("_turns"))
-    on = [*keys, "_hash"]
-    keyed = docs.withColumns({**keys, "_hash": F.xxhash64("text")})
+    turns = turns.groupBy("__key_id", "__key_source", F.col("text_hash").alias("__key_hash")).agg(F.sum("turns").alias("__turns"))
+    on = [*keys, "__key_hash"]
+    keyed = docs.withColumns({**keys, "__key_hash": F.xxhash64("text")})
     joined = keyed.join(turns, on).dropDuplicates(on)
-    times = F.explode(F.array_repeat(F.lit(0), F.col("_turns").cast("int")))
-    return joined.withColumn("_turn", times).select(*docs.columns)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("__turns").cast("int")))
+    return joined.withColumn("__turn", times).select(*docs.columns)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import held_out, slices
+from martkit.sources.layers import stored
 
 FIT_ROWS = 20_000
 #: A lexicon entry needs evidence (nats) against being as frequent in clean texts: so much beyond the log of the
@@ -204,26 +205,18 @@ def learn_toxicity(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(fit_rows)
     )
-    texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(sample), "doc_id")
+    # A copy says nothing new: each text counts once.
+    texts = stored(texts.groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, found = set(), (Counter(), Counter())
+        found = (Counter(), Counter())
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if (key := hash(text)) not in seen:  # a copy says nothing new
-                    seen.add(key)
-                    found[toxic > 0].update(["", *_features_of(text)])
-        # Words of clean texts alone can't be entries; the empty entry counts the texts.
-        entries = list({*found[1], ""})
-        yield pa.RecordBatch.from_pydict({
-            "entry": pa.array(entries, pa.string()),
-            "p": pa.array([found[1][e] for e in entries], pa.int64()), "n": pa.array([0] * len(entries), pa.int64()),
-        })
-        clean = list(found[0])
-        yield pa.RecordBatch.from_pydict({
-            "entry": pa.array(clean, pa.string()),
-            "p": pa.array([0] * len(clean), pa.int64()), "n": pa.array([found[0][e] for e in clean], pa.int64()),
-        })
+                found[toxic > 0].update(["", *_features_of(text)])  # the empty entry counts the texts
+        entries = list({*found[0], *found[1]})
+        columns = [pa.array(entries, pa.string()), *(pa.array([c[e] for e in entries], pa.int64()) for c in (found[1], found[0]))]
+        yield pa.RecordBatch.from_arrays(columns, names=["entry", "p", "n"])
 
     counted = texts.mapInArrow(count, "entry string, p long, n long").groupBy("entry").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     tested = counted.filter(f"p + n >= {LEAST_TEXTS}")

@@ -1,0 +1,78 @@
+"""Fingerprints against a plain version of the choice, edited texts, and the order of documents."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from martkit.llm import syncmers
+
+
+def edited(a, b):
+    half = len(a) // 2
+    return a[: len(a) - half] + b[:half]
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.text or ""))
+
+
+@pytest.mark.parametrize("group_rows", [3, 2000])
+def test_next_and_edited_texts(odd_docs, monkeypatch, group_rows):
+    monkeypatch.setattr(syncmers, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(syncmers, "COARSE", 4)
+    rows = order(odd_docs.collect())
+    texts = [r.text or "" for r in rows]
+    following = texts[1:] + texts[:1]
+    pairs = syncmers.with_next(odd_docs).collect()
+    assert sorted(repr(tuple(p)) for p in pairs) == sorted(repr((r.doc_id, t, n)) for r, t, n in zip(rows, texts, following, strict=True))
+    found = syncmers.fingerprints(odd_docs).collect()
+    wanted = [(r.doc_id, len(t), hashlib.sha256(edited(t, n).encode()).hexdigest()) for r, t, n in zip(rows, texts, following, strict=True)]
+    assert sorted(repr((f.doc_id, f.n_chars, f.edited_sha256)) for f in found) == sorted(map(repr, wanted))
+    assert all(0 <= f.near_edited <= 1 and 0 <= f.near_next <= 1 for f in found)
+    assert {f.fingerprint for f in found if f.n_chars == 0} == {""}
+
+
+def test_many_ids(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "GROUP_ROWS", 10)
+    monkeypatch.setattr(syncmers, "COARSE", 5)
+    docs = spark.range(500).selectExpr("id * id * 17 AS doc_id", "concat('t', id) AS text").repartition(4)
+    ids = {r.text: r.next_text for r in syncmers.with_next(docs).collect()}
+    assert ids == {f"t{i}": f"t{(i - 1) % 500}" for i in range(500)}
+
+
+def test_choice(spark):
+    """A k-mer is chosen when its smallest inner hash is its first or last one."""
+    text = " ".join(f"w{i * i % 37}" for i in range(200))
+    row = spark.createDataFrame([(text,)], "text string").select(syncmers.anchors(F.col("text")).alias("a")).first()
+    k, words = syncmers.K, [""] * (syncmers.K - 1) + text.split() + [""] * (syncmers.K - 1)
+    pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:], strict=False))], "i int, a string, b string")
+    h = [r.h for r in pairs.select("i", F.xxhash64("a", "b").alias("h")).orderBy("i").collect()]
+    chosen = [i for i in range(len(words) - k + 1) if min(h[i], h[i + k - 2]) <= min(h[i + 1 : i + k - 2])]
+    assert [a.place for a in row.a] == chosen
+    assert 0.15 < len(chosen) / len(words) < 0.5
+
+
+def test_edits_are_local(spark):
+    words = [f"w{i}" for i in range(400)]
+    changed = words[:100] + ["other"] + words[101:250] + ["more", "words"] + words[250:]
+    rows = [(" ".join(words), " ".join(changed), "x " * 3)]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    a, b, c = (syncmers.anchors(F.col(x)) for x in "abc")
+    found = df.select(a.alias("a"), b.alias("b"), c.alias("c")).select(
+        syncmers.likeness(F.col("a"), F.col("b")).alias("ab"), syncmers.likeness(F.col("a"), F.col("a")).alias("aa"),
+        syncmers.likeness(F.col("a"), F.col("c")).alias("ac"), syncmers.matched_places(F.col("a"), F.col("b")).alias("m"),
+    ).first()
+    assert found.aa == 1.0 and found.ac == 0.0 and 0.9 < found.ab < 1.0
+    assert {m.other - m.place for m in found.m} == {0, 2}
+
+
+def test_equal_texts_and_no_documents(spark, odd_docs, no_docs):
+    assert syncmers.fingerprints(no_docs).count() == 0
+    same = syncmers.fingerprints(odd_docs.filter("doc_id = 0 AND text LIKE 'The%'")).collect()
+    assert len(same) == 3 and len({r.fingerprint for r in same}) == 1
+    assert [r.near_next for r in same] == [1.0] * 3
+    one = syncmers.fingerprints(odd_docs.filter("doc_id = 5")).first()
+    assert (one.near_next, one.n_chars) == (1.0, 3)
+    plan = syncmers.fingerprints(odd_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
