@@ -122,40 +122,43 @@ class TokenFile:
 
 
 class _Encoder:
-    """Ids by the tokenizers library. Pieces without inner white space are joined by line feeds, which the
-    pattern always splits off alone there, and encoded in one call."""
+    """Ids by the tokenizers library: its pre-tokenizer and its model, called in turn for distinct pieces.
+
+    A piece of letters, with or without a space before it, is one pre-token, so the pre-tokenizer isn't asked.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.newline = self._ids("\n")
+        tokenizer = tokenizers.Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        # The letters that byte-level vocabularies write for bytes: printable ones stand for themselves.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.letters = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+        self.plain = tokenizer.normalizer is None and letters_alone(tokenizer, self.letters)
         self.tail = {c: self._ids(c) for c in ".,"}
         self.units = TextEncoder(self._encode_units)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encode_units(self, units: list[str]) -> list[np.ndarray]:
-        # A full stop or comma behind an ASCII letter, at a unit's end, is a piece of its own.
-        stems = {u: u[:-1] for u in units if u[-1:] in self.tail and u[-2:-1].isascii() and u[-2:-1].isalpha()}
-        wanted = list(dict.fromkeys(stems.get(u, u) for u in units))
-        plain, known = [], {}
-        for u in wanted:
-            word = u[1:] if u[:1] == " " else u
-            if word and word.split() == [word] and len(word) < 200:
-                plain.append(u)
-            else:
-                known[u] = self._ids(u)
-        for i in range(0, len(plain), 1000):
-            some = plain[i : i + 1000]
-            ids = np.array(self._ids("\n".join(some)), np.uint32)
-            cuts = np.flatnonzero(ids == self.newline[0])
-            if len(cuts) != len(some) - 1:
-                known.update((u, self._ids(u)) for u in some)
-                continue
-            bounds = [-1, *cuts.tolist(), len(ids)]
-            known.update((u, ids[a + 1 : b]) for u, a, b in zip(some, bounds, bounds[1:], strict=False))
-        return [[*known[stems[u]], *self.tail[u[-1]]] if u in stems else known[u] for u in units]
+    def _unit(self, unit: str) -> list[int]:
+        word = unit[1:] if unit[:1] == " " else unit
+        if self.plain and word.isalpha():
+            return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]
+        return self._ids(unit)
+
+    def _encode_units(self, units: list[str]) -> list[list[int]]:
+        # A full stop or comma behind a letter, at a unit's end, is a piece of its own.
+        stems = {u: u[:-1] for u in units if u[-1:] in self.tail and u[-2:-1].isalpha()}
+        known = {u: self._unit(u) for u in dict.fromkeys(stems.get(u, u) for u in units)}
+        return [known[stems[u]] + self.tail[u[-1]] if u in stems else known[u] for u in units]
+
+
+def letters_alone(tokenizer: tokenizers.Tokenizer, letters: dict[int, int]) -> bool:
+    """True if the pre-tokenizer maps bytes as expected and keeps a space and letters together."""
+    probe = " añb"
+    return [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(probe)] == [probe.encode().decode("latin-1").translate(letters)]
 
 
 @lru_cache(2)

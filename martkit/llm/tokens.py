@@ -55,7 +55,7 @@ class Pieces:
 class TextEncoder:
     """``encode_units`` maps distinct units to their ids; the results of ``most`` units are held at most."""
 
-    def __init__(self, encode_units: Callable[[list[str]], list[Sequence[int]]], most: int = 600_000):
+    def __init__(self, encode_units: Callable[[list[str]], list[Sequence[int]]], most: int = 1_000_000):
         self.encode_units, self.most = encode_units, most
         self._reset()
 
