@@ -6,9 +6,9 @@ Bands of values make buckets; documents that share a bucket are candidates, and
 
 Work is kept linear where groups are large. Documents with equal sets are one node. In a bucket all members are
 compared with one pivot, the member that meets most others over all its buckets; what is linked becomes one
-component, and only pairs of different components are left to compare. These are compared pair by pair as soon as
-they are few for the number of memberships, else the next pivot's turn comes (its pairs are then all compared and it
-leaves the bucket). So no pair of a bucket is skipped that could join two components, and links inside a component
+component, and only pairs of different components are left to compare. A pivot's pairs are then all done, so it leaves
+the bucket and another one's turn comes. What is left, mostly texts with a common passage that are no copies, is bounded
+by the shingles they can have in common at all, and pairs within the bound are compared. So no pair of a bucket is skipped that could join two components, and links inside a component
 don't change the result. With the default bands a pair at the threshold shares no bucket with chance 3e-6.
 
 Whatever is computed from the texts once is written to the shared folder. Texts of candidates are read again
@@ -18,13 +18,14 @@ to compare full sets; a pivot's text goes to blocks of members, never all member
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import slices
@@ -35,10 +36,15 @@ BAND_VALUES = 5
 PERCENT = 80
 #: Members that are compared with one copy of their pivot's text.
 BLOCK_MEMBERS = 128
-#: Remaining pairs are compared one by one when there are at most so many for each membership.
-PAIRS_PER_MEMBER = 20
+#: After so many pivots for each bucket what remains is compared pair by pair.
+STAR_ROUNDS = 2
+#: Four bits of each signature value estimate a pair's similarity before texts are fetched. A pair is left out if its
+#: estimate is so many standard deviations below the threshold (chance 5e-6 for a pair at the threshold); pairs with a
+#: set below LEAST_ESTIMATED, whose estimates spread more, are all compared.
+DEVIATIONS = 4.4
+LEAST_ESTIMATED = 20
 #: Rows that are sent to every task instead of shuffling the texts towards them (about 50 bytes each).
-SENT_ROWS = 400_000
+SENT_ROWS = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,25 +112,47 @@ def band_keys(signature: np.ndarray, values: int = BAND_VALUES) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def nibbles(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each value, sixteen values to a 64-bit number. Values are mixed first, as extremes share bits."""
+    low = np.zeros((len(signature), -signature.shape[1] % 16), np.uint64)
+    values = np.concatenate([_mixed(signature) >> np.uint64(60), low], 1).reshape(len(signature), -1, 16)
+    return np.bitwise_or.reduce(values << np.arange(0, 64, 4, dtype=np.uint64), 2).view(np.int64)
+
+
+def _may_be_similar(a: Column, b: Column, least: Column, values: int, percent: int) -> Column:
+    """False for pairs whose estimated similarity is far below the threshold. a and b are arrays of nibbles."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    enough = values * p - DEVIATIONS * math.sqrt(values * p * (1 - p))
+    differing = F.lit(0)
+    for i in range(-(-values // 16)):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        differing = differing + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return (least < LEAST_ESTIMATED) | (F.lit(values) - differing >= enough)
+
+
 def sketch(docs: DataFrame, size: int, permutations: int = PERMUTATIONS, values: int = BAND_VALUES) -> DataFrame:
-    """doc_id, text_hash, n_shingles, set_key (null for an empty set), bands, of every row."""
+    """doc_id, text_hash, n_shingles, set_key (null for an empty set), bands, nibbles, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text", 4_000_000):
                 sets = shingle_sets(rows.column("text").fill_null(""), size)
                 full = [s for s in sets if len(s)]
-                keys = iter(band_keys(signatures(full, permutations), values) if full else ())
-                found = [next(keys) if len(s) else None for s in sets]
+                signed = signatures(full, permutations) if full else np.empty((0, 2 * permutations), np.uint64)
+                keys, bits = iter(band_keys(signed, values)), iter(nibbles(signed))
+                found = [(next(keys), next(bits)) if len(s) else (None, None) for s in sets]
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 arrays = [
                     rows.column("doc_id"), rows.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64())),
+                    pa.array(digests, pa.binary()), pa.array([k for k, _ in found], pa.list_(pa.int64())),
+                    pa.array([b for _, b in found], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", "n_shingles", "set_key", "bands"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", "n_shingles", "set_key", "bands", "nibbles"])
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<bigint>")
+    return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<bigint>, nibbles array<bigint>")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -132,23 +160,28 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (id, text_hash, ...) with the texts. Its rows are sent to all tasks if counted to be few; beyond, both are
+    shuffled."""
+    if wanted.count() <= SENT_ROWS:
+        wanted = F.broadcast(wanted)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("__key_hash"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__key_hash") == F.col("text_hash"))
+    return texts.join(wanted, same)
+
+
 def compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """Of pairs (pivot, node) those whose full sets are similar.
 
-    Members are dealt in blocks, each with one copy of its pivot's text. The rows that say which text goes where are
-    sent to all tasks while they are few, counted beforehand; beyond, texts are shuffled to them.
+    Members are dealt in blocks, each with one copy of its pivot's text.
     """
     counts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     members = pairs.join(counts, "pivot").select("pivot", block.alias("block"), "node")
     pivots = members.select("pivot", "block").distinct().withColumn("node", F.col("pivot"))
     wanted = members.withColumn("member", F.lit(True)).unionByName(pivots.withColumn("member", F.lit(False)))
-    wanted = stored(wanted.join(nodes.select("node", "doc_id", "text_hash"), "node").withColumnRenamed("doc_id", "id"), "wanted")
-    if wanted.count() <= SENT_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("__key_hash"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__key_hash") == F.col("text_hash"))
-    dealt = texts.join(wanted, same).select("pivot", "block", "member", "node", "text")
+    wanted = stored(wanted.join(nodes.select("node", F.col("doc_id").alias("id"), "text_hash"), "node"), "wanted")
+    dealt = _texts_of(docs, wanted).select("pivot", "block", "member", "node", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(parts, "pivot", "block").sortWithinPartitions("pivot", "block", "member", "node")
 
@@ -196,52 +229,99 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n, mass) of all buckets with two members or more; mass: how many memberships a node meets."""
+    """(bucket, node, n, nibbles, mass) of all buckets with two members or more; mass: memberships that a node meets."""
     buckets = nodes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = stored(buckets.join(shared, "bucket"), "members")
     mass = members.groupBy("node").agg(F.sum("m").alias("mass"))
-    return stored(members.drop("m").join(mass, "node"), "members")
+    bits = nodes.select("node", "nibbles")
+    return stored(members.drop("m").join(mass, "node").join(bits, "node"), "members")
 
 
-def _similar_sizes(percent: int, a: str = "n", b: str = "other"):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _candidate(percent: int) -> Column:
+    """Whether a pair (n, nibbles) and (other, bits) is worth comparing, by sizes and by estimate."""
+    least = F.least("n", "other")
+    sizes = 100 * least >= percent * F.greatest("n", "other")
+    return sizes & _may_be_similar(F.col("nibbles"), F.col("bits"), least, 2 * PERMUTATIONS, percent)
 
 
 def _linked_nodes(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """(node, comp) of the nodes that have links; None if there are no candidates."""
-    members = _members(nodes)
-    links, labels = None, None
+    members = _members(nodes).withColumn("comp", F.col("node"))
+    links, labels, rounds = None, None, 0
     while True:
         if labels is not None:
             # What is left: buckets with members of several components.
             named = members.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             mixed = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
             members = stored(named.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
-        else:
-            members = members.withColumn("comp", F.col("node"))
-        held = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"))
-        squares = held.groupBy("bucket").agg((F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))).alias("p"), F.sum("m").alias("m"))
-        left = squares.agg((F.sum("p") / 2).alias("pairs"), F.sum("m").alias("rows")).first()
-        if not left["rows"]:
+        if members.isEmpty():
             return labels
-        last = labels is not None and left["pairs"] <= PAIRS_PER_MEMBER * left["rows"]
+        last = rounds >= STAR_ROUNDS
         if last:
-            a = members.select("bucket", F.col("node").alias("pivot"), F.col("n").alias("other"), F.col("comp").alias("c"), F.col("mass").alias("w"))
-            # Of a pair the node that meets more is the pivot.
-            first = (F.col("w") > F.col("mass")) | ((F.col("w") == F.col("mass")) & (F.col("pivot") < F.col("node")))
-            pairs = a.join(members, "bucket").filter((F.col("c") != F.col("comp")) & first)
+            pairs = _leftover_pairs(docs, members, nodes, size, percent)
         else:
-            best = members.groupBy("bucket").agg(F.max(F.struct("mass", -F.col("node"), F.col("n"), "comp")).alias("best"))
-            top = best.select("bucket", (-F.col("best")["col2"]).alias("pivot"), F.col("best.n").alias("other"), F.col("best.comp").alias("c"))
+            # First the node that meets most others, which is the centre of a group if there is one; then any.
+            turn = F.col("mass") if rounds == 0 else F.xxhash64(F.lit(rounds), "bucket", "node")
+            best = members.groupBy("bucket").agg(F.max_by(F.struct("node", "n", "comp", "nibbles"), F.struct(turn, "node")).alias("best"))
+            top = best.select(
+                "bucket", F.col("best.node").alias("pivot"), F.col("best.n").alias("other"), F.col("best.comp").alias("c"),
+                F.col("best.nibbles").alias("bits"),
+            )
             rest = stored(members.join(top, "bucket").filter(F.col("node") != F.col("pivot")), "rest")
-            pairs, members = rest.filter(F.col("c") != F.col("comp")), rest.drop("pivot", "other", "c")
-        pairs = stored(pairs.filter(_similar_sizes(percent)).select("pivot", "node").distinct(), "pairs")
+            pairs, members = rest.filter(F.col("c") != F.col("comp")), rest.drop("pivot", "other", "c", "bits")
+            pairs = pairs.filter(_candidate(percent))
+        pairs = stored(pairs.select("pivot", "node").distinct(), "pairs")
         found = stored(compare(docs, nodes, pairs, size, percent), "found")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         if last:
             return labels
+        rounds += 1
+
+
+def _leftover_pairs(docs: DataFrame, members: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(pivot, node): the pairs of different components among what is left that may be similar, each once.
+
+    Members of a bucket may all have a passage in common and yet be no copies; there are too many pairs of those to
+    compare all texts. So it is counted how many shingles of each node any other node that is left has: no intersection
+    can be larger. Nodes, and pairs, for which this is too little are done.
+    """
+    left = members.select("node", "comp", "mass", "nibbles", "n").dropDuplicates(["node"])
+    wanted = stored(left.join(nodes.select("node", F.col("doc_id").alias("id"), "text_hash"), "node").select("node", "id", "text_hash"), "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text", 1_000_000):
+                sets = [s.view(np.int64) for s in shingle_sets(rows.column("text"), size)]
+                yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    sets = _texts_of(docs, wanted).select("node", "text").mapInArrow(run, "node long, shingles array<bigint>")
+    rows = stored(sets.select("node", F.explode("shingles").alias("shingle")).distinct(), "shingles")
+    others = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    shared = rows.join(others, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    known = left.join(shared, "node").filter(100 * F.col("shared") >= percent * F.col("n")).join(nodes.select("node", "bands"), "node")
+    b = members.select("bucket", "node").join(known, "node")
+    # Of each bucket's nodes those in its largest component needn't meet each other.
+    main = b.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket")
+    main = main.agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    b = stored(b.join(main.drop("parts"), "bucket"), "meetings")
+    a = b.select(
+        "bucket", F.col("node").alias("pivot"), F.col("n").alias("other"), F.col("comp").alias("c"), (F.col("comp") == F.col("main")).alias("in_main"),
+        F.col("shared").alias("s"), F.col("bands").alias("of"), F.col("nibbles").alias("bits"),
+    )
+    # The smaller set of a similar pair has few shingles of its own: 2 n <= (1 + 1 / threshold) shared.
+    a = a.filter(2 * percent * F.col("other") <= (100 + percent) * F.col("s"))
+    most = F.least("shared", "s")
+    enough = 100 * most >= percent * (F.col("n") + F.col("other") - most)
+    smaller = (F.col("other") < F.col("n")) | ((F.col("other") == F.col("n")) & (F.col("pivot") < F.col("node")))
+    # A pair is taken in the first bucket both were put in. If one of them has left it, it was pivot there, and the pair
+    # has been compared; if a whole bucket is left out, all in it are one component.
+    once = F.get(F.array_intersect("of", "bands"), F.lit(0)) == F.col("bucket")
+    wanted = (F.col("c") != F.col("comp")) & smaller & enough & _candidate(percent) & once
+    outside = a.filter("NOT in_main").join(b, "bucket").filter(wanted)
+    inside = a.filter("in_main").join(b.filter("comp <> main"), "bucket").filter(wanted)
+    return outside.select("pivot", "node").unionByName(inside.select("pivot", "node"))
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -252,7 +332,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataF
     """
     sketched = stored(sketch(docs, size), "sketch")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    whole = F.struct("doc_id", "text_hash", "n_shingles", "bands")
+    whole = F.struct("doc_id", "text_hash", "n_shingles", "bands", "nibbles")
     full = sketched.filter("set_key IS NOT NULL")
     nodes = full.groupBy("set_key").agg(F.min_by(whole, order).alias("of"))
     nodes = stored(nodes.select("set_key", "of.*", F.monotonically_increasing_id().alias("node")), "nodes")

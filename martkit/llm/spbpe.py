@@ -79,7 +79,7 @@ class Codec:
         entries = read_ranks(path)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(entries))
         self.pattern = regex.compile(pattern)
-        self.units = TextEncoder(self._encode_units)
+        self.units = TextEncoder(self._encode_units, most=200_000)
         self.bytes, self.decimals = Pieces(np.uint8), Pieces(np.uint8)
         for i in range(len(entries)):
             piece = self.model.id_to_piece(i)

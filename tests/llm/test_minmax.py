@@ -57,13 +57,14 @@ def test_groups_chains_and_shared_passages(spark):
     check(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6), 2)
 
 
-def test_more_rounds_give_the_same(spark, monkeypatch):
-    """With no direct comparison of leftovers until few are left, and with texts shuffled instead of sent."""
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_more_rounds_give_the_same(spark, monkeypatch, rounds):
+    """With other numbers of pivots before what is left is joined, and with texts shuffled instead of sent."""
     rng = random.Random(6)
     base = [f"w{i}" for i in range(120)]
     texts = [edited(base, 0.12, rng) for _ in range(40)]
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    monkeypatch.setattr(minmax, "PAIRS_PER_MEMBER", 8)
+    monkeypatch.setattr(minmax, "STAR_ROUNDS", rounds)
     monkeypatch.setattr(minmax, "SENT_ROWS", 0)
     monkeypatch.setattr(minmax, "BLOCK_MEMBERS", 3)
     check(docs, 2)
