@@ -75,12 +75,15 @@ def learn_languages(
     models in any order. What reaches the driver is bounded by dictionary_bytes and the number of languages.
     """
     train = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
-    counts = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
-    if not counts:
+    h, place = F.xxhash64("text"), F.xxhash64(F.lit("place"), F.col("text"))
+    # Texts are drawn by their hash, copies together, so the rate is one of different texts. Copies are counted in tasks.
+    texts = train.groupBy("lang", h.alias("h")).agg(F.count(F.lit(1)).alias("copies"))
+    totals = texts.groupBy("lang").agg(F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("texts")).collect()
+    if not totals:
         return LanguageModel(**settings)
+    counts = {r["lang"]: r["rows"] for r in totals}
     wanted = 2 * (dictionary_bytes // piece_chars + 1)
-    rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, wanted / n))])
-    h, place = F.xxhash64("text"), F.xxhash64(F.lit("place"), F.col("text"))
+    rates = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], min(1.0, wanted / r["texts"]))])
     room = F.greatest(F.char_length("text") - piece_chars, F.lit(0)) + 1
     pieces = (
         train.filter(F.pmod(h, F.lit(1 << 40)) < rates[F.col("lang")] * float(1 << 40))

@@ -40,6 +40,15 @@ def test_only_allowed_rows_teach(docs, model):
     assert all(len(d) <= langid.DICTIONARY_BYTES for d in model.dictionaries.values())
 
 
+def test_copies_of_one_text(spark):
+    """A small language with one text copied very often still fills its dictionary, and comes first by its rows."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(F.col("lang"), F.sha1(F.concat_ws("-", "n", i)))))
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("small").alias("lang"), F.greatest(F.col("id") - 59_000, F.lit(0)).alias("n"))
+    rows = rows.unionByName(spark.range(1000).select((F.col("id") + 60_000).alias("doc_id"), F.lit("large").alias("lang"), F.col("id").alias("n")))
+    model = langid.learn_languages(rows.select("doc_id", "lang", words.alias("text")))
+    assert [(lang, len(d)) for lang, d in model.dictionaries.items()] == [(x, langid.DICTIONARY_BYTES) for x in ("small", "large")]
+
+
 def test_odd_documents(odd_docs, no_docs, model):
     found = langid.identify(odd_docs, model, "p_").collect()
     assert len(found) == odd_docs.count()
