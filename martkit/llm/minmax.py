@@ -69,7 +69,8 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     ends = np.concatenate([[0], np.cumsum(real)])[ends]
     joined = words.copy()
     for k in range(1, size):
-        joined[: len(words) - k] = _mixed(joined[: len(words) - k]) + words[k:]
+        rest = max(0, len(words) - k)
+        joined[:rest] = _mixed(joined[:rest]) + words[k:]
     joined = _mixed(joined)
     out = []
     for start, end in zip(ends.tolist(), ends[1:].tolist(), strict=False):

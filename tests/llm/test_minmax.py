@@ -88,6 +88,25 @@ def test_sets_and_signatures():
     assert abs(share - 800 / 1200).max() < 0.04
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_a_column_of_few_words(n):
+    """Fewer words in all texts of a slice than a shingle has."""
+    words = [f"w{i}" for i in range(n)]
+    for texts in ([" ".join(words)], ["", *words[:1], " ".join(words[1:]), ""]):
+        sets = minmax.shingle_sets(pa.array(texts), 5)
+        assert [len(s) for s in sets] == [len(shingles(t, 5)) for t in texts]
+    # The same set as beside other texts.
+    alone, beside = minmax.shingle_sets(pa.array([" ".join(words)]), 5), minmax.shingle_sets(pa.array([" ".join(words), "x " * 9]), 5)
+    assert alone[0].tolist() == beside[0].tolist()
+
+
+def test_a_table_of_few_words(spark):
+    for n in range(1, 6):
+        docs = spark.createDataFrame([(1, " ".join("abcde"[:n]))], "doc_id bigint, text string")
+        assert [r.n_shingles for r in minmax.near_groups(docs).collect()] == [1]
+        assert minmax.drop_near_copies(docs).count() == 1
+
+
 def test_components(spark):
     links = [(5, 1), (5, 9), (9, 12), (20, 21), (30, 31), (31, 32), (32, 33), (33, 34), (34, 35)]
     found = minmax.components(spark.createDataFrame(links, "pivot bigint, node bigint"))
