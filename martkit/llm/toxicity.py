@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import held_out, slices
@@ -175,6 +175,15 @@ def _lexicon(counts: Iterable[tuple[str, int, int]], positive: int, negative: in
     return kept
 
 
+def _may_be_toxic(positive: int, negative: int, evidence: float) -> Column:
+    """The test of ``_lexicon`` on columns p and n, wider by rounding, so that few entries return to the driver."""
+    p, n, share = F.col("p"), F.col("n"), positive / (positive + negative)
+    q = p / (p + n)
+    clean = F.when(n > 0, n * F.log((1 - q) / (1 - share))).otherwise(0.0)
+    weight = F.log((p + 0.5) / (positive + 1)) - F.log((n + 0.5) / (negative + 1))
+    return (q > share * (1 - 1e-9)) & (p * F.log(q / share) + clean >= evidence - 1e-6) & (weight > 1 - 1e-9)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[float, ...]:
     """Newton's method with a small ridge on all but the bias."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -221,10 +230,12 @@ def learn_toxicity(
     counted = texts.mapInArrow(count, "entry string, p long, n long").groupBy("entry").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     tested = counted.filter(f"p + n >= {LEAST_TEXTS}")
     evidence += math.log(max(1, tested.count()))
-    rows = tested.filter("p >= n OR entry = ''").collect()
-    totals = next(((r["p"], r["n"]) for r in rows if r["entry"] == ""), (0, 0))
-    entries = [(r["entry"], r["p"], r["n"]) for r in rows if r["entry"]]
-    lexicon = _lexicon(entries, *totals, evidence) if all(totals) else {}
+    toxic = F.col("toxic") > 0
+    totals = texts.agg(F.count_if(toxic).alias("p"), F.count_if(~toxic).alias("n")).first()
+    lexicon = {}
+    if all(totals):
+        entries = tested.filter(F.col("entry") != "").filter(_may_be_toxic(*totals, evidence)).collect()
+        lexicon = _lexicon([tuple(r) for r in entries], *totals, evidence)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = ClauseScorer(lexicon)

@@ -59,6 +59,25 @@ def test_learning_and_accuracy(tables):
     assert toxicity.learn_toxicity(docs.repartition(3), turned).lexicon == model.lexicon
 
 
+def test_words_in_more_clean_than_toxic_texts(spark):
+    """With few toxic rows a word may have strong evidence and still be in more clean texts, as quoted ones."""
+    rows = [(i, i < 300, i < 40 or 300 <= i < 345) for i in range(2300)]
+    rows = [(i, " ".join([f"text{'abcdefghij'[i % 10]}", *["glorp"] * word, f"n{i}"]), int(toxic)) for i, toxic, word in rows]
+    made = spark.createDataFrame([(4 * i, *r) for i, *r in rows], "doc_id bigint, text string, toxic int")
+    allowed = made.withColumn("doc_id", F.col("doc_id") + F.when(held_out(), 1).otherwise(0))
+    model = toxicity.learn_toxicity(allowed.select("doc_id", "text"), allowed.select("doc_id", "toxic"))
+    assert any(w in model.lexicon for w in ("glorp", "glor*", "glorp*")) and len(model.lexicon) <= 2
+
+
+def test_entries_that_return(spark):
+    """Spark's test lets through what the lexicon's own test does, and hardly more."""
+    counts = [(f"w{i}", p, n) for i, (p, n) in enumerate((p, n) for p in range(0, 60, 3) for n in range(0, 90, 7) if p + n)]
+    table = spark.createDataFrame(counts, "entry string, p long, n long")
+    for positive, negative in ((130, 870), (500, 500), (60, 9000)):
+        found = {r.entry for r in table.filter(toxicity._may_be_toxic(positive, negative, 5.0)).collect()}
+        assert found == {e for e, *c in counts if toxicity._lexicon([(e, *c)], positive, negative, 5.0)} and found
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(0, 1), (1, None), (None, 1), (2, 0), (2, 1)], "doc_id bigint, toxic int")
     model = toxicity.learn_toxicity(odd_docs, labels)
