@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -163,17 +164,46 @@ def letters_alone(tokenizer: tokenizers.Tokenizer, letters: dict[int, int]) -> b
 
 @lru_cache(2)
 def encoder(path: str) -> TextEncoder:
-    """One per Python worker."""
+    """One per Python worker. The strings of added tokens are ordinary text."""
     return _Encoder(path).units
 
 
+class PlainCall:
+    """What the library gives for whole texts without its post-processor's tokens: ids of added tokens for their strings.
+
+    Texts that hold such a string go to the library whole, all others piece by piece.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer, self.units = tokenizers.Tokenizer.from_file(path), encoder(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.zeros(len(texts), bool)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self.units.encode(texts)
+        ids, counts = self.units.encode(pc.if_else(pa.array(whole), "", texts))
+        rows = np.split(ids, np.cumsum(counts)[:-1])
+        for i in np.flatnonzero(whole):
+            rows[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(rows), np.array([len(r) for r in rows])
+
+
+@lru_cache(2)
+def plain_call(path: str) -> PlainCall:
+    """One per Python worker."""
+    return PlainCall(path)
+
+
 def write_token_files(
     docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, file_tokens: int = FILE_TOKENS
 ) -> DataFrame:
     """Encode every whole text, append end_id, write files in ascending doc_id order; returns the manifest.
 
-    Null text counts as empty; rows with a null id come first, rows with one id in the order of their texts.
-    Documents are dealt to tasks by ranges of doc_id, each task writes its range's files, so files in the order
+    Ids are those of the library's call with add_special_tokens=False. Null text counts as empty; rows with a null id
+    come first, rows with one id in the order of their texts. Documents are dealt to tasks by ranges of doc_id, each task writes its range's files, so files in the order
     (part, file) hold the corpus in order.
     """
     spark = docs.sparkSession
@@ -181,7 +211,7 @@ def write_token_files(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, part, found = encoder(tokenizer), TaskContext.get().partitionId(), []
+        units, part, found = plain_call(tokenizer), TaskContext.get().partitionId(), []
         held: list = [[], [], [], 0]
 
         def flush() -> None:

@@ -9,6 +9,7 @@ import public_tokenizers as public
 import pyarrow as pa
 import pytest
 import tiktoken
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -59,6 +60,19 @@ def test_what_is_held_is_bounded():
         assert len(encoder.slots) <= 10 + 8
 
 
+def test_id_files_hold_what_the_plain_call_gives(spark, tmp_path):
+    """Also for strings of added tokens, which the library gives their ids."""
+    library = tokenizers.Tokenizer.from_file(JSON)
+    texts = [*ODD, "a <|endoftext|> b", "<|endoftext|>", "é<|endoftext|><|endoftext|> \n x", "<|endoftext", "plain again"]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert wanted[len(ODD)] == [64, 220, 50256, 275]
+    assert split(dac.plain_call(JSON), texts) == wanted and split(dac.plain_call(JSON), texts[len(ODD) :]) == wanted[len(ODD) :]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    manifest = dac.write_token_files(docs, JSON, end_id=2, folder=str(tmp_path))
+    found = dac.read_documents(manifest, with_ids=True).orderBy("start").collect()
+    assert [(r.doc_id, r.ids) for r in found] == [(i, [*ids, 2]) for i, ids in enumerate(wanted)]
+
+
 def test_model_bytes_are_a_sentencepiece_model():
     import sentencepiece
 
