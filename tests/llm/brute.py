@@ -30,3 +30,7 @@ def near_components(rows, n, percent=80):
         for x in s:
             index[x].append(i)
     return [find(i) for i in range(len(rows))], [len(s) for s in sets]
+
+
+def norm(text):
+    return "".join(c for c in text or "" if c not in " \t\n\x0b\x0c\r")

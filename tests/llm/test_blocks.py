@@ -4,15 +4,12 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from brute import norm
 from pyspark.sql import functions as F
 
 from martkit.llm import blocks
 
 
-def norm(text):
-    return "".join(c for c in text or "" if c not in " \t\n\x0b\x0c\r")
-
-
 def brute(rows):
     """Multiset of (doc_id, keep_id, group_size, kept, sha)."""
     groups = defaultdict(list)

@@ -6,15 +6,13 @@ from collections import Counter
 
 import public_tokenizers as public
 import tiktoken
-from brute import near_components
+from brute import near_components, norm
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martkit.llm import langid, mixing
 from martkit.sources.layers import stored
 
-from test_blocks import norm
-
 
 def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
