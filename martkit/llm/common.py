@@ -44,6 +44,22 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 8_000_000) -> Itera
         yield batch.slice(start)
 
 
+def frequent_floor(counts: DataFrame, column: str, most: int) -> int:
+    """The smallest power of two that at most ``most`` rows reach with this column of positive counts.
+
+    So a table of the most frequent rows has a size that is known before it is sent anywhere.
+    """
+    sizes = counts.groupBy(F.length(F.bin(column)).alias("bits")).agg(F.count(F.lit(1)).alias("n")).collect()
+    rows, bits = 0, 63
+    for b, n in sorted(((r["bits"], r["n"]) for r in sizes), reverse=True):  # at most 63 rows
+        if rows + n > most:
+            break
+        rows, bits = rows + n, b
+    else:
+        return 1
+    return 1 << (bits - 1) if rows else 1 << 62
+
+
 # --- files that tasks write and read themselves ------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import blocks, dac, langid, minmax, mixing, secrets, spbpe, syncmers, toxicity, warc
+from martkit.llm import alignment, blocks, dac, langid, minmax, mixing, secrets, spbpe, syncmers, toxicity, warc
 from martkit.llm.common import documents, held_out
 
 
@@ -82,6 +82,12 @@ def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
 
+def op13_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut every document, and how common its links are; one row per document."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignments(documents(spark, sf_dir), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_chunked_records": op1_warc_chunked_records,
     "op2_language_by_compression": op2_language_by_compression,
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece_byte_bpe": op8_sentencepiece_byte_bpe,
     "op9_secrets_by_trigram_index": op9_secrets_by_trigram_index,
     "op10_closed_syncmers": op10_closed_syncmers,
+    "op13_shared_cut_alignment": op13_shared_cut_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
