@@ -15,11 +15,10 @@ up in a table of bounded size that every task gets, all others meet their counts
 from __future__ import annotations
 
 import hashlib
-from array import array
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+import os
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ ID_BITS = 20
 #: Pairs that are sent to every task, the most frequent ones (17 bytes each); the counts of all others are joined.
 SENT_PAIRS = 400_000
 #: Pieces up to so many characters are remembered, and so many of them in a worker.
-UNIT_CHARS, UNITS = 64, 400_000
+UNIT_CHARS, UNITS = 64, 500_000
 TOUCHING = f"[{SPACES}] | [{SPACES}]"
 ALIGNED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -47,48 +46,59 @@ ALIGNED = (
 MEASURED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
 
 
-def shared_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """(i, j) in order wherever a[i] == b[j]. Both are rising ends of tokens over the same bytes."""
-    found, zones = [], [(0, len(a), 0, len(b))]
-    while zones:
-        low, high, first, last = zones.pop()
-        middle = (low + high) // 2
-        left, right = middle - 1, middle  # what lies between them has been probed
-        while left >= low or right < high:
-            if right < high and (left < low or right - middle <= middle - 1 - left):
-                at, right = right, right + 1
-            else:
-                at, left = left, left - 1
-            j = bisect_left(b, a[at], first, last)
-            if j < last and b[j] == a[at]:
-                found.append((at, j))
-                zones += [(low, left + 1, first, j), (right, high, j + 1, last)]
-                break
-    return sorted(found)
-
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of the given lengths, which may be 0."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], np.cumsum(counts)])])
 
-def overlaps(a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """(i, j) of all tokens whose byte ranges overlap, in order."""
-    i = j = 0
-    while i < len(a) and j < len(b):
-        yield i, j
-        end = min(a[i], b[j])
-        i, j = i + (a[i] == end), j + (b[j] == end)
 
+def shared_ends(a: np.ndarray, b: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The tokens of a, in order, whose end is an end of b too.
 
-def group_text(a_ids: list[int], b_ids: list[int], cuts: list[tuple[int, int]]) -> str:
-    """The groups as ``a1,a2|b1;a3|b2,b3``."""
-    a, b, out, i, j = list(map(str, a_ids)), list(map(str, b_ids)), [], 0, 0
-    for last_a, last_b in cuts:
-        out.append(",".join(a[i : last_a + 1]) + "|" + ",".join(b[j : last_b + 1]))
-        i, j = last_a + 1, last_b + 1
-    return ";".join(out)
+    a and b are rising ends of tokens over the same bytes, of one text or of several one after the other; starts are the
+    first tokens in a of each text. Zones of tokens that may hold a cut are searched all at once, each outwards from its
+    middle: a step probes one more token of every zone, and a cut leaves two zones in its place.
+    """
+    low, high = starts, np.append(starts[1:], len(a))
+    middle = (low + high) // 2
+    left, right = middle - 1, middle  # what lies between them has been probed
+    found = []
+    while len(low):
+        to_right = (right < high) & ((left < low) | (right - middle <= middle - 1 - left))
+        at = np.where(to_right, right, left)
+        left, right = left - ~to_right, right + to_right
+        hit = b[np.searchsorted(b, a[at])] == a[at]
+        found.append(at[hit])
+        on = ~hit & ((left >= low) | (right < high))
+        new_low, new_high = np.concatenate([low[hit], right[hit]]), np.concatenate([left[hit] + 1, high[hit]])
+        some = new_low < new_high
+        new_low, new_high = new_low[some], new_high[some]
+        new_middle = (new_low + new_high) // 2
+        low, high, middle = np.append(low[on], new_low), np.append(high[on], new_high), np.append(middle[on], new_middle)
+        left, right = np.append(left[on], new_middle - 1), np.append(right[on], new_middle)
+    return np.sort(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+class Runs(Pieces):
+    """Rows of variable length that also come many at a time."""
+
+    def extend(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while self.count + len(lengths) > len(self.offsets):
+            self.offsets = np.concatenate([self.offsets, np.empty_like(self.offsets)])
+            self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        new = slice(self.count, self.count + len(lengths))
+        self.offsets[new], self.lengths[new] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(flat)
+        self.count += len(lengths)
 
 
 class Aligner:
     """Both tokenizers and what is known of the pieces met so far."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = tokenizers.Tokenizer.from_file(byte_path)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
@@ -96,55 +106,82 @@ class Aligner:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [i for i in range(256) if i not in printable]
         byte_of = {chr(i): i for i in printable} | {chr(256 + k): i for k, i in enumerate(others)}
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for entry, i in self.a.get_vocab().items():
-            known = all(c in byte_of for c in entry)
-            self.a_bytes[i] = bytes(byte_of[c] for c in entry) if known else entry.encode()
+        self.a_bytes, self.b_bytes, self.decimals = Runs(np.uint8), Runs(np.uint8), Runs(np.uint8)
+        entries = sorted((i, entry) for entry, i in self.a.get_vocab().items())
+        assert [i for i, _ in entries] == list(range(len(entries))) and len(entries) < 1 << ID_BITS
+        for _, entry in entries:
+            data = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
+            self.a_bytes.append(np.frombuffer(data, np.uint8))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)
-        ]
+        for i, piece in enumerate(pieces):
+            data = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
+            self.b_bytes.append(np.frombuffer(data, np.uint8))
+        for i in range(max(len(entries), len(pieces))):
+            self.decimals.append(np.frombuffer(b"%d," % i, np.uint8))
         self.space = self.b.piece_to_id("\u2581")
-        # Texts are cut before single spaces only if no entry goes on behind one.
-        self.cuttable = not any("\u2581" in p.lstrip("\u2581") for p in pieces) and not any(b" " in e.lstrip(b" ") for e in self.a_bytes)
+        # Texts are cut before single spaces only if both cut there: no piece goes on behind a space, and pre-tokens start with it.
+        pre_tokens = [p for p, _ in self.a.pre_tokenizer.pre_tokenize_str(" a b. c")]
+        self.cuttable = not any("\u2581" in p.lstrip("\u2581") for p in pieces) and len(pre_tokens) == 4
         self._reset()
 
     def _reset(self) -> None:
         self.slots: dict[str, int] = {}
-        self.numbers = Pieces(np.int64)  # valid, n_a, n_b, n_groups of each piece
-        self.texts, self.links = Pieces(np.uint8), Pieces(np.int64)
-
-    def align(self, whole: str, a_ids: list[int], b_ids: list[int]) -> tuple[list[int], bytes, np.ndarray]:
-        """(valid, n_a, n_b, n_groups), group text, link of every overlap; not valid if the bytes differ."""
-        a, b = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        data = whole.encode()
-        if b"".join(a) != data or b"".join(b) != data:
-            return [0, 0, 0, 0], b"", np.empty(0, np.int64)
-        a_ends, b_ends = array("q", accumulate(map(len, a))), array("q", accumulate(map(len, b)))
-        cuts = shared_ends(a_ends, b_ends)
-        links = np.array([(a_ids[i] << ID_BITS) | b_ids[j] for i, j in overlaps(a_ends, b_ends)], np.int64)
-        return [1, len(a), len(b), len(cuts)], group_text(a_ids, b_ids, cuts).encode() + b";", links
-
-    def _remember(self, found: tuple[list[int], bytes, np.ndarray]) -> int:
-        self.numbers.append(found[0])
-        self.texts.append(np.frombuffer(found[1], np.uint8))
-        return self.links.append(found[2])
+        self.numbers = Runs(np.int64)  # valid, n_a, n_b, n_groups of each piece
+        self.texts, self.links = Runs(np.uint8), Runs(np.int64)
+
+    def _remember(self, units: list[str], b_lists: list[list[int]]) -> np.ndarray:
+        """Align pieces, all at once; returns their slots. Pieces whose bytes a tokenizer doesn't give back aren't valid."""
+        a_lists = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(units)) for ids in (a_lists, b_lists))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((a_lists, n_a), (b_lists, n_b)))
+        data = [u.encode() for u in units]
+        sizes = np.fromiter(map(len, data), np.int64, len(units))
+        valid = (_sums(self.a_bytes.lengths[a], n_a) == sizes) & (_sums(self.b_bytes.lengths[b], n_b) == sizes)
+        for _ in range(2):  # of pieces of the right length, those with other bytes go in a second round
+            a, b = a[np.repeat(valid, n_a)], b[np.repeat(valid, n_b)]
+            n_a, n_b, sizes = (np.where(valid, x, 0) for x in (n_a, n_b, sizes))
+            whole = np.frombuffer(b"".join(compress(data, valid)), np.uint8)
+            differ = (self.a_bytes.rows(a) != whole) | (self.b_bytes.rows(b) != whole)
+            if not differ.any():
+                break
+            valid = valid & (_sums(differ, sizes) == 0)
+        a_ends, b_ends = np.cumsum(self.a_bytes.lengths[a]), np.cumsum(self.b_bytes.lengths[b])
+        starts = (np.cumsum(n_a) - n_a)[valid]
+        cuts = shared_ends(a_ends, b_ends, starts)
+        # Tokens in the order of the groups' text: of each group those of a, then those of b.
+        b_cuts = np.searchsorted(b_ends, a_ends[cuts])
+        a_group, b_group = np.searchsorted(cuts, np.arange(len(a))), np.searchsorted(b_cuts, np.arange(len(b)))
+        a_place = np.arange(len(a)) + np.concatenate([[0], b_cuts + 1])[a_group]
+        b_place = np.arange(len(b)) + cuts[b_group] + 1
+        tokens = np.empty(len(a) + len(b), np.int64)
+        tokens[a_place], tokens[b_place] = a, b
+        widths = self.decimals.lengths[tokens]
+        text, behind = self.decimals.rows(tokens), np.cumsum(widths) - 1
+        text[behind[a_place[cuts]]], text[behind[b_place[b_cuts]]] = ord("|"), ord(";")
+        # Every end of either sequence ends one overlap.
+        ends = np.union1d(a_ends, b_ends)
+        linked = np.searchsorted(a_ends, ends)
+        links = a[linked] << ID_BITS | b[np.searchsorted(b_ends, ends)]
+        unit = np.repeat(np.arange(len(units)), n_a)
+        n_groups, n_links = np.bincount(unit[cuts], minlength=len(units)), np.bincount(unit[linked], minlength=len(units))
+        first = self.numbers.count
+        self.numbers.extend(np.stack([valid, n_a, n_b, n_groups], 1).ravel(), np.full(len(units), 4))
+        self.texts.extend(text, _sums(widths, n_a + n_b))
+        self.links.extend(links, n_links)
+        return np.arange(first, first + len(units))
 
     def _lookup(self, words: list[str]) -> np.ndarray:
-        """The slot of each word with a space before it."""
+        """The slot of each distinct word with a space before it."""
         slots = self.slots
         missing = [w for w in words if w not in slots]
         fresh = {}
-        for word, b_ids in zip(missing, self.b.encode(missing, num_threads=1), strict=True):
-            unit = " " + word
-            a_ids = self.a.encode(unit, add_special_tokens=False).ids
-            slot = self._remember(self.align(unit, a_ids, b_ids if word else [self.space]))
-            (slots if len(word) <= UNIT_CHARS else fresh)[word] = slot
+        if missing:
+            b_lists = self.b.encode(missing, num_threads=1)
+            new = self._remember([" " + w for w in missing], [ids if w else [self.space] for w, ids in zip(missing, b_lists, strict=True)])
+            fresh = dict(zip(missing, new.tolist(), strict=True))
+            slots.update((w, i) for w, i in fresh.items() if len(w) <= UNIT_CHARS)
         return np.fromiter((slots[w] if w in slots else fresh[w] for w in words), np.int64, len(words))
 
-    def _whole(self, text: str) -> int:
-        return self._remember(self.align(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)))
-
     def slots_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Slots of the pieces of all texts, one text after the other, and how many each text has; none for empty texts."""
         if len(self.slots) > UNITS or self.links.used > 8 * UNITS or self.texts.used > 32 * UNITS:
@@ -160,7 +197,8 @@ class Aligner:
         counts[filled & ~uneven] = np.diff(parts.offsets.to_numpy())
         if whole := np.flatnonzero(filled & uneven).tolist():
             places = np.concatenate([[0], np.cumsum(counts)])[whole]
-            slots = np.insert(slots, places, [self._whole(texts[i].as_py()) for i in whole])
+            found = [texts[i].as_py() for i in whole]
+            slots = np.insert(slots, places, self._remember([" " + t for t in found], self.b.encode(found, num_threads=1)))
             counts[whole] = 1
         return slots, counts
 
@@ -171,11 +209,6 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return Aligner(byte_path, piece_path)
 
 
-def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of runs of the given lengths, which may be 0."""
-    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], np.cumsum(counts)])])
-
-
 def align_documents(docs: DataFrame, byte_path: str, piece_path: str, with_groups: bool = False) -> DataFrame:
     """ALIGNED of every row (and ``groups``, the text itself): its counts, and its distinct pairs with their numbers.
 
