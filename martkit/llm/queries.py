@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import alignment, blocks, dac, langid, minmax, mixing, secrets, spbpe, syncmers, toxicity, warc
+from martkit.llm import alignment, blocks, dac, langid, minmax, mixing, ngramlm, secrets, spbpe, syncmers, toxicity, warc
 from martkit.llm.common import documents, held_out
 
 
@@ -82,6 +82,15 @@ def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
 
+def op12_log_frequency_filter_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document, learned from those that are not held out; one row per document."""
+    docs = documents(spark, sf_dir)
+    scored = ngramlm.score_texts(docs, ngramlm.learn_ngrams(docs.filter(~ngramlm.held_out())))
+    return scored.select(
+        "doc_id", ngramlm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op13_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How two tokenizers cut every document, and how common its links are; one row per document."""
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -99,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece_byte_bpe": op8_sentencepiece_byte_bpe,
     "op9_secrets_by_trigram_index": op9_secrets_by_trigram_index,
     "op10_closed_syncmers": op10_closed_syncmers,
+    "op12_log_frequency_filter_lm": op12_log_frequency_filter_lm,
     "op13_shared_cut_alignment": op13_shared_cut_alignment,
     "pipeline": corpus_pipeline.run,
 }
