@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import alignment, blocks, dac, langid, minmax, mixing, ngramlm, secrets, spbpe, syncmers, toxicity, warc
+from martkit.llm import alignment, blocks, collocations, dac, langid, minmax, mixing, ngramlm, secrets, spbpe, syncmers, toxicity, warc
 from martkit.llm.common import documents, held_out
 
 
@@ -82,6 +82,11 @@ def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
 
+def op11_hat_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language in all documents; one row per phrase."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op12_log_frequency_filter_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document, learned from those that are not held out; one row per document."""
     docs = documents(spark, sf_dir)
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece_byte_bpe": op8_sentencepiece_byte_bpe,
     "op9_secrets_by_trigram_index": op9_secrets_by_trigram_index,
     "op10_closed_syncmers": op10_closed_syncmers,
+    "op11_hat_trie_collocations": op11_hat_trie_collocations,
     "op12_log_frequency_filter_lm": op12_log_frequency_filter_lm,
     "op13_shared_cut_alignment": op13_shared_cut_alignment,
     "pipeline": corpus_pipeline.run,
@@ -169,4 +175,33 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT doc_id, size, source_size, target, 0::BIGINT FROM q WHERE target = 0
     """,
+    "op11_hat_trie_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        o AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        f AS (
+            SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase, count(*) AS n
+            FROM o, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+        t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+        x AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+        s AS (
+            SELECT x.lang, x.phrase, x.a, cut, l.n AS l, r.n AS r,
+                   (1000000::HUGEINT * x.a * x.a // (l.n::HUGEINT * r.n))::BIGINT AS score
+            FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(list_slice(x.ws, 1, cut), ' ')
+                   JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(x.ws, cut + 1, k), ' ')),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        i AS (
+            SELECT lang, unnest([array_to_string(list_slice(ws, 1, 2), ' '), array_to_string(list_slice(ws, 2, 3), ' ')]) AS phrase, a
+            FROM c WHERE k = 3),
+        m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY ALL),
+        q AS (
+            SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank
+            FROM b LEFT JOIN m USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * b.a)
+        SELECT q.lang, rank, phrase, a, l, r, t.n, score FROM q JOIN t ON t.lang = q.lang WHERE rank <= 2000
+    """,
 }

@@ -15,7 +15,7 @@ def con(sf_dir):
 
 
 def test_names():
-    assert {int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")} == set(range(1, 14))
     assert "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
 
 
