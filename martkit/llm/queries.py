@@ -185,7 +185,7 @@ ORACLE: dict[str, str] = {
         o AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
         f AS (
             SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase, count(*) AS n
-            FROM o, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+            FROM o, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(ws) GROUP BY 1, 2, 3),
         t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
         c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
         x AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
@@ -193,12 +193,12 @@ ORACLE: dict[str, str] = {
             SELECT x.lang, x.phrase, x.a, cut, l.n AS l, r.n AS r,
                    (1000000::HUGEINT * x.a * x.a // (l.n::HUGEINT * r.n))::BIGINT AS score
             FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(list_slice(x.ws, 1, cut), ' ')
-                   JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(x.ws, cut + 1, k), ' ')),
+                   JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(x.ws, cut + 1, x.k), ' ')),
         b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
         i AS (
             SELECT lang, unnest([array_to_string(list_slice(ws, 1, 2), ' '), array_to_string(list_slice(ws, 2, 3), ' ')]) AS phrase, a
             FROM c WHERE k = 3),
-        m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY ALL),
+        m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY 1, 2),
         q AS (
             SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank
             FROM b LEFT JOIN m USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * b.a)
