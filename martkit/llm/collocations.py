@@ -1,6 +1,8 @@
 """Collocations: phrases of two or three words that occur more often than their parts would by chance.
 
-Each task counts the phrases of its texts in a HAT-trie: under a word's number stands a container, a hash table of the
+Phrases are counted length by length, and only where both shorter phrases within them are frequent enough to matter
+themselves: a phrase can't be more frequent than a part of it. A Bloom filter of bounded size tells which are; it lets
+through all that are and some that aren't, so counts are whole. Each task counts the phrases of its texts in a HAT-trie: under a word's number stands a container, a hash table of the
 words that follow, and a container that grows too large bursts into one container per second word. When the trie
 holds too many phrases its largest subtrees are given out whole, as a run in the order of the phrases, and counting goes
 on without them. Runs are merged per prefix partition: those of a first word meet in a fixed number of partitions, dealt by the
@@ -12,16 +14,19 @@ Everything after the counts is over phrases that are frequent enough to matter,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from martkit.llm.common import slices
-from martkit.llm.words import split_words
+from martkit.llm.ngramlm import LogFrequencyFilter, build_filter, mixed
+from martkit.llm.words import Words, split_words
 from martkit.sources.layers import stored
 
 SPACES, STOPS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -30,6 +35,8 @@ WORD_BITS = 21
 REST = (1 << 2 * WORD_BITS) - 1
 #: Phrases that a container may hold before it bursts, and a trie before its largest subtrees go.
 BURST, HELD = 8192, 1_000_000
+#: Blocks of 64 KB of a filter at most: 32 MB.
+FILTER_BLOCKS = 512
 #: Partitions that the phrases of one first word are dealt to, and in which each language's best are looked for first.
 SPLITS = 16
 LEAST, COVERED_PERCENT, TOP = 10, 50, 2000
@@ -70,31 +77,41 @@ class Container:
         return rests, [n for child in self.children.values() for n in child.values()]
 
 
-def phrase_keys(ids: np.ndarray, pieces: np.ndarray, most_words: int) -> np.ndarray:
-    """The numbers of the words of every phrase, packed from the top; a phrase lies within one piece."""
-    found, key = [], np.zeros(len(ids), np.int64)
-    for k in range(min(most_words, len(ids))):
-        n = len(ids) - k
-        key = key[:n] | ids[k:] << (2 - k) * WORD_BITS
-        found.append(key[pieces[:n] == pieces[k:]])
-    return np.concatenate(found) if found else key
+def phrase_hashes(lang: str, hashes: np.ndarray, length: int) -> np.ndarray:
+    """A number for the phrase of so many words at every place, from the hashes of words."""
+    key = np.full(max(0, len(hashes) - length + 1), xxhash.xxh64_intdigest(lang), np.uint64)
+    for k in range(length):
+        key = mixed(key + hashes[k : k + len(key)])
+    return key
 
 
 class HatTrie:
-    """Phrase counts of one task, by language and first word."""
+    """Counts of phrases of one length in one task, by language and first word."""
 
-    def __init__(self, burst: int = BURST, held: int = HELD):
-        self.burst, self.held, self.size = burst, held, 0
+    def __init__(self, length: int, shorter: LogFrequencyFilter, burst: int = BURST, held: int = HELD):
+        self.length, self.shorter, self.burst, self.held, self.size = length, shorter, burst, held, 0
         self.numbers: dict[str, int] = {}
         self.roots: dict[tuple[str, int], Container] = {}
 
-    def add(self, lang: str, texts: pa.Array, most_words: int) -> int:
-        """Count the phrases of texts without nulls; returns the number of their words."""
-        words = split_words(texts, SPACES, STOPS)
-        numbers, roots = self.numbers, self.roots
-        of = np.array([numbers.setdefault(w, len(numbers) + 1) for w in words.distinct.to_pylist()], np.int64)
-        ids = of[words.codes] if len(of) else np.empty(0, np.int64)
-        found, counts = np.unique(phrase_keys(ids, words.pieces, most_words), return_counts=True)
+    def _keys(self, lang: str, words: Words) -> np.ndarray:
+        """The numbers of the words of every phrase, packed from the top, if both shorter phrases pass the filter."""
+        numbers, k = self.numbers, self.length
+        distinct = words.distinct.to_pylist()
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct], np.uint64)[words.codes]
+        passed = self.shorter.levels(phrase_hashes(lang, hashes, k - 1)) > 0
+        places = np.flatnonzero(passed[:-1] & passed[1:] & (words.pieces[: 1 - k] == words.pieces[k - 1 :]))
+        of = np.array([numbers.setdefault(w, len(numbers) + 1) for w in distinct], np.int64)
+        key = np.zeros(len(places), np.int64)
+        for i in range(k):
+            key |= of[words.codes[places + i]] << (2 - i) * WORD_BITS
+        return key
+
+    def add(self, lang: str, texts: pa.Array) -> None:
+        """Count the phrases of texts without nulls; a phrase lies within one piece."""
+        words, roots = split_words(texts, SPACES, STOPS), self.roots
+        if len(words.codes) < self.length:
+            return
+        found, counts = np.unique(self._keys(lang, words), return_counts=True)
         firsts = found >> 2 * WORD_BITS
         cuts = np.flatnonzero(np.diff(firsts, prepend=0))
         rests, counts = (found & REST).tolist(), counts.tolist()
@@ -105,7 +122,6 @@ class HatTrie:
             before = container.size
             container.add(rests[start:end], counts[start:end], self.burst)
             self.size += container.size - before
-        return len(ids)
 
     @property
     def full(self) -> bool:
@@ -155,34 +171,77 @@ def _run(lang: str, keys: np.ndarray, counts: np.ndarray, words: pa.Array) -> It
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), phrase, n], names=["lang", "phrase", "n"])
 
 
-def phrase_counts(docs: DataFrame, most_words: int = 3, burst: int = BURST, held: int = HELD) -> DataFrame:
-    """(lang, phrase, n): contiguous occurrences of all phrases of one to most_words words, overlaps included; the empty
-    phrase counts all words of a language."""
-    if not 1 <= most_words <= 3:
-        raise ValueError("phrases have one to three words")
+def _narrow(docs: DataFrame) -> DataFrame:
+    lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(lang.alias("lang"), text.alias("text"))
+
+
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
+    for batch in batches:
+        for rows in slices(batch, "text", 4_000_000):
+            langs, texts = rows.column("lang"), rows.column("text")
+            for lang in langs.unique().to_pylist():
+                yield lang, texts.filter(pc.equal(langs, lang))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, phrase, n) of single words; the empty phrase counts all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, totals = HatTrie(burst, held), {}
-        for batch in batches:
-            for rows in slices(batch, "text", 4_000_000):
-                langs, texts = rows.column("lang"), rows.column("text")
-                for lang in langs.unique().to_pylist():
-                    n = trie.add(lang, texts.filter(pc.equal(langs, lang)), most_words)
-                    totals[lang] = totals.get(lang, 0) + n
-                if trie.full:
-                    yield from trie.spill()
+        for lang, texts in _by_lang(batches):
+            words = split_words(texts, SPACES, STOPS)
+            n = np.append(np.bincount(words.codes, minlength=len(words.distinct)), len(words.codes))
+            phrases = pa.concat_arrays([words.distinct, pa.array([""])])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), phrases, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+
+    counts = _narrow(docs).mapInArrow(run, "lang string, phrase string, n long")
+    return counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def _filter(frequent: DataFrame) -> LogFrequencyFilter:
+    """A Bloom filter of the phrases of (lang, phrase)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            keys = []
+            for lang, phrase in zip(rows.column("lang").to_pylist(), rows.column("phrase").to_pylist(), strict=True):
+                words = phrase.split(" ")
+                keys.append(phrase_hashes(lang, np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64), len(words))[0])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], names=["key"])
+
+    keys = frequent.filter("phrase <> ''").select("lang", "phrase").mapInArrow(run, "key long")
+    return build_filter(stored(keys.withColumn("n", F.lit(1)), "keys"), 1, FILTER_BLOCKS)
+
+
+def phrase_counts(docs: DataFrame, length: int, shorter: LogFrequencyFilter, burst: int = BURST, held: int = HELD) -> DataFrame:
+    """(lang, phrase, n): contiguous occurrences, overlaps included, of phrases of ``length`` words whose shorter ones pass."""
+    shipped = docs.sparkSession.sparkContext.broadcast(shorter)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = HatTrie(length, shipped.value, burst, held)
+        for lang, texts in _by_lang(batches):
+            trie.add(lang, texts)
+            if trie.full:
+                yield from trie.spill()
         yield from trie.spill(all_of_it=True)
-        columns = [pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string()), pa.array(list(totals.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
 
-    narrow = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    )
-    runs = narrow.mapInArrow(run, "lang string, phrase string, n long")
+    runs = _narrow(docs).mapInArrow(run, "lang string, phrase string, n long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first, split = F.substring_index("phrase", " ", 1), F.pmod(F.xxhash64("phrase"), F.lit(SPLITS))
-    dealt = runs.withColumns({"first": first, "split": split}).repartition(parts, "lang", "first", "split")
-    return dealt.groupBy("lang", "first", "split", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+    first, rest = F.substring_index("phrase", " ", 1), F.pmod(F.xxhash64("phrase"), F.lit(SPLITS))
+    prefix = (F.pmod(F.xxhash64("lang", first), F.lit(1 << 16)) * SPLITS + rest).cast("int")
+    dealt = runs.withColumn("prefix", prefix).repartition(parts, "prefix")
+    return dealt.groupBy("prefix", "lang", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+
+
+def frequent_phrases(docs: DataFrame, least: int, most_words: int = 3, burst: int = BURST, held: int = HELD) -> DataFrame:
+    """(lang, phrase, n) of the phrases of up to most_words words that occur least times; the empty one has all words."""
+    if not 1 <= most_words <= 3:
+        raise ValueError("phrases have one to three words")
+    found = [stored(word_counts(docs).filter((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")]
+    for length in range(2, most_words + 1):
+        counts = phrase_counts(docs, length, _filter(found[-1]), burst, held)
+        found.append(stored(counts.filter(F.col("n") >= least), "phrases"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _cut_score(a: str, left: str, right: str) -> Column:
@@ -203,8 +262,7 @@ def collocations(
     Null text counts as empty, null lang as ``und``. Ties go by occurrences, then by the letters of the phrase. Repeated
     rows count as often as they come; other columns don't matter; a table without words gives no row.
     """
-    kept = phrase_counts(docs, most_words, burst, held).filter((F.col("n") >= least) | (F.col("phrase") == ""))
-    frequent = stored(kept, "phrases")
+    frequent = frequent_phrases(docs, least, most_words, burst, held)
     words, phrases = F.split("phrase", " "), frequent.filter("phrase <> ''")
     candidates = phrases.select("lang", "phrase", F.col("n").alias("a"), words.alias("words")).filter(F.size("words") > 1)
     k = F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k")

@@ -59,17 +59,25 @@ def test_scores_are_exact(spark):
     assert df.select(c._cut_score("a", "l", "r")).first()[0] == 1_000_000 * a * a // (left * right)
 
 
-def test_spilled_runs_are_sorted():
-    trie = c.HatTrie(burst=3, held=10)
-    trie.add("en", pa.array(["b a b a c", "a b c é z, b a"]), 3)
+def test_spilled_runs_are_sorted(spark):
+    texts = ["b a b a c", "a b c é z, b a"]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    words = c._filter(c.word_counts(docs))
+    trie = c.HatTrie(2, words, burst=1, held=4)
+    trie.add("en", pa.array(texts))
     assert trie.full and any(x.children is not None for x in trie.roots.values())
     some = [r for b in trie.spill() for r in b.to_pylist()]
-    assert trie.size <= 5 and some
+    assert trie.size <= 2 and some
     rest = [r for b in trie.spill(all_of_it=True) for r in b.to_pylist()]
     for run in (some, rest):
         assert [r["phrase"].split() for r in run] == sorted(r["phrase"].split() for r in run)
-    n = {r["phrase"]: r["n"] for r in some + rest}
-    assert len(n) == len(some + rest) and n["b a"] == 3 and n["a b c"] == 1 and "z b" not in n and n["é"] == 1
+    assert sorted((r["phrase"], r["n"]) for r in some + rest) == [("a b", 2), ("a c", 1), ("b a", 3), ("b c", 1), ("c é", 1), ("é z", 1)]
+
+
+def test_full_filter(spark, odd_docs, monkeypatch):
+    """A filter that is far too small lets more through and changes nothing."""
+    monkeypatch.setattr(c, "FILTER_BLOCKS", 1)
+    assert found(odd_docs, least=2) == brute(odd_docs.select("text", "lang").collect(), least=2)
 
 
 def test_empty_table(no_docs):
