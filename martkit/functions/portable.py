@@ -79,6 +79,18 @@ EXACT_DECIMALS = 8
 _SPLIT = 10_000
 
 
+def exact_halves(c: Name) -> tuple[Column, Column]:
+    """The two bigint sums that make up ``exact_sum``. Halves of parts of a table add up to those of the whole."""
+    units = F.rint(as_col(c).cast("double") * F.lit(float(10**EXACT_DECIMALS))).cast("bigint")
+    high = F.sum(F.call_function("div", units, F.lit(_SPLIT).cast("bigint")))
+    return high, F.sum(units % F.lit(_SPLIT).cast("bigint"))
+
+
+def from_halves(high: Column, low: Column) -> Column:
+    total = high.cast("decimal(20,0)") * F.lit(_SPLIT).cast("decimal(6,0)") + low.cast("decimal(20,0)")
+    return total.cast("double") / F.lit(float(10**EXACT_DECIMALS))
+
+
 def exact_sum(c: Name) -> Column:
     """Order-independent sum of doubles that carry at most ``EXACT_DECIMALS`` decimals.
 
@@ -86,11 +98,7 @@ def exact_sum(c: Name) -> Column:
     primitive arithmetic (about the speed of a double sum and eight times that of a decimal sum). The
     high half holds totals up to 9.2e14, the low half 9e14 rows; a single value beyond 9.2e10 raises.
     """
-    units = F.rint(as_col(c).cast("double") * F.lit(float(10**EXACT_DECIMALS))).cast("bigint")
-    high = F.sum(F.call_function("div", units, F.lit(_SPLIT).cast("bigint")))
-    low = F.sum(units % F.lit(_SPLIT).cast("bigint"))
-    total = high.cast("decimal(20,0)") * F.lit(_SPLIT).cast("decimal(6,0)") + low.cast("decimal(20,0)")
-    return total.cast("double") / F.lit(float(10**EXACT_DECIMALS))
+    return from_halves(*exact_halves(c))
 
 
 def stable_sum(c: Name, n: int | None = None) -> Column:

@@ -5,27 +5,50 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.operators.dimensions import assert_unique_key
 from martkit.operators.learning import DEPTH, FIT_ROWS, TREES, save_model, train_and_score
-from martkit.operators.quality import CRITICAL, QualityGateError, quality_gate, quality_report
+from martkit.operators.quality import (
+    CRITICAL,
+    STATE_SCHEMA,
+    QualityGateError,
+    check_state,
+    merge_states,
+    quality_gate,
+    report_of,
+)
 from martkit.operators.runmetrics import STEP_SCHEMA, append_metrics, observed, run_report
-from martkit.plans.marts import demand_by_zone_hour, tips_analysis
+from martkit.plans import marts
 from martkit.plans.silver import build_silver
 from martkit.sources import schemas
 from martkit.sources.documents import to_json_rows, write_metrics
 from martkit.sources.landing import land_trips, land_weather, land_zones
-from martkit.sources.layers import for_months, layer_counts, read_layer, write_month
+from martkit.sources.layers import for_months, layer_counts, read_layer
+from martkit.sources.versions import Manifest, Versions
 
 
 #: Carried behind the 26 columns of the clean layer: where a row comes from.
 ROW_KEY = ("_source_file", "_source_row")
 
 
+# Tables of the lake that are kept in versions: place below the root, and columns.
+SILVER, DEMAND, TIPS, PREDICTIONS = "silver/trips", "gold/demand_by_zone_hour", "gold/tips_analysis", "gold/ml_predictions"
+DEMAND_PARTS, TIPS_PARTS, CHECKS = "gold/demand_parts", "gold/tips_parts", "gold/check_states"
+PARTS = (
+    (DEMAND_PARTS, DEMAND, marts.DEMAND, marts.DEMAND.parts_schema(schemas.SILVER_TRIPS)),
+    (TIPS_PARTS, TIPS, marts.TIPS, marts.TIPS.parts_schema(schemas.SILVER_TRIPS)),
+)
+TABLES = {
+    "silver_trips": (SILVER, schemas.STORED_SILVER),
+    "demand_by_zone_hour": (DEMAND, schemas.DEMAND),
+    "tips_analysis": (TIPS, schemas.TIPS),
+    "ml_predictions": (PREDICTIONS, schemas.PREDICTIONS),
+}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where each layer lives below one root, on any file system Spark can reach."""
@@ -67,12 +90,27 @@ class Lake:
     def metrics(self) -> str:
         return self.path("gold", "ml_metrics")
 
-    @property
-    def counted(self) -> dict[str, str]:
+    def versions(self, spark: SparkSession) -> Versions:
+        """The clean layer, the marts and what they are made of: months and tables that are replaced at once."""
+        return Versions(spark, self.root)
+
+    def counted(self, spark: SparkSession) -> dict[str, Callable[[], DataFrame | None]]:
+        """Readers of the layers whose rows are reported; None for one that nobody has built."""
+
+        def reader(table: str) -> Callable[[], DataFrame | None]:
+            name, schema = TABLES[table]
+
+            def read() -> DataFrame | None:
+                versions = self.versions(spark)
+                manifest = versions.latest()
+                return versions.read(name, schema, manifest=manifest) if name in manifest.tables else None
+
+            return read
+
         return {
-            "silver_trips": self.silver,
-            "gold_demand_by_zone_hour": self.demand,
-            "gold_tips_analysis": self.tips,
+            "silver_trips": reader("silver_trips"),
+            "gold_demand_by_zone_hour": reader("demand_by_zone_hour"),
+            "gold_tips_analysis": reader("tips_analysis"),
         }
 
 
@@ -103,11 +141,6 @@ class Run:
     def record(self, name: str, value: float, **tags: str) -> None:
         self.recorded.append((name, value, tags))
 
-    def _store(self, df: DataFrame, path: str, layer: str, table: str) -> None:
-        watched = observed(df, f"{layer}_{table}")
-        watched.df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        self.record("RowsProcessed", watched.rows, layer=layer, table=table)
-
     def land(self) -> None:
         for month in self.months:
             rows = land_trips(
@@ -130,20 +163,32 @@ class Run:
         weather = read_layer(self.spark, self.lake.weather, schemas.LANDED_WEATHER)
         assert_unique_key(zones, "location_id")
         assert_unique_key(weather.select(F.col("weather_date").cast("date")), "weather_date")
+        versions = self.lake.versions(self.spark)
+        before = versions.latest()
+        changes: dict[str, dict[str, str | None]] = {t: {} for t in (SILVER, DEMAND_PARTS, TIPS_PARTS, CHECKS, DEMAND, TIPS)}
         rows = 0
-        for month in self.months:  # the other months of the clean layer stay as they are
+        for month in self.months:  # the other months of the clean layer, and of what is made of it, stay as they are
             cleaned = build_silver(for_months(trips, [month]), zones, weather, ROW_KEY)
             watched = observed(cleaned, f"silver_trips_{month}")
-            write_month(watched.df, self.lake.silver, month)
+            changes[SILVER] |= (held := versions.stage(SILVER, watched.df, month))
             rows += watched.rows
+            silver = versions.staged(SILVER, held, schemas.SILVER_TRIPS)
+            for place, _, mart, _ in PARTS:
+                changes[place] |= versions.stage(place, mart.parts(silver), month)
+            # Read with the schema of the files themselves: a column that should not be there must show.
+            files = self.spark.read.parquet(*versions.folders(SILVER, manifest=Manifest(0, {SILVER: held})))
+            changes[CHECKS] |= versions.stage(CHECKS, check_state(files), month)
         self.record("RowsProcessed", rows, layer="silver", table="trips")
-        silver = self.silver()
-        self._store(demand_by_zone_hour(silver), self.lake.demand, "gold", "demand_by_zone_hour")
-        self._store(tips_analysis(silver), self.lake.tips, "gold", "tips_analysis")
+        after = before.changed(changes, before.number)
+        for place, table, mart, schema in PARTS:
+            watched = observed(mart.merge(versions.read(place, schema, manifest=after)), table.replace("/", "_"))
+            changes[table] |= versions.stage(table, watched.df)
+            self.record("RowsProcessed", watched.rows, layer="gold", table=table.split("/")[1])
+        versions.commit(changes, before)
 
     def check(self) -> None:
-        # Read with the schema of the files themselves: a column that should not be there must show.
-        report = quality_report(self.spark.read.parquet(self.lake.silver).drop("year", "month")).collect()
+        states = self.lake.versions(self.spark).read(CHECKS, STATE_SCHEMA)
+        report = report_of(merge_states(states)).collect()
         failed = sum(1 for r in report if not r["passed"] and r["severity"] == CRITICAL)
         self.record("QualityFailedChecks", failed)
         self.record("QualityRowsTested", report[0]["total_rows"])
@@ -154,9 +199,7 @@ class Run:
         place = F.concat_ws(":", "year", "month", "_source_row")
         silver = self._stored_silver().withColumn("row_place", place)
         result = train_and_score(silver, "row_place", self.fit_rows, self.trees, self.depth)
-        result["predictions"].write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(self.lake.predictions)
+        self.lake.versions(self.spark).replace(PREDICTIONS, result["predictions"])
         save_model(result["model"], f"{self.lake.root}/models", result["run_id"])
         write_metrics(result["metrics"], self.lake.metrics)
         metrics = result["metrics"].first()
@@ -164,7 +207,7 @@ class Run:
         self.record("MLImprovementPct", metrics["improvement_mae_pct"] or 0.0)
 
     def _stored_silver(self) -> DataFrame:
-        return read_layer(self.spark, self.lake.silver, schemas.STORED_SILVER)
+        return read_table(self.spark, self.lake, "silver_trips")
 
     def silver(self) -> DataFrame:
         """The 26 columns of the clean layer, all months."""
@@ -206,7 +249,8 @@ def run_pipeline(
 ) -> DataFrame:
     """Run all steps in order over some months and return the run report; also written below root.
 
-    Only the given months of the raw and the clean layer are written again; the marts are built from all. A failing
+    Only the given months of the raw and the clean layer are written, and read, again. Each keeps its part of the marts and
+    of the checks; both are put together from all parts. Rows, parts and marts change in one commit. A failing
     step is tried again after ``delay`` seconds (commits, listings and late files are not covered by Spark's own
     retry of tasks). The first step that stays failed ends the run: its report is written and its error raised.
     """
@@ -227,7 +271,7 @@ def run_pipeline(
     try:
         if run.recorded:
             append_metrics(spark, f"{run.lake.root}/run_metrics", run.recorded)
-        counts = layer_counts(spark, run.lake.counted)
+        counts = layer_counts(spark, run.lake.counted(spark))
         report = run_report(spark.createDataFrame(done, STEP_SCHEMA), counts)
         to_json_rows(report, f"{run.lake.root}/pipeline_run_report")
     except Exception as unwritten:
@@ -240,10 +284,6 @@ def run_pipeline(
 
 
 def read_table(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """A mart by name, for the reads."""
-    tables = {
-        "demand_by_zone_hour": partial(read_layer, spark, lake.demand, schemas.DEMAND),
-        "tips_analysis": partial(read_layer, spark, lake.tips, schemas.TIPS),
-        "ml_predictions": partial(read_layer, spark, lake.predictions, schemas.PREDICTIONS),
-    }
-    return tables[table]()
+    """The clean layer or a mart by name, for the reads: what the last commit left."""
+    place, schema = TABLES[table]
+    return lake.versions(spark).read(place, schema)

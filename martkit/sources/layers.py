@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -145,12 +145,14 @@ def for_months(df: DataFrame, months: Sequence[str]) -> DataFrame:
 # --- row counts ------------------------------------------------------------------------------------
 
 
-def layer_counts(spark: SparkSession, layers: Mapping[str, str]) -> DataFrame:
-    """Rows per layer, ``{name: path}``; a layer that is not there, or can't be read, counts as null."""
+def layer_counts(spark: SparkSession, layers: Mapping[str, str | Callable[[], DataFrame | None]]) -> DataFrame:
+    """Rows per layer, ``{name: path}`` or ``{name: function that reads it}``; a layer that is not there (None), or can't
+    be read, counts as null."""
     counts = []
-    for name, path in layers.items():
+    for name, layer in layers.items():
         try:
-            rows = spark.read.parquet(path).count()
+            found = layer() if callable(layer) else spark.read.parquet(layer)
+            rows = found.count() if found is not None else None
         except (AnalysisException, PySparkException, Py4JJavaError):
             rows = None
         counts.append((name, rows))

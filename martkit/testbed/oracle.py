@@ -272,6 +272,13 @@ def all_oracles() -> dict[str, str]:
       ROUND({rev}, {n}) AS revenue_total FROM dm GROUP BY pu_borough, pu_zone
       ORDER BY revenue_total DESC NULLS LAST, pu_borough, pu_zone LIMIT 10"""
     revenue = exact("revenue_total")
+    month_again = _with(
+        """SELECT weather_date, temperature_2m_mean, temperature_2m_max,
+        CASE WHEN left(weather_date, 7) = '1996-01' THEN 99.0::DOUBLE ELSE precipitation_sum END
+          AS precipitation_sum,
+        CAST(left(weather_date, 4) AS INTEGER) AS year, substr(weather_date, 6, 2) AS month FROM bw""",
+        _WEATHER,
+    )
     return {
         "partitioned_layer": trips(
             f"""SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
@@ -283,13 +290,8 @@ def all_oracles() -> dict[str, str]:
             strftime(tpep_pickup_datetime, '%m') AS month, tpep_pickup_datetime, fare_amount
             FROM bt WHERE {month} IN ('1996-01', '1996-02', '1999-12')"""
         ),
-        "month_rewrite": _with(
-            """SELECT weather_date, temperature_2m_mean, temperature_2m_max,
-            CASE WHEN left(weather_date, 7) = '1996-01' THEN 99.0::DOUBLE ELSE precipitation_sum END
-              AS precipitation_sum,
-            CAST(left(weather_date, 4) AS INTEGER) AS year, substr(weather_date, 6, 2) AS month FROM bw""",
-            _WEATHER,
-        ),
+        "month_rewrite": month_again,
+        "month_swap": month_again,
         "zones_csv": _with("SELECT * FROM bz", _ZONES),
         "weather_documents": _with("SELECT * FROM bw", _WEATHER),
         "json_rows": demand("SELECT * FROM dm"),
@@ -318,6 +320,10 @@ def all_oracles() -> dict[str, str]:
         "external_table": demand("SELECT * FROM dm"),
         "table_as_select": demand("SELECT * FROM dm WHERE trips >= 6"),
         "rebuilt_table": demand("SELECT * FROM dm WHERE pickup_hour < 12"),
+        "table_swap": demand(
+            """SELECT 'old' AS reader, COUNT(*) AS n, CAST(SUM(trips) AS BIGINT) AS t FROM dm
+            UNION ALL SELECT 'new', COUNT(*), CAST(SUM(trips) AS BIGINT) FROM dm WHERE pickup_hour < 12"""
+        ),
         "view_read": tips("SELECT pu_borough, payment_type, trips FROM tp WHERE is_rainy"),
         "key_guard": """SELECT 'zones' AS table_name, 'location_id' AS key_name,
               COUNT(DISTINCT n_nationkey) = COUNT(*) AS is_unique FROM nation
@@ -405,6 +411,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "demand_by_zone_hour": demand("SELECT * FROM dm"),
         "tips_analysis": tips("SELECT * FROM tp"),
+        "demand_from_months": demand("SELECT * FROM dm"),
+        "tips_from_months": tips("SELECT * FROM tp"),
         "k_suppressed_groups": silver(
             """SELECT COUNT(*) AS all_groups, COUNT(*) FILTER (WHERE n < 5) AS hidden_groups,
             CAST(COALESCE(SUM(n) FILTER (WHERE n < 5), 0) AS BIGINT) AS hidden_rows
@@ -452,6 +460,7 @@ def all_oracles() -> dict[str, str]:
             ORDER BY total_amount DESC, trip_key LIMIT 25"""
         ),
         "quality_report": silver(_checks("sv")),
+        "quality_from_months": silver(_checks("sv")),
         "quality_report_raw": _with(
             _checks("src", missing=("total_amount",), leaked=True),
             _TRIPS,

@@ -8,6 +8,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkit.functions.labels import PAYMENT_DEFAULT, PAYMENT_LABELS, WEEKDAY_LABELS, label_codes
 from martkit.functions.portable import (
@@ -45,7 +46,8 @@ from martkit.sources.layers import (
     stored,
     write_partitioned,
 )
-from martkit.sources.schemas import DEMAND, LANDED_WEATHER, ML_METRICS
+from martkit.sources.schemas import DEMAND, LANDED_WEATHER, ML_METRICS, SILVER_TRIPS
+from martkit.sources.versions import Versions
 from martkit.testbed import adapters as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,7 +149,8 @@ def layer_row_counts(spark, sf_dir):
     silver = spark.read.parquet(lake.silver)
     marts.demand_by_zone_hour(silver).write.parquet(lake.demand)
     marts.tips_analysis(silver).write.parquet(lake.tips)
-    return layer_counts(spark, {**lake.counted, "gold_ml_predictions": lake.predictions})
+    paths = {"silver_trips": lake.silver, "gold_demand_by_zone_hour": lake.demand, "gold_tips_analysis": lake.tips}
+    return layer_counts(spark, {**paths, "gold_ml_predictions": lake.predictions})
 
 
 @query
@@ -168,7 +171,7 @@ def lake_build(spark, sf_dir):
     run = Run(spark, Lake(scratch_path(spark, "lake")), raw.deliver(spark, sf_dir), ["2024-01"], raw.SALT)
     run.land()
     run.transform()
-    return layer_counts(spark, run.lake.counted)
+    return layer_counts(spark, run.lake.counted(spark))
 
 
 def _table_name() -> str:
@@ -407,6 +410,73 @@ def star_enrich(spark, sf_dir):
     return enrich(trips, raw.raw_zones(spark, sf_dir), raw.raw_weather(spark, sf_dir))
 
 
+# --- months that are replaced at once, and what is merged from them --------------------------------
+
+
+def _by_month(spark, sf_dir) -> DataFrame:
+    """The clean layer with the month folder each trip was landed in."""
+    return raw.silver(spark, sf_dir, ("year", "month"))
+
+
+def _one_month_again(spark, sf_dir, make: Callable[[DataFrame, tuple], DataFrame], schema: T.StructType | str) -> DataFrame:
+    """What all months keep of the clean layer, after one month was first kept wrong and then built again by itself."""
+    versions, again = Versions(spark, scratch_path(spark, "versions")), CHOSEN_MONTHS[0]
+    rows = _by_month(spark, sf_dir)
+    held = versions.stage_months("kept", make(rows, ("year", "month")))
+    year, month = again.split("-")
+    wrong = rows.filter(~((F.col("year") == int(year)) & (F.col("month") == month) & (F.col("pickup_hour") < 12)))
+    held |= {again: versions.stage_months("kept", make(for_months(wrong, [again]), ("year", "month")))[again]}
+    versions.commit({"kept": held})
+    versions.replace("kept", make(for_months(rows, [again]).drop("year", "month"), ()), again)
+    return versions.read("kept", schema)
+
+
+def _merged_mart(spark, sf_dir, mart: marts.Mart) -> DataFrame:
+    return mart.merge(_one_month_again(spark, sf_dir, mart.parts, mart.parts_schema(SILVER_TRIPS)))
+
+
+@query
+def demand_from_months(spark, sf_dir):
+    """The demand mart put together from what each month keeps; one month was built again by itself."""
+    return _merged_mart(spark, sf_dir, marts.DEMAND)
+
+
+@query
+def tips_from_months(spark, sf_dir):
+    return _merged_mart(spark, sf_dir, marts.TIPS)
+
+
+@query
+def quality_from_months(spark, sf_dir):
+    """The checks read off the sums of every month's counters."""
+    states = _one_month_again(spark, sf_dir, quality.check_state, quality.STATE_SCHEMA)
+    return quality.report_of(quality.merge_states(states))
+
+
+@query
+def month_swap(spark, sf_dir):
+    """A landed month is replaced in one commit; a version that was written and never committed isn't seen."""
+    versions, month = Versions(spark, scratch_path(spark, "swap")), CHOSEN_MONTHS[0]
+    weather, day = nan_to_null(raw.raw_weather(spark, sf_dir)), F.to_date("weather_date")
+    versions.commit({"weather": versions.stage_months("weather", weather.withColumns({"year": F.year(day), "month": F.month(day)}))})
+    again = versions.read("weather", LANDED_WEATHER, [month])
+    versions.replace("weather", again.withColumn("precipitation_sum", F.lit(99.0)), month)
+    versions.stage("weather", again.withColumn("precipitation_sum", F.lit(-1.0)), month)
+    return versions.read("weather", LANDED_WEATHER)
+
+
+@query
+def table_swap(spark, sf_dir):
+    """A whole table built again: readers of the older manifest keep its rows, new readers get the new ones."""
+    versions, demand = Versions(spark, scratch_path(spark, "swap")), raw.demand(spark, sf_dir)
+    before = versions.replace("demand", demand)
+    versions.replace("demand", demand.filter("pickup_hour < 12"))
+    versions.collect_old(keep=2, older_than=0.0)
+    old = versions.read("demand", DEMAND, manifest=before).agg(F.count(F.lit(1)).alias("n"), F.sum("trips").alias("t"))
+    new = versions.read("demand", DEMAND).agg(F.count(F.lit(1)).alias("n"), F.sum("trips").alias("t"))
+    return old.select(F.lit("old").alias("reader"), "n", "t").unionByName(new.select(F.lit("new").alias("reader"), "n", "t"))
+
+
 # --- marts and reads -------------------------------------------------------------------------------
 
 

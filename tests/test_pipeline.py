@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martkit.operators.quality import QualityGateError
 from martkit.operators.reads import kpis, top_errors, top_zones
 from martkit.operators.runmetrics import METRIC_SCHEMA
-from martkit.plans.pipeline import Lake, Sources, read_table, run_pipeline
+from martkit.plans.pipeline import PARTS, SILVER, Lake, Run, Sources, read_table, run_pipeline
 from martkit.sources import schemas
 from martkit.sources.documents import read_metrics
 from martkit.sources.layers import read_layer
@@ -62,7 +62,7 @@ def test_report(lake):
 
 def test_layers(spark, lake):
     place, report = lake
-    silver = read_layer(spark, place.silver, schemas.STORED_SILVER)
+    silver = read_table(spark, place, "silver_trips")
     assert silver.columns == schemas.STORED_SILVER.names
     assert silver.select("year", "month", "_source_row").distinct().count() == silver.count()
     assert silver.count() == report.rows_per_layer["silver_trips"]
@@ -105,15 +105,42 @@ def test_running_again_gives_the_same(spark, sources, lake):
     place, report = lake
     before = read_metrics(spark, place.metrics).drop("run_id").collect()
     rows = sorted(map(str, read_table(spark, place, "ml_predictions").collect()))
-    other = Path(place.silver) / "year=1997" / "month=04"
+    other = Path(place.versions(spark).folders(SILVER, ["1997-04"])[0])
     stamps = {p.name: p.stat().st_mtime_ns for p in other.glob("*.parquet")}
     again = run_pipeline(spark, place.root, sources, MONTHS[:1], "salt", trees=5, depth=4, fit_rows=900).first()
     assert again.rows_per_layer == report.rows_per_layer
-    assert {p.name: p.stat().st_mtime_ns for p in other.glob("*.parquet")} == stamps
+    assert place.versions(spark).folders(SILVER, ["1997-04"]) == [str(other)]
+    assert stamps and {p.name: p.stat().st_mtime_ns for p in other.glob("*.parquet")} == stamps
     assert read_metrics(spark, place.metrics).drop("run_id").collect() == before
     assert sorted(map(str, read_table(spark, place, "ml_predictions").collect())) == rows
 
 
+def test_one_month_again_reads_one_month(spark, sources, tmp_path):
+    """The other month's clean rows are gone, and nobody misses them: its parts and check counters are still there."""
+    run = Run(spark, Lake(str(tmp_path)), sources, MONTHS, "salt")
+    run.land()
+    run.transform()
+    run.check()
+    tested = dict((n, v) for n, v, _ in run.recorded)["QualityRowsTested"]
+
+
+    def marts():
+        """Both marts without the floor, which hides all groups of the first at this size, and the second as stored."""
+        versions = run.lake.versions(spark)
+        found = [mart.merge(versions.read(place, schema), k=1) for place, _, mart, schema in PARTS]
+        return [sorted(map(str, df.collect())) for df in [*found, read_table(spark, run.lake, "tips_analysis")]]
+
+    before = marts()
+    assert all(before)
+    for file in Path(run.lake.versions(spark).folders(SILVER, MONTHS[1:])[0]).glob("*.parquet"):
+        file.write_bytes(b"gone")
+    again = Run(spark, run.lake, sources, MONTHS[:1], "salt")
+    again.transform()
+    again.check()
+    assert dict((n, v) for n, v, _ in again.recorded)["QualityRowsTested"] == tested
+    assert marts() == before
+
+
 def test_a_step_is_tried_again(spark, sources, tmp_path, monkeypatch):
     from martkit.plans import pipeline
 
