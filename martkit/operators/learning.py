@@ -249,7 +249,7 @@ def train_and_score(
     sample = stored(sample_n(parts.train, fit_rows, key, SEED).repartition(few, key), "fit-rows")
     model = fit_price_model(sample, trees, depth, key=key, parts=few)
     forest = outliers or IsolationForest(columns=OUTLIER_FEATURES, key=key)
-    scored = stored(forest.fit_flag(score(model, parts.test)), "scored")
+    scored = forest.fit_flag(score(model, parts.test))  # stored there
     metrics = ml_metrics(
         mean_baseline(parts.train, scored),
         regression_metrics(scored, TARGET, "prediction"),

@@ -262,6 +262,55 @@ def _checks(table: str, missing: tuple[str, ...] = (), leaked: bool = False) ->
     return "\nUNION ALL ".join(parts)
 
 
+def _isolation_forest(trees: int = 100, sample: int = 256, height: int = 8, seed: int = 42) -> tuple[str, str]:
+    """Drawing, growing level by level, and scoring all rows, stated from the definition of the forest."""
+    columns = ["trip_distance", "trip_duration_min", "total_amount", "tip_amount"]
+    values = ", ".join(f"COALESCE({c}, 0)::DOUBLE AS f{i}" for i, c in enumerate(columns))
+    names, prime = "f0, f1, f2, f3", 2147483647
+
+    def number(text: str, digits: int) -> str:
+        return f"('0x' || substr(md5({text}), 1, {digits}))::BIGINT"
+
+    def chosen(prefix: str) -> str:
+        return f"CASE feature {' '.join(f'WHEN {i} THEN {prefix}{i}' for i in range(4))} END"
+
+    path = """CASE WHEN {n} <= 1 THEN 0::DOUBLE WHEN {n} = 2 THEN 1
+      ELSE 2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2::DOUBLE * ({n} - 1) / {n} END"""
+    levels, walk = [], []
+    for d in range(height):
+        votes = ", ".join(f"CASE WHEN lo{i} < hi{i} THEN md5(concat_ws(':', {seed}, tree, node, {i})) || ':{i}' END" for i in range(4))
+        ranges = ", ".join(f"min(f{i}) AS lo{i}, max(f{i}) AS hi{i}" for i in range(4))
+        levels.append(
+            f"""g{d} AS (SELECT tree, node, count(*) AS n, {ranges} FROM l{d} GROUP BY tree, node),
+            p{d} AS (SELECT *, right(least({votes}), 1)::INTEGER AS feature FROM g{d} WHERE n > 1),
+            q{d} AS (SELECT tree, node, feature, {chosen("lo")} AS lo, {chosen("hi")} AS hi,
+              {number(f"concat_ws(':', {seed}, tree, node, 'cut')", 13)}::DOUBLE / 4503599627370496 AS share FROM p{d} WHERE feature IS NOT NULL),
+            c{d} AS (SELECT tree, node, feature, CASE WHEN lo + share * (hi - lo) < hi THEN lo + share * (hi - lo) ELSE lo END AS cut FROM q{d}),
+            l{d + 1} AS (SELECT tree, {names}, CASE WHEN cut IS NULL THEN node WHEN {chosen("f")} <= cut THEN 2 * node + 1
+              ELSE 2 * node + 2 END AS node FROM l{d} LEFT JOIN c{d} USING (tree, node))"""
+        )
+        walk.append(
+            f"""w{d + 1} AS (SELECT trip_key, tree, {names}, CASE WHEN cut IS NULL THEN node WHEN {chosen("f")} <= cut THEN 2 * node + 1
+              ELSE 2 * node + 2 END AS node FROM w{d} LEFT JOIN c{d} USING (tree, node))"""
+        )
+    return f"""SELECT trip_key, trip_distance, trip_duration_min, total_amount, tip_amount, ROUND(s, 6) AS anomaly_score,
+      CAST(s > (SELECT quantile_cont(s, 0.98) FROM scores) AS INTEGER) AS is_anomaly FROM sv JOIN scores USING (trip_key)""", f"""
+    rows_ AS (SELECT trip_key, {values}, {number(f"'{seed}:' || trip_key", 8)} % {prime} AS place FROM sv),
+    sizes AS (SELECT least({sample}, count(*)) AS size, ceil(least(1::DOUBLE, 2::DOUBLE * least({sample}, count(*)) / count(*)) * {prime}) AS lim FROM sv),
+    trees AS (SELECT t::INTEGER AS tree, {number(f"'{seed}:factor:' || t", 8)} % {prime - 1} + 1 AS factor,
+      {number(f"'{seed}:shift:' || t", 8)} % {prime} AS shift FROM range({trees}) AS r(t)),
+    marks AS (SELECT tree, trip_key, {names}, (place * factor + shift) % {prime} AS mark FROM rows_, trees),
+    l0 AS (SELECT tree, {names}, 0 AS node FROM (SELECT marks.* FROM marks, sizes WHERE mark < lim
+      QUALIFY row_number() OVER (PARTITION BY tree ORDER BY mark, trip_key) <= size)),
+    {", ".join(levels)},
+    leaves AS (SELECT tree, node, round((length(bin(node + 1)) - 1 + {path.format(n="n")}) * 100000000)::BIGINT AS units
+      FROM (SELECT tree, node, count(*) AS n FROM l{height} GROUP BY tree, node)),
+    w0 AS (SELECT trip_key, tree, {names}, 0 AS node FROM rows_, trees),
+    {", ".join(walk)},
+    scores AS (SELECT trip_key, pow(2::DOUBLE, -(sum(units)::BIGINT / 100000000::DOUBLE / {trees}) / any_value({path.format(n="size")})) AS s
+      FROM w{height} JOIN leaves USING (tree, node), sizes GROUP BY trip_key)"""
+
+
 def all_oracles() -> dict[str, str]:
     hours = ", ".join(
         f"CAST(SUM(trips) FILTER (WHERE pickup_hour = {h}) AS BIGINT) AS h{h:02d}" for h in range(24)
@@ -272,6 +321,7 @@ def all_oracles() -> dict[str, str]:
       ROUND({rev}, {n}) AS revenue_total FROM dm GROUP BY pu_borough, pu_zone
       ORDER BY revenue_total DESC NULLS LAST, pu_borough, pu_zone LIMIT 10"""
     revenue = exact("revenue_total")
+    forest, forest_steps = _isolation_forest()
     month_again = _with(
         """SELECT weather_date, temperature_2m_mean, temperature_2m_max,
         CASE WHEN left(weather_date, 7) = '1996-01' THEN 99.0::DOUBLE ELSE precipitation_sum END
@@ -539,6 +589,7 @@ def all_oracles() -> dict[str, str]:
                        ELSE CASE WHEN trip_duration_min <= 100 THEN 3.5 ELSE 1.0 END END AS a,
                   CASE WHEN total_amount <= 30 THEN 4.0 ELSE 1.5 END AS b FROM sv))"""
         ),
+        "isolation_forest": _with(forest, _TRIPS, _ZONES, _WEATHER, _SILVER, forest_steps),
         "cost_report": usage("SELECT scenario, item, ROUND(cost, 4) AS cost FROM costs"),
         "cost_annualized": usage(
             """SELECT scenario, ROUND(cost * 12, 2) AS yearly_cost FROM costs WHERE item = 'TOTAL'"""

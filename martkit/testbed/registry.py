@@ -807,10 +807,10 @@ def fixed_forest_scores(spark, sf_dir):
 
 @query
 def isolation_forest(spark, sf_dir):
-    """Outlier flag for every clean trip."""
+    """Outlier score and flag for every clean trip."""
     forest = IsolationForest(columns=learning.OUTLIER_FEATURES, key="trip_key")
-    trips = _learning_rows(spark, sf_dir).select("trip_key", *learning.OUTLIER_FEATURES)
-    return forest.fit_flag(trips)
+    flagged = forest.fit_flag(_learning_rows(spark, sf_dir).select("trip_key", *learning.OUTLIER_FEATURES))
+    return flagged.withColumn("anomaly_score", scale_round("anomaly_score", 6))
 
 
 # --- cost ------------------------------------------------------------------------------------------

@@ -1,13 +1,14 @@
 """Preparation, baseline, forest, outliers and the documents around them."""
 
 import math
+from hashlib import md5
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from martkit.operators import learning
-from martkit.operators.isoforest import IsolationForest, average_path, grow_tree
+from martkit.operators.isoforest import IsolationForest, average_path
 from martkit.sources.schemas import ML_METRICS, PREDICTIONS
 
 
@@ -105,13 +106,47 @@ def test_average_path():
     assert math.isclose(average_path(256), 10.2448, abs_tol=0.03)
 
 
-def test_tree_isolates_every_row():
-    rows = np.random.default_rng(0).normal(size=(64, 3))
-    nodes = grow_tree(rows, np.random.default_rng(1), height=60)
-    leaves = [n for n in nodes if n[1] < 0]
-    assert len(leaves) == 64 and len(nodes) == 127
-    same = grow_tree(np.ones((10, 2)), np.random.default_rng(1), height=8)
-    assert len(same) == 1 and same[0][5] == average_path(10)
+def grown(x, seed, tree, height):
+    """A tree by its definition: {node: (feature, cut)} and {leaf: rows}."""
+    inner, leaves, waiting = {}, {}, [(0, 0, x)]
+    while waiting:
+        node, depth, rows = waiting.pop()
+        low, high = rows.min(axis=0), rows.max(axis=0)
+        votes = [(md5(f"{seed}:{tree}:{node}:{i}".encode()).hexdigest(), i) for i in np.flatnonzero(low < high)]
+        if depth == height or len(rows) == 1 or not votes:
+            leaves[node] = len(rows)
+            continue
+        i = min(votes)[1]
+        cut = low[i] + int(md5(f"{seed}:{tree}:{node}:cut".encode()).hexdigest()[:13], 16) / 2**52 * (high[i] - low[i])
+        cut = cut if cut < high[i] else low[i]
+        inner[node] = (i, cut)
+        waiting += [(2 * node + 1, depth + 1, rows[rows[:, i] <= cut]), (2 * node + 2, depth + 1, rows[rows[:, i] > cut])]
+    return inner, leaves
+
+
+def test_trees_follow_their_definition(spark):
+    data = spark.range(500).selectExpr("id", "sin(id) AS a", "IF(id % 3 = 0, NULL, cos(id)) AS b", "4D AS c", "double(id % 2) AS d")
+    forest = IsolationForest(columns=["a", "b", "c", "d"], key="id", trees=6, max_samples=32)
+    drawn, size = forest._draws(data)
+    rows = {t: [] for t in range(6)}
+    for r in drawn.collect():
+        rows[r.tree].append([r.a, r.b, r.c, r.d])
+    found = {(n.tree, n.node): n for n in forest.nodes(data)[0].collect()}
+    wanted = 0
+    for tree, x in rows.items():
+        inner, leaves = grown(np.array(x), 42, tree, 5)
+        wanted += len(inner) + len(leaves)
+        assert {n: (found[tree, n].feature, found[tree, n].cut) for n in inner} == inner
+        for n, k in leaves.items():
+            assert found[tree, n].feature == -1 and math.isclose(found[tree, n].length, int(math.log2(n + 1)) + average_path(k), abs_tol=1e-8)
+    assert wanted == len(found) and size == 32
+
+
+def test_equal_rows_are_one_leaf(spark):
+    data = spark.range(20).selectExpr("id", "1D AS a", "2D AS b")
+    forest = IsolationForest(columns=["a", "b"], key="id", trees=3, max_samples=16)
+    assert {(n.node, n.feature, round(n.length, 6)) for n in forest.nodes(data)[0].collect()} == {(0, -1, round(average_path(16), 6))}
+    assert forest.fit_flag(data).filter("is_anomaly = 1").count() == 0
 
 
 @pytest.mark.parametrize("rows", [3_000, 40])
@@ -151,7 +186,7 @@ def test_scores_equal_a_walk_of_the_node_table(spark):
                 node = nodes[tree, node.left if goes_left else node.right]
             lengths.append(node.length)
         wanted = 2 ** (-np.mean(lengths) / average_path(size))
-        assert math.isclose(found[row.id], wanted, rel_tol=1e-12)
+        assert math.isclose(found[row.id], wanted, rel_tol=1e-9)
 
 
 def test_trees_draw_from_all_rows(spark):
