@@ -77,7 +77,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     """Add ``group``: ranges of descending doc_id of about GROUP_ROWS rows each, numbered in this order (null last).
 
     Quantiles of doc_id give at most COARSE ranges of about equal size, each cut evenly into as many groups as the
-    row count needs. What reaches the driver is the quantiles.
+    row count needs. Ids may be any 64-bit numbers. What reaches the driver is the quantiles.
     """
     points = [i / COARSE for i in range(COARSE + 1)]
     row = docs.agg(F.percentile_approx("doc_id", points, F.lit(10_000)).alias("q"), F.count(F.lit(1)).alias("n")).first()
@@ -85,9 +85,10 @@ def _grouped(docs: DataFrame) -> DataFrame:
     finer = max(1, -(-row["n"] // (len(bounds) * GROUP_ROWS)))
     array = F.array(*[F.lit(b).cast("bigint") for b in bounds])
     place = F.greatest(F.size(F.filter(array, lambda b: b <= F.col("doc_id"))), F.lit(1))
-    low = F.element_at(array, place)
-    high = F.coalesce(F.get(array, place), low + 1)
-    within = F.floor((F.col("doc_id") - low) * finer / F.greatest(high - low, F.lit(1)))
+    # As doubles, for which no difference of ids is too large. They round, but never change the order.
+    low = F.element_at(array, place).cast("double")
+    high = F.coalesce(F.get(array, place).cast("double"), low)
+    within = F.floor((F.col("doc_id").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * finer)
     number = (len(bounds) + 1 - place) * finer - F.least(F.greatest(within, F.lit(0)), F.lit(finer - 1))
     return docs.withColumn("group", F.coalesce(number, F.lit((len(bounds) + 1) * finer + 1)).cast("bigint"))
 

@@ -41,6 +41,19 @@ def test_many_ids(spark, monkeypatch):
     assert ids == {f"t{i}": f"t{(i - 1) % 500}" for i in range(500)}
 
 
+def test_far_apart_ids(spark, monkeypatch):
+    """The ends of the range of ids, and ids all over it."""
+    monkeypatch.setattr(syncmers, "GROUP_ROWS", 10)
+    monkeypatch.setattr(syncmers, "COARSE", 5)
+    ends = [-(1 << 63), -(1 << 63) + 1, -1, 0, (1 << 63) - 2, (1 << 63) - 1]
+    docs = spark.createDataFrame([(i, f"t{i}") for i in ends], "doc_id long, text string")
+    docs = docs.unionByName(spark.range(300).selectExpr("xxhash64(id) AS doc_id", "concat('t', xxhash64(id)) AS text"))
+    ids = sorted((r.doc_id for r in docs.collect()), reverse=True)
+    found = {r.doc_id: r.next_text for r in syncmers.with_next(docs).collect()}
+    assert found == {i: f"t{n}" for i, n in zip(ids, ids[1:] + ids[:1], strict=True)}
+    assert syncmers.fingerprints(docs).count() == len(ids)
+
+
 def test_choice(spark):
     """A k-mer is chosen when its smallest inner hash is its first or last one."""
     text = " ".join(f"w{i * i % 37}" for i in range(200))
