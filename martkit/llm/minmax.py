@@ -45,6 +45,8 @@ DEVIATIONS = 4.4
 LEAST_ESTIMATED = 20
 #: Rows that are sent to every task instead of shuffling the texts towards them (about 50 bytes each).
 SENT_ROWS = 200_000
+#: Text that is worked on at a time; NumPy and Arrow hold some thirty times as much for a moment.
+SLICE_BYTES = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -138,7 +140,7 @@ def sketch(docs: DataFrame, size: int, permutations: int = PERMUTATIONS, values:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text", 4_000_000):
+            for rows in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(rows.column("text").fill_null(""), size)
                 full = [s for s in sets if len(s)]
                 signed = signatures(full, permutations) if full else np.empty((0, 2 * permutations), np.uint64)
@@ -151,6 +153,7 @@ def sketch(docs: DataFrame, size: int, permutations: int = PERMUTATIONS, values:
                     pa.array([b for _, b in found], pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", "n_shingles", "set_key", "bands", "nibbles"])
+            pa.default_memory_pool().release_unused()
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<bigint>, nibbles array<bigint>")
@@ -189,7 +192,7 @@ def compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, perc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own, last = None, None, None
         for batch in batches:
-            for rows in slices(batch, "text", 4_000_000):
+            for rows in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(rows.column("text"), size)
                 places = rows.select(["pivot", "block", "member", "node"]).to_pylist()
                 linked = []
@@ -204,6 +207,7 @@ def compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, perc
                     [pa.array([p for p, _ in linked], pa.int64()), pa.array([n for _, n in linked], pa.int64())],
                     names=["pivot", "node"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return dealt.mapInArrow(run, "pivot long, node long")
 
@@ -293,7 +297,7 @@ def _leftover_pairs(docs: DataFrame, members: DataFrame, nodes: DataFrame, size:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text", 1_000_000):
+            for rows in slices(batch, "text", SLICE_BYTES):
                 sets = [s.view(np.int64) for s in shingle_sets(rows.column("text"), size)]
                 yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
