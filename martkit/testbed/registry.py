@@ -809,7 +809,8 @@ def fixed_forest_scores(spark, sf_dir):
 def isolation_forest(spark, sf_dir):
     """Outlier score and flag for every clean trip."""
     forest = IsolationForest(columns=learning.OUTLIER_FEATURES, key="trip_key")
-    flagged = forest.fit_flag(_learning_rows(spark, sf_dir).select("trip_key", *learning.OUTLIER_FEATURES))
+    trips = _learning_rows(spark, sf_dir).select("trip_key", *learning.OUTLIER_FEATURES)
+    flagged = forest.fit_flag(stored(trips, "outlier-rows"))
     return flagged.withColumn("anomaly_score", scale_round("anomaly_score", 6))
 
 
