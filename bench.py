@@ -38,6 +38,8 @@ HEADLINE = [
     "tips_ranked",
     "labelled_tips",
     "quality_report",
+    "demand_from_months",
+    "quality_from_months",
     "partitioned_layer",
     "month_selection",
     "sampled_trips",
