@@ -312,6 +312,15 @@ def _isolation_forest(trees: int = 100, sample: int = 256, height: int = 8, seed
 
 
 def all_oracles() -> dict[str, str]:
+    stated = _oracles()
+    verdict = """SELECT '{layer}' AS layer, COUNT(*) FILTER (WHERE NOT passed AND severity = 'critical') > 0 AS stopped,
+      string_agg(name, ', ' ORDER BY name) FILTER (WHERE NOT passed AND severity = 'critical') AS failed FROM ({report})"""
+    reports = {"clean": stated["quality_report"], "raw": stated["quality_report_raw"]}
+    stated["gate_verdicts"] = " UNION ALL ".join(verdict.format(layer=k, report=r) for k, r in reports.items())
+    return stated
+
+
+def _oracles() -> dict[str, str]:
     hours = ", ".join(
         f"CAST(SUM(trips) FILTER (WHERE pickup_hour = {h}) AS BIGINT) AS h{h:02d}" for h in range(24)
     )

@@ -587,6 +587,20 @@ def quality_report_raw(spark, sf_dir):
     )
 
 
+@query
+def gate_verdicts(spark, sf_dir):
+    """What the gate says of the clean layer, from its months' counters, and of the raw rows: stopped, and by which checks."""
+    found = []
+    for layer, report in (("clean", quality_from_months(spark, sf_dir)), ("raw", quality_report_raw(spark, sf_dir))):
+        try:
+            quality.quality_gate(report)
+            found.append((layer, False, None))
+        except quality.QualityGateError as error:
+            names = str(error).partition(": ")[2].split(", ")
+            found.append((layer, True, ", ".join(sorted(names))))
+    return spark.createDataFrame(found, "layer string, stopped boolean, failed string")
+
+
 # --- sampling and learning -------------------------------------------------------------------------
 
 
