@@ -142,7 +142,8 @@ class ClauseScorer:
                 first = last - length + 1
                 if first < done or first and text[first - 1].isalpha():
                     continue
-                start = max([text.rfind(c, 0, first) for c in '.!?;:,()[]|"\n'], default=-1) + 1
+                # No clause that holds this word begins before the end of the last one.
+                start = max(text.rfind(c, max(done, 0), first) for c in '.!?;:,()[]|"\n') + 1
                 clause = CLAUSE.match(text, start)
                 done = clause.end()
                 if (score := self.clause(clause.group())) > 0:

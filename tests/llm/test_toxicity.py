@@ -1,5 +1,8 @@
 """The clause grammar: what its machines write, what is learned, accuracy on held-out rows."""
 
+import math
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +88,18 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert scored.count() == odd_docs.count() and scored.filter("NOT score BETWEEN 0 AND 1 OR isnan(score)").count() == 0
     none = toxicity.learn_toxicity(no_docs, labels.limit(0))
     assert none.lexicon == {} and toxicity.score_toxicity(no_docs, none).count() == 0
+
+
+def test_long_text():
+    """Time grows with the text, not with its square, and clauses are those of a plain split."""
+    scorer = toxicity.ClauseScorer(LEXICON)
+    parts = ["a plain sentence here. ", "you idiot! ", "not an idiot, really; ", "lowei and (more) ", "words [x] | ", '"kill" you\n']
+    for n in (7, 400):
+        text = "".join(parts[(i * i + i // 3) % len(parts)] for i in range(n))
+        clauses = [s for c in toxicity.CLAUSE.findall(text) if (s := scorer.clause(c)) > 0]
+        assert scorer.features(text) == pytest.approx((sum(clauses) ** 0.5, max(clauses), math.log1p(len(clauses))))
+    for piece in ("you idiot went home\n", "such an idiot. "):
+        text = piece * (5_000_000 // len(piece))
+        began = time.monotonic()
+        assert scorer.features(text)[2] == pytest.approx(math.log1p(text.count("idiot")))
+        assert time.monotonic() - began < 30
