@@ -1,6 +1,7 @@
 """Secret scans against plain regular expressions; trigram queries against what they must not miss."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,17 @@ def test_odd_documents(odd_docs, no_docs):
     assert secrets.scan(odd_docs).count() == odd_docs.count() and secrets.scan(no_docs).count() == 0
     plan = secrets.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_secrets_in_one_text(spark):
+    """Time grows with the text, not with its square; counts around the block size of the running sums."""
+    line = "id 0123456789abcdef0123456789abcdef token=abc é secret: longenough{}\n"
+    for n in (1, secrets.BLOCK // 2, secrets.BLOCK, secrets.BLOCK + 1, 3 * secrets.BLOCK):
+        text = "".join(line.format(i) for i in range(n))
+        found = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+        assert [tuple(s) for s in found.spans] == brute(text)
+    text = "".join(line.format(i) for i in range(50_000))
+    began = time.monotonic()
+    found = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert time.monotonic() - began < 60
+    assert len(found.spans) == 100_000 and [tuple(s) for s in found.spans] == brute(text)
