@@ -132,9 +132,7 @@ class IsolationForest:
         return ranked.select("tree", "rank", *self.columns), size
 
     def _values(self):
-        return [
-            F.coalesce(known(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in self.columns
-        ]
+        return _known_values(self.columns)
 
     def _level(self, rows: DataFrame) -> DataFrame:
         """Send the rows of every node that can be divided to its children; ``path`` notes the feature and the cut."""
@@ -204,22 +202,54 @@ class IsolationForest:
         return Forest(feature, cut, children.reshape(count, 2 * width), length, _height(size), average_path(size))
 
     def score(self, df: DataFrame, forest: Forest) -> DataFrame:
-        """Add ``anomaly_score``; the forest goes to each executor once."""
-        shipped = df.sparkSession.sparkContext.broadcast(tuple(forest))
+        """Add ``anomaly_score``."""
+        return _scored(df, forest, self.columns)
 
-        def score_batch(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series(forest_scores(shipped.value, np.column_stack(batch)))
+    def fitted(self, df: DataFrame) -> tuple[Outliers, DataFrame]:
+        """Fit on df; returns what flags further rows, and df scored and flagged.
 
-        scorer = F.pandas_udf(score_batch, "double")
-        return df.withColumn("anomaly_score", scorer(*self._values()))
+        ``is_anomaly`` is 1 strictly above the contamination quantile of df. Every row is scored once: the scored
+        rows are stored, and both the threshold and the result are read from there.
+        """
+        forest = self.fit(df)
+        scored = stored(self.score(df, forest), "scored")
+        threshold = exact_quantile(scored, "anomaly_score", 1.0 - self.contamination)
+        return Outliers(tuple(self.columns), forest, threshold), _flagged(scored, threshold)
 
     def fit_flag(self, df: DataFrame) -> DataFrame:
-        """Fit on df, score it and set ``is_anomaly`` to 1 strictly above the contamination quantile.
+        """Fit on df, score it and set ``is_anomaly``."""
+        return self.fitted(df)[1]
 
-        Every row is scored once: the scored rows are stored, and both the threshold and the result are read from there.
-        """
-        scored = stored(self.score(df, self.fit(df)), "scored")
-        threshold = exact_quantile(scored, "anomaly_score", 1.0 - self.contamination)
-        flag = F.col("anomaly_score") > F.lit(threshold)
-        return scored.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)).cast("int"))
+
+@dataclass(frozen=True)
+class Outliers:
+    """A fitted forest and the score above which a row counts as an outlier; None: no row does."""
+
+    columns: tuple[str, ...]
+    forest: Forest
+    threshold: float | None
+
+    def flag(self, df: DataFrame) -> DataFrame:
+        """Add ``anomaly_score`` and ``is_anomaly`` to rows that the forest need not know."""
+        return _flagged(_scored(df, self.forest, self.columns), self.threshold)
+
+
+def _known_values(columns: Sequence[str]) -> list:
+    return [F.coalesce(known(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in columns]
+
+
+def _scored(df: DataFrame, forest: Forest, columns: Sequence[str]) -> DataFrame:
+    """Add ``anomaly_score``; the forest goes to each executor once."""
+    shipped = df.sparkSession.sparkContext.broadcast(tuple(forest))
+
+    def score_batch(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(forest_scores(shipped.value, np.column_stack(batch)))
+
+    scorer = F.pandas_udf(score_batch, "double")
+    return df.withColumn("anomaly_score", scorer(*_known_values(columns)))
+
+
+def _flagged(scored: DataFrame, threshold: float | None) -> DataFrame:
+    flag = F.col("anomaly_score") > F.lit(threshold).cast("double")
+    return scored.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)).cast("int"))

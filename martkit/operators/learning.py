@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import TYPE_CHECKING
 
@@ -18,7 +19,7 @@ from martkit.sources.layers import stored
 from martkit.sources.schemas import ML_METRICS
 
 if TYPE_CHECKING:
-    from martkit.operators.isoforest import IsolationForest
+    from martkit.operators.isoforest import IsolationForest, Outliers
 
 # Features in order, target, columns filled by their median, outlier features, sizes.
 FEATURES = (
@@ -49,10 +50,17 @@ MODEL_NAME = "RandomForestRegressor"
 
 def impute_median(df: DataFrame, columns: Sequence[str] = IMPUTED) -> DataFrame:
     """Fill missing values of each column with its exact median; an empty column stays as it is."""
-    medians = exact_quantiles(df, dict.fromkeys(columns, 0.5))
-    return df.withColumns(
-        {c: F.coalesce(known(c), F.lit(m).cast("double")) for c, m in medians.items()}
-    )
+    return fill(df, medians(df, columns))
+
+
+def medians(df: DataFrame, columns: Sequence[str] = IMPUTED) -> dict[str, float | None]:
+    """Exact median of each column; None for an empty one."""
+    return exact_quantiles(df, dict.fromkeys(columns, 0.5))
+
+
+def fill(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
+    """Put a value in the place of what is missing in each column; None leaves a column as it is."""
+    return df.withColumns({c: F.coalesce(known(c), F.lit(v).cast("double")) for c, v in values.items()})
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str] = (*FEATURES, TARGET)) -> DataFrame:
@@ -62,8 +70,12 @@ def complete_rows(df: DataFrame, columns: Sequence[str] = (*FEATURES, TARGET)) -
 
 def prepare(silver: DataFrame, imputed: Sequence[str] = IMPUTED) -> DataFrame:
     """Flags to numbers, weather gaps to medians, incomplete rows out."""
-    numbers = silver.withColumns({c: F.col(c).cast("int") for c in FLAGS})
-    return complete_rows(impute_median(numbers, imputed))
+    return complete_rows(impute_median(numbers(silver), imputed))
+
+
+def numbers(silver: DataFrame) -> DataFrame:
+    """Flags to numbers."""
+    return silver.withColumns({c: F.col(c).cast("int") for c in FLAGS})
 
 
 def features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -214,12 +226,20 @@ def new_run_id() -> str:
     return datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
 
 
-def save_model(model: RandomForestRegressionModel, root: str, run_id: str) -> list[str]:
-    """Save the model under its run id and as the latest one."""
-    paths = [f"{root}/model_{run_id}", f"{root}/model_latest"]
-    for path in paths:
-        model.write().overwrite().save(path)
-    return paths
+@dataclass(frozen=True)
+class Fitted:
+    """All that later rows need to be predicted as the test rows were."""
+
+    run_id: str
+    model: RandomForestRegressionModel
+    medians: dict[str, float | None]
+    outliers: Outliers
+
+
+def predict(fitted: Fitted, silver: DataFrame) -> DataFrame:
+    """Rows of the predictions mart for complete rows of silver, with medians, model and outlier threshold as fitted."""
+    ready = complete_rows(fill(numbers(silver), fitted.medians))
+    return prediction_mart(fitted.outliers.flag(score(fitted.model, ready)), "")
 
 
 def train_and_score(
@@ -228,7 +248,7 @@ def train_and_score(
     fit_rows: int = FIT_ROWS,
     trees: int = TREES,
     depth: int = DEPTH,
-    outliers: IsolationForest | None = None,
+    detector: IsolationForest | None = None,
     run_id: str | None = None,
 ) -> dict:
     """Prepare and split all rows, fit both models, score and measure all test rows.
@@ -237,19 +257,21 @@ def train_and_score(
     (``fit_rows``, a sample of the training rows). The needed columns and the scored rows are stored in the shared
     folder: each is read many times, and a lost executor must not mean cleaning or scoring again. The training
     sample is brought into few files first, as it comes in a few rows from each task of a huge table.
-    Returns the predictions mart, the metrics document and the model.
+    Returns the predictions mart, the metrics document, the model, and what predicts later rows.
     """
     from martkit.operators.isoforest import IsolationForest
 
     run_id = run_id or new_run_id()
     needed = {key, TARGET, "pickup_date", "pu_zone", "pu_borough", *FEATURES, *OUTLIER_FEATURES}
-    ready = prepare(stored(silver.select(*sorted(needed)), "learning-rows"))
+    rows = numbers(stored(silver.select(*sorted(needed)), "learning-rows"))
+    gaps = medians(rows)
+    ready = complete_rows(fill(rows, gaps))
     parts = split(ready, key, TEST_SHARE, f"{SEED}:split")
     few = max(1, -(-fit_rows // ROWS_PER_PARTITION))
     sample = stored(sample_n(parts.train, fit_rows, key, SEED).repartition(few, key), "fit-rows")
     model = fit_price_model(sample, trees, depth, key=key, parts=few)
-    forest = outliers or IsolationForest(columns=OUTLIER_FEATURES, key=key)
-    scored = forest.fit_flag(score(model, parts.test))  # stored there
+    forest = detector or IsolationForest(columns=OUTLIER_FEATURES, key=key)
+    outliers, scored = forest.fitted(score(model, parts.test))  # stored there
     metrics = ml_metrics(
         mean_baseline(parts.train, scored),
         regression_metrics(scored, TARGET, "prediction"),
@@ -262,6 +284,7 @@ def train_and_score(
     return {
         "run_id": run_id,
         "model": model,
+        "fitted": Fitted(run_id, model, gaps, outliers),
         "predictions": prediction_mart(scored, key),
         "metrics": metrics,
     }

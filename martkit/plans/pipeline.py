@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.operators.dimensions import assert_unique_key
-from martkit.operators.learning import DEPTH, FIT_ROWS, TREES, save_model, train_and_score
+from martkit.operators.learning import DEPTH, FIT_ROWS, TREES, predict, train_and_score
 from martkit.operators.quality import (
     CRITICAL,
     STATE_SCHEMA,
@@ -27,7 +27,8 @@ from martkit.sources import schemas
 from martkit.sources.documents import to_json_rows, write_metrics
 from martkit.sources.landing import land_trips, land_weather, land_zones
 from martkit.sources.layers import for_months, layer_counts, read_layer
-from martkit.sources.versions import Manifest, Versions
+from martkit.sources.models import load_model, stage_model
+from martkit.sources.versions import WHOLE, Manifest, Versions
 
 
 #: Carried behind the 26 columns of the clean layer: where a row comes from.
@@ -36,6 +37,8 @@ ROW_KEY = ("_source_file", "_source_row")
 
 # Tables of the lake that are kept in versions: place below the root, and columns.
 SILVER, DEMAND, TIPS, PREDICTIONS = "silver/trips", "gold/demand_by_zone_hour", "gold/tips_analysis", "gold/ml_predictions"
+# Predictions for months that the published model has not been trained on, and the models.
+LATER, MODELS = "gold/ml_later_predictions", "models/price"
 DEMAND_PARTS, TIPS_PARTS, CHECKS = "gold/demand_parts", "gold/tips_parts", "gold/check_states"
 PARTS = (
     (DEMAND_PARTS, DEMAND, marts.DEMAND, marts.DEMAND.parts_schema(schemas.SILVER_TRIPS)),
@@ -195,12 +198,19 @@ class Run:
         quality_gate(report)
 
     def learn(self) -> None:
+        versions = self.lake.versions(self.spark)
+        before = versions.latest()
         # A row is named by its month and its number in what was delivered, however often layers are rebuilt.
         place = F.concat_ws(":", "year", "month", "_source_row")
         silver = self._stored_silver().withColumn("row_place", place)
         result = train_and_score(silver, "row_place", self.fit_rows, self.trees, self.depth)
-        self.lake.versions(self.spark).replace(PREDICTIONS, result["predictions"])
-        save_model(result["model"], f"{self.lake.root}/models", result["run_id"])
+        # Model and predictions count together; months predicted with the last model are in the new split.
+        changes = {
+            MODELS: stage_model(versions, MODELS, result["fitted"]),
+            PREDICTIONS: versions.stage(PREDICTIONS, result["predictions"]),
+            LATER: dict.fromkeys(before.months(LATER)),
+        }
+        versions.commit(changes, before)
         write_metrics(result["metrics"], self.lake.metrics)
         metrics = result["metrics"].first()
         self.record("MLModelMAE", metrics["model_metrics"]["mae"])
@@ -283,7 +293,35 @@ def run_pipeline(
     return report
 
 
+def score_months(spark: SparkSession, root: str, months: Sequence[str]) -> dict[str, int]:
+    """Predict months of the clean layer with the published model, for the predictions mart; returns rows per month.
+
+    A month predicted before is replaced, one without rows becomes empty. For months that came after the training: those
+    the model was trained on have their test rows in the mart already. All months change in one commit; if another
+    model is published in the meantime, nothing does, and CommitConflict is raised.
+    """
+    lake = Lake(root.rstrip("/"))
+    versions = lake.versions(spark)
+    before = versions.latest()
+    fitted = load_model(versions, MODELS, manifest=before)
+    held: dict[str, str | None] = {}
+    rows: dict[str, int] = {}
+    for month in months:
+        silver = versions.read(SILVER, schemas.STORED_SILVER, [month], before)
+        watched = observed(predict(fitted, silver), f"predicted_{month}")
+        held |= versions.stage(LATER, watched.df, month)
+        rows[month] = watched.rows
+    same_model = {WHOLE: before.tables[MODELS][WHOLE]}
+    versions.commit({LATER: held, MODELS: same_model}, before)
+    return rows
+
+
 def read_table(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """The clean layer or a mart by name, for the reads: what the last commit left."""
     place, schema = TABLES[table]
-    return lake.versions(spark).read(place, schema)
+    versions = lake.versions(spark)
+    manifest = versions.latest()
+    found = versions.read(place, schema, manifest=manifest)
+    if place == PREDICTIONS:  # test rows, and the months predicted since
+        found = found.unionByName(versions.read(LATER, schema, manifest=manifest))
+    return found

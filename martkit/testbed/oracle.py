@@ -581,6 +581,11 @@ def _oracles() -> dict[str, str]:
             """SELECT pu_borough AS variable, CAST(COUNT(*) AS DOUBLE) AS importance FROM sv
             WHERE pu_borough IS NOT NULL GROUP BY 1"""
         ),
+        "later_months": silver(
+            """SELECT strftime(pickup_date, '%Y-%m') AS month, COUNT(*) AS rows,
+            CAST(SUM(CAST(ROUND(100 * total_amount) AS BIGINT)) AS BIGINT) AS actual_cents, COUNT(*) AS predicted
+            FROM sv WHERE pickup_date >= DATE '1997-01-01' GROUP BY 1"""
+        ),
         "trained_facts": ready(
             """SELECT COUNT(*) FILTER (WHERE NOT in_test) AS n_train, COUNT(*) FILTER (WHERE in_test) AS n_test,
             COUNT(*) FILTER (WHERE in_test) AS rows, TRUE AS shares_add_up,

@@ -46,7 +46,8 @@ from martkit.sources.layers import (
     stored,
     write_partitioned,
 )
-from martkit.sources.schemas import DEMAND, LANDED_WEATHER, ML_METRICS, SILVER_TRIPS
+from martkit.sources.models import load_model, stage_model
+from martkit.sources.schemas import DEMAND, LANDED_WEATHER, ML_METRICS, PREDICTIONS, SILVER_TRIPS
 from martkit.sources.versions import Versions
 from martkit.testbed import adapters as raw
 
@@ -784,6 +785,27 @@ def importance_listing(spark, sf_dir):
     return learning.importance_rows(shares)
 
 
+@query
+def later_months(spark, sf_dir):
+    """A model of the trips before 1997, published, loaded again, and the months since predicted with it."""
+    trips = stored(_learning_rows(spark, sf_dir), "all-months")
+    early, later = trips.filter("pickup_date < '1997-01-01'"), trips.filter("pickup_date >= '1997-01-01'")
+    fitted = learning.train_and_score(early, "trip_key", fit_rows=5_000, trees=5, depth=5)["fitted"]
+    versions = Versions(spark, scratch_path(spark, "models"))
+    versions.commit({"price": stage_model(versions, "price", fitted)})
+    months = later.select(F.date_format("pickup_date", "yyyy-MM")).distinct().collect()  # a row per month
+    for (month,) in sorted(months):
+        rows = later.filter(F.date_format("pickup_date", "yyyy-MM") == month)
+        versions.replace("predictions", learning.predict(load_model(versions, "price"), rows), month)
+    predicted = versions.read("predictions", PREDICTIONS)
+    cents = F.sum(F.round(100 * F.col("actual_total")).cast("bigint"))
+    per_month = predicted.groupBy(F.substring("pickup_date", 1, 7).alias("month"))
+    return per_month.agg(
+        F.count(F.lit(1)).alias("rows"), cents.alias("actual_cents"),
+        F.count_if(F.col("predicted_total").isNotNull() & F.col("is_anomaly").isNotNull()).alias("predicted"),
+    )
+
+
 @query
 def trained_facts(spark, sf_dir):
     """What is known beforehand of any trained model: sizes of both parts, a row per test row."""

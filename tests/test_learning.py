@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from martkit.operators import learning
 from martkit.operators.isoforest import IsolationForest, average_path
+from martkit.sources import models
 from martkit.sources.schemas import ML_METRICS, PREDICTIONS
+from martkit.sources.versions import Versions
 
 
 @pytest.fixture(scope="module")
@@ -79,12 +81,33 @@ def test_train_and_score(spark, silver, tmp_path):
     again = learning.train_and_score(silver.repartition(7), "key", trees=10, depth=6)
     assert again["metrics"].drop("run_id").first() == result["metrics"].drop("run_id").first()
 
-    from pyspark.ml.regression import RandomForestRegressionModel
 
-    paths = learning.save_model(result["model"], str(tmp_path), result["run_id"])
-    assert len(paths) == 2
-    for path in paths:
-        assert RandomForestRegressionModel.load(path).getNumTrees == 10
+def test_published_models(spark, silver, tmp_path):
+    """What is loaded predicts as what was fitted; an older run can still be loaded by its id."""
+    versions, rows = Versions(spark, str(tmp_path)), silver.filter("total_amount > 20")
+    with pytest.raises(LookupError):
+        models.load_model(versions, "models")
+    wanted = {}
+    for run_id, trees in (("20240101T000000Z", 3), ("20240201T000000Z", 5)):
+        fitted = learning.train_and_score(silver, "key", trees=trees, depth=4, run_id=run_id)["fitted"]
+        versions.commit({"models": models.stage_model(versions, "models", fitted)})
+        wanted[run_id] = sorted(map(str, learning.predict(fitted, rows).collect()))
+    assert len(wanted[run_id]) == rows.count() and wanted["20240101T000000Z"] != wanted[run_id]
+    assert list(models.published_runs(versions.latest(), "models")) == sorted(wanted)
+    latest = models.load_model(versions, "models")
+    assert latest.run_id == run_id and latest.model.getNumTrees == 5
+    assert sorted(map(str, learning.predict(latest, rows).collect())) == wanted[run_id]
+    first = models.load_model(versions, "models", "20240101T000000Z")
+    assert sorted(map(str, learning.predict(first, rows).collect())) == wanted["20240101T000000Z"]
+
+
+def test_later_rows_are_filled_with_the_training_median(spark, silver):
+    fitted = learning.train_and_score(silver, "key", trees=2, depth=3)["fitted"]
+    gaps = silver.limit(50).withColumn("temp_mean_c", F.lit(None).cast("double"))
+    filled = silver.limit(50).withColumn("temp_mean_c", F.lit(fitted.medians["temp_mean_c"]))
+    found, wanted = (sorted(map(str, learning.predict(fitted, d).collect())) for d in (gaps, filled))
+    assert found == wanted and len(found) == 50
+    assert learning.predict(fitted, silver.limit(0)).count() == 0
 
 
 def test_mart_has_all_rows_unless_limited(spark, silver):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martkit.operators.quality import QualityGateError
 from martkit.operators.reads import kpis, top_errors, top_zones
 from martkit.operators.runmetrics import METRIC_SCHEMA
-from martkit.plans.pipeline import PARTS, SILVER, Lake, Run, Sources, read_table, run_pipeline
+from martkit.plans.pipeline import PARTS, SILVER, Lake, Run, Sources, read_table, run_pipeline, score_months
 from martkit.sources import schemas
 from martkit.sources.documents import read_metrics
 from martkit.sources.layers import read_layer
@@ -141,6 +141,27 @@ def test_one_month_again_reads_one_month(spark, sources, tmp_path):
     assert marts() == before
 
 
+def test_a_later_month_is_predicted(spark, sources, tmp_path):
+    """A month that came after the training is predicted with the stored model and joins the mart; a new model starts anew."""
+    options = {"trees": 3, "depth": 3, "fit_rows": 400}
+    root = str(tmp_path)
+    run_pipeline(spark, root, sources, MONTHS[:1], "salt", **options)
+    tested = read_table(spark, Lake(root), "ml_predictions").count()
+    later = Run(spark, Lake(root), sources, MONTHS[1:], "salt")
+    later.land()
+    later.transform()
+    silver = later.silver().filter("pickup_date >= '1997-04-01'")
+    for _ in range(2):  # again: replaced, not added
+        assert score_months(spark, root, MONTHS[1:]) == {MONTHS[1]: silver.count()}
+        mart = read_table(spark, Lake(root), "ml_predictions")
+        assert mart.count() == tested + silver.count() and mart.columns == schemas.PREDICTIONS.names
+    totals = F.sum(F.round(100 * F.col("actual_total")).cast("long"))
+    wanted = silver.select(F.sum(F.round(100 * F.col("total_amount")).cast("long"))).first()[0]
+    assert mart.filter("pickup_date >= '1997-04-01'").select(totals).first()[0] == wanted
+    run_pipeline(spark, root, sources, MONTHS[1:], "salt", **options)
+    assert read_table(spark, Lake(root), "ml_predictions").count() == read_metrics(spark, Lake(root).metrics).first().n_test
+
+
 def test_a_step_is_tried_again(spark, sources, tmp_path, monkeypatch):
     from martkit.plans import pipeline
 
