@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.portable import Name, as_col
@@ -15,9 +15,21 @@ SUBJECT_POOL = 5000
 SUBJECT_MULTIPLIER = 2654435761
 
 
-def pseudonymize(c: Name, salt: str) -> Column:
-    """First 16 hexadecimal digits of the SHA-256 of salt followed by value; null stays null."""
-    return F.substring(F.sha2(F.concat(F.lit(salt), as_col(c).cast("string")), 256), 1, PSEUDONYM_DIGITS)
+def secret(value: str) -> Column:
+    """A text as a column whose plan does not show it: the one value of a one-row table, fetched when a query runs.
+
+    A literal would stand in every plan, and so in the UI and in event logs.
+    """
+    return SparkSession.active().createDataFrame([(value,)], "secret string").scalar()
+
+
+def pseudonymize(c: Name, salt: str | Column) -> Column:
+    """First 16 hexadecimal digits of the SHA-256 of salt followed by value; null stays null.
+
+    The salt is a text, which plans won't show, or a column, such as ``secret`` or the scalar of a key table gives.
+    """
+    hidden = secret(salt) if isinstance(salt, str) else salt
+    return F.substring(F.sha2(F.concat(hidden, as_col(c).cast("string")), 256), 1, PSEUDONYM_DIGITS)
 
 
 def synthetic_subject(key: Name, domain: str, pool: int = SUBJECT_POOL) -> Column:
@@ -30,7 +42,8 @@ def synthetic_subject(key: Name, domain: str, pool: int = SUBJECT_POOL) -> Colum
     return F.concat(F.lit("driver"), number.cast("string"), F.lit(f"@{domain}"))
 
 
-def protect(df: DataFrame, columns: Mapping[str, str], salt: str) -> DataFrame:
+def protect(df: DataFrame, columns: Mapping[str, str], salt: str | Column) -> DataFrame:
     """Replace each clear column by its pseudonym: ``{clear name: pseudonym name}``."""
-    pseudonyms = {new: pseudonymize(old, salt) for old, new in columns.items()}
+    hidden = secret(salt) if isinstance(salt, str) else salt
+    pseudonyms = {new: pseudonymize(old, hidden) for old, new in columns.items()}
     return df.withColumns(pseudonyms).drop(*columns)

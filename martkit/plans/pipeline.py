@@ -136,6 +136,7 @@ class Run:
     months: Sequence[str]
     salt: str
     domain: str = "example.test"
+    key_version: int | None = None
     fit_rows: int = FIT_ROWS
     trees: int = TREES
     depth: int = DEPTH
@@ -153,6 +154,7 @@ class Run:
                 month,
                 self.salt,
                 self.domain,
+                self.key_version,
             )
             self.record("RowsIngested", rows, layer="bronze", month=month)
             land_weather(

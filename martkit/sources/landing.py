@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions.portable import nan_to_null
 from martkit.functions.privacy import pseudonymize, synthetic_subject
-from martkit.sources.layers import write_month
+from martkit.sources.layers import read_layer, stored, write_month
 from martkit.sources.schemas import RAW_ZONES, TRIP_SOURCE, WEATHER_DOCUMENT
 
 # Texts a CSV cell may hold for "missing".
@@ -18,6 +18,9 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+#: Which salt the pseudonyms of a landed row were made with.
+KEY_VERSION = "_key_version"
+
 # Source header to table column.
 ZONE_HEADER = {
     "LocationID": "location_id",
@@ -92,22 +95,54 @@ def read_trip_source(spark: SparkSession, src: str) -> DataFrame:
 
 
 def land_trips(
-    spark: SparkSession, src: str, root: str, month: str, salt: str, domain: str = "example.test"
+    spark: SparkSession,
+    src: str,
+    root: str,
+    month: str,
+    salt: str,
+    domain: str = "example.test",
+    key_version: int | None = None,
 ) -> int:
     """Land one month of trips under ``root/year=/month=`` and return how many rows were written.
 
     Adds the invented subject of each trip (fixed by its row number), its pseudonym and the lineage. The month's
-    folder is replaced, also by a delivery without rows. The count is observed while the rows are written.
+    folder is replaced, also by a delivery without rows. The count is observed while the rows are written. Where salts
+    are changed from time to time, ``key_version`` says which one this is; the month keeps it as ``_key_version``.
     """
     trips = nan_to_null(read_trip_source(spark, src))
     trips = trips.withColumn("driver_email", synthetic_subject("_source_row", domain))
     trips = trips.withColumn("driver_pseudo", pseudonymize("driver_email", salt))
+    if key_version is not None:
+        trips = trips.withColumn(KEY_VERSION, F.lit(key_version).cast("int"))
     landed = with_lineage(trips, F.col("_source_file"))
     written = Observation(f"land_trips_{month}")
     write_month(landed.observe(written, F.count(F.lit(1)).alias("rows")), root, month)
     return written.get["rows"]
 
 
+def rekey_month(spark: SparkSession, root: str, month: str, salt: str, key_version: int) -> int:
+    """Give a landed month the pseudonyms of another salt, from the clear identifiers beside them; returns its rows.
+
+    Only this month is read and written. The other columns, extra ones included, stay as they are.
+    """
+    year, number = month.split("-")
+    place = f"{root}/year={int(year)}/month={int(number):02d}"
+    trips = spark.read.parquet(place).withColumns(
+        {"driver_pseudo": pseudonymize("driver_email", salt), KEY_VERSION: F.lit(key_version).cast("int")}
+    )
+    written = Observation(f"rekey_{month}")
+    # Stored first: a folder can't be replaced by what is being read from it.
+    write_month(stored(trips.observe(written, F.count(F.lit(1)).alias("rows")), "rekeyed"), root, month)
+    return written.get["rows"]
+
+
+def key_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Which salts the landed months have: year, month, key_version (null: landed without one), rows."""
+    trips = read_layer(spark, root, f"driver_pseudo string, {KEY_VERSION} int, year int, month string")
+    rows = F.count(F.lit(1)).alias("rows")
+    return trips.groupBy("year", "month", F.col(KEY_VERSION).alias("key_version")).agg(rows)
+
+
 def load_zones(spark: SparkSession, path: str) -> DataFrame:
     """Read the zone CSV: header row, cells that mean "missing" to null, table column names."""
     raw = spark.read.option("header", "true").csv(path)

@@ -123,6 +123,20 @@ def test_rain(spark):
     assert one(df.select(is_rainy("p"))) == [False, False, True]
 
 
+def test_no_plan_shows_the_salt(spark, tmp_path):
+    df = spark.createDataFrame([("a",), (None,)], "e string")
+    made = protect(df.withColumn("f", F.col("e")), {"e": "p", "f": "q"}, "hushhush")
+    made.write.parquet(f"{tmp_path}/out")
+    for found in (made, made.filter("p > '0'"), made.groupBy("p").count()):
+        found.collect()
+        execution = found._jdf.queryExecution()
+        for text in (execution.toString(), execution.executedPlan().treeString(), execution.simpleString()):
+            assert "hushhush" not in text
+        for mode in ("simple", "extended", "codegen", "formatted"):
+            explained = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
+            assert "hushhush" not in execution.explainString(explained)
+
+
 def test_pseudonym(spark):
     import hashlib
 

@@ -11,11 +11,13 @@ from martkit.operators.runmetrics import METRIC_SCHEMA, append_metrics, observed
 from martkit.sources import layers
 from martkit.sources.documents import NO_METRICS, read_metrics, to_json_rows, write_metrics
 from martkit.sources.landing import (
+    key_versions,
     land_trips,
     land_weather,
     land_zones,
     load_weather,
     load_zones,
+    rekey_month,
     union_by_name,
     with_lineage,
 )
@@ -256,3 +258,25 @@ def test_observed_rows_and_metrics_table(spark, tmp_path):
     rows = {(r.name, r.value, r.tags["layer"]) for r in table.collect()}
     assert rows == {("RowsIngested", 10.0, "bronze"), ("RowsIngested", 20.0, "bronze")}
     assert isinstance(table.first().recorded_at, datetime)
+
+
+def test_a_month_gets_another_salt(spark, tmp_path):
+    root = f"{tmp_path}/trips"
+    rows = spark.range(40).selectExpr("id AS VendorID", "double(id) AS fare_amount", "'x' AS surplus")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/source.parquet")
+    for month, version in (("2024-01", 1), ("2024-02", 1), ("2024-03", None)):
+        assert land_trips(spark, f"{tmp_path}/source.parquet", root, month, "old", key_version=version) == 40
+    before = spark.read.parquet(f"{root}/year=2024/month=02").drop("driver_pseudo", "_key_version").collect()
+    assert rekey_month(spark, root, "2024-02", "new", 2) == 40
+    after = spark.read.parquet(f"{root}/year=2024/month=02")
+    assert sorted(map(str, after.drop("driver_pseudo", "_key_version").collect())) == sorted(map(str, before))
+    assert {(r.year, int(r.month), r.key_version, r.rows) for r in key_versions(spark, root).collect()} == {
+        (2024, 1, 1, 40), (2024, 2, 2, 40), (2024, 3, None, 40),
+    }
+    for month, salt in ((1, "old"), (2, "new"), (3, "old")):
+        for r in spark.read.parquet(f"{root}/year=2024/month={month:02d}").collect():
+            assert r.driver_pseudo == hashlib.sha256(f"{salt}{r.driver_email}".encode()).hexdigest()[:16]
+    rekey_month(spark, root, "2024-02", "old", 3)  # back again: the same pseudonyms as ever
+    assert {r.driver_pseudo for r in spark.read.parquet(f"{root}/year=2024/month=02").collect()} == {
+        r.driver_pseudo for r in spark.read.parquet(f"{root}/year=2024/month=01").collect()
+    }
