@@ -44,7 +44,7 @@ def append_metrics(spark: SparkSession, path: str, metrics: list[tuple[str, floa
 
 def run_report(steps: DataFrame, counts: DataFrame) -> DataFrame:
     """One nested row: total seconds, error rate as ``failed/all``, the steps, and rows per layer."""
-    failed = F.count_if(F.col("status") != "OK").cast("string")
+    failed = F.count_if(F.col("status") == "FAILED").cast("string")
     summary = steps.agg(
         F.round(F.sum("seconds"), 1).alias("total_seconds"),
         F.concat(failed, F.lit("/"), F.count(F.lit(1)).cast("string")).alias("error_rate"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -21,7 +22,7 @@ from martkit.operators.quality import (
     report_of,
 )
 from martkit.operators.runmetrics import STEP_SCHEMA, append_metrics, observed, run_report
-from martkit.plans import marts
+from martkit.plans import ledger, marts
 from martkit.plans.silver import build_silver
 from martkit.sources import schemas
 from martkit.sources.documents import to_json_rows, write_metrics
@@ -225,6 +226,12 @@ class Run:
         """The 26 columns of the clean layer, all months."""
         return self._stored_silver().select(schemas.SILVER_TRIPS.names)
 
+    def key(self) -> str | None:
+        """What tells this run from others: what is delivered, and all settings."""
+        by_month = [path.format(month=m) for m in self.months for path in (self.sources.trips, self.sources.weather)]
+        settings = {n: getattr(self, n) for n in ("months", "domain", "key_version", "fit_rows", "trees", "depth")}
+        return ledger.delivery_key(self.spark, [*by_month, self.sources.zones], settings, self.salt)
+
     def steps(self) -> list[tuple[str, Callable[[], None]]]:
         return [
             ("bronze", self.land),
@@ -257,6 +264,7 @@ def run_pipeline(
     salt: str,
     attempts: int = 3,
     delay: float = 5.0,
+    resume: bool = True,
     **options,
 ) -> DataFrame:
     """Run all steps in order over some months and return the run report; also written below root.
@@ -265,11 +273,20 @@ def run_pipeline(
     of the checks; both are put together from all parts. Rows, parts and marts change in one commit. A failing
     step is tried again after ``delay`` seconds (commits, listings and late files are not covered by Spark's own
     retry of tasks). The first step that stays failed ends the run: its report is written and its error raised.
+    The next run over the same delivery with the same settings goes on at that step (``resume=False``: starts anew).
     """
     run = Run(spark, Lake(root.rstrip("/")), sources, months, salt, **options)
     done: list[tuple[str, str, int, float]] = []
     error: Exception | None = None
-    for name, step in run.steps():
+    root, mark, key = run.lake.root, uuid.uuid4().hex, run.key()
+    names = [name for name, _ in run.steps()]
+    skipped = ledger.finished_steps(spark, root, key, names, run.lake.versions(spark).latest().number) if resume else 0
+    ledger.note(spark, root, mark, key, -1, "", ledger.STARTED, run.lake.versions(spark).latest().number)
+    for place, (name, step) in enumerate(run.steps()):
+        if place < skipped:
+            done.append((name, ledger.SKIPPED, 0, 0.0))
+            ledger.note(spark, root, mark, key, place, name, ledger.SKIPPED, run.lake.versions(spark).latest().number)
+            continue
         began, before = time.monotonic(), len(run.recorded)
 
         def again(step=step, before=before) -> None:
@@ -277,9 +294,11 @@ def run_pipeline(
             step()
 
         tried, error = _attempted(again, attempts, delay)
-        done.append((name, "FAILED" if error else "OK", tried, round(time.monotonic() - began, 1)))
+        status = ledger.FAILED if error else ledger.OK
+        done.append((name, status, tried, round(time.monotonic() - began, 1)))
         if error:
             break
+        ledger.note(spark, root, mark, key, place, name, status, run.lake.versions(spark).latest().number)
     try:
         if run.recorded:
             append_metrics(spark, f"{run.lake.root}/run_metrics", run.recorded)

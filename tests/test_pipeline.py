@@ -209,3 +209,61 @@ def test_failing_check_stops_the_run(spark, sources, tmp_path, monkeypatch):
     stored = json.loads(spark.read.text(f"{tmp_path}/pipeline_run_report").first().value)
     assert stored["error_rate"] == "1/3"
     assert not (tmp_path / "gold" / "ml_metrics").exists()
+
+
+def test_a_failed_run_goes_on_where_it_stopped(spark, sources, tmp_path, monkeypatch):
+    from martkit.plans import ledger, pipeline
+
+    def run(**more):
+        options = {"trees": 2, "depth": 2, "fit_rows": 100, "delay": 0.0, "attempts": 1, **more}
+        return run_pipeline(spark, str(tmp_path), sources, MONTHS[:1], "salt", **options).first()
+
+    def statuses(report):
+        return [s.status for s in report.steps]
+
+    def broken(*args):
+        raise OSError("no")
+
+    real_gate, real_train = pipeline.quality_gate, pipeline.train_and_score
+    monkeypatch.setattr(pipeline, "quality_gate", broken)
+    with pytest.raises(OSError, match="no"):
+        run()
+    monkeypatch.setattr(pipeline, "quality_gate", real_gate)
+    monkeypatch.setattr(pipeline, "train_and_score", broken)
+    monkeypatch.setattr(pipeline, "land_trips", broken)  # would be called by a run that starts anew
+    with pytest.raises(OSError, match="no"):
+        run()
+    monkeypatch.setattr(pipeline, "train_and_score", real_train)
+    report = run()
+    assert statuses(report) == ["SKIPPED", "SKIPPED", "SKIPPED", "OK"] and report.error_rate == "0/4"
+    assert [s.attempts for s in report.steps] == [0, 0, 0, 1]
+    entries = ledger.read_ledger(spark, str(tmp_path))
+    assert entries.filter("status = 'OK'").groupBy("step").count().filter("count != 1").count() == 0
+    for more in ({}, {"trees": 3}, {"resume": False}):  # the last run came to its end; other settings; on request
+        with pytest.raises(OSError, match="no"):
+            run(**more)
+
+
+def test_another_delivery_is_not_skipped(spark, tmp_path):
+    from martkit.plans import ledger
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1")
+    steps, root = ["one", "two", "three"], str(tmp_path / "lake")
+
+    def key(**settings):
+        return ledger.delivery_key(spark, [str(tmp_path / "in")], settings, "salt")
+
+    first = key(months="m")
+    assert first == key(months="m") != key(months="n") and len(first) == 64
+    assert ledger.delivery_key(spark, [str(tmp_path / "none")], {}, "salt") is None
+    assert ledger.finished_steps(spark, root, first, steps, 0) == 0
+    ledger.note(spark, root, "r1", first, 0, "one", ledger.OK, 0)
+    ledger.note(spark, root, "r1", first, 1, "two", ledger.OK, 4)
+    assert ledger.finished_steps(spark, root, first, steps, 4) == 2
+    assert ledger.finished_steps(spark, root, first, steps, 5) == 0  # somebody else has committed
+    assert ledger.finished_steps(spark, root, None, steps, 4) == 0
+    (tmp_path / "in" / "b.csv").write_text("2")
+    assert key(months="m") != first and ledger.finished_steps(spark, root, key(months="m"), steps, 4) == 0
+    ledger.note(spark, root, "r2", key(months="m"), -1, "", ledger.STARTED, 4)
+    assert ledger.finished_steps(spark, root, first, steps, 4) == 0  # that run is no longer the last one
