@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +22,11 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+#: Footers that one task reads.
+FOOTERS_PER_TASK = 64
+# Fixed value: where Spark keeps the schema of what it wrote in a footer.
+SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
 #: Which salt the pseudonyms of a landed row were made with.
 KEY_VERSION = "_key_version"
 
@@ -60,15 +69,39 @@ def _with_row_numbers(groups: list[DataFrame]) -> list[DataFrame]:
     ]
 
 
+def _footer_mark(path: str) -> str | None:
+    """What a Parquet file's footer says of its columns; None if this worker can't open the file by itself."""
+    try:
+        system, place = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        with system.open_input_file(place) as file:
+            footer = pq.read_metadata(file)
+    except (OSError, ValueError, NotImplementedError):  # no such file system here, no credentials, unusual names
+        return None
+    columns = [(c.path, c.physical_type, str(c.logical_type), c.max_definition_level, c.max_repetition_level)
+               for c in map(footer.schema.column, range(footer.num_columns))]
+    return repr([columns, (footer.metadata or {}).get(SPARK_SCHEMA)])
+
+
+def _footer_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        yield pa.RecordBatch.from_pydict({"path": paths, "mark": pa.array([_footer_mark(p) for p in paths], pa.string())})
+
+
 def _by_footer(spark: SparkSession, src: str) -> list[DataFrame]:
-    """The files of a month, grouped by the schema in their footers, which differs where a column's width drifted."""
+    """The files of a month, grouped by the columns in their footers, which differ where a column's width drifted.
+
+    Footers are read in tasks. Files that workers can't open without Spark have their schemas read through Spark, one
+    after the other, which is slower and gives the same groups or coarser ones.
+    """
     whole = spark.read.parquet(src)
     files = whole.inputFiles()  # those of one month's delivery
     if len(files) == 1:
         return [whole]
+    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(-(-len(files) // FOOTERS_PER_TASK))
     groups: dict[str, list[str]] = {}
-    for path in files:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    for path, mark in sorted(paths.mapInArrow(_footer_marks, "path string, mark string").collect(), key=lambda r: r["path"]):
+        groups.setdefault(spark.read.parquet(path).schema.json() if mark is None else mark, []).append(path)
     return [whole] if len(groups) == 1 else [spark.read.parquet(*paths) for paths in groups.values()]
 
 

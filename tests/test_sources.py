@@ -4,11 +4,13 @@ import hashlib
 import json
 from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 
 from martkit.operators.runmetrics import METRIC_SCHEMA, append_metrics, observed
-from martkit.sources import layers
+from martkit.sources import landing, layers
 from martkit.sources.documents import NO_METRICS, read_metrics, to_json_rows, write_metrics
 from martkit.sources.landing import (
     key_versions,
@@ -280,3 +282,35 @@ def test_a_month_gets_another_salt(spark, tmp_path):
     assert {r.driver_pseudo for r in spark.read.parquet(f"{root}/year=2024/month=02").collect()} == {
         r.driver_pseudo for r in spark.read.parquet(f"{root}/year=2024/month=01").collect()
     }
+
+
+@pytest.mark.parametrize("opened", [True, False])
+def test_many_files_in_two_widths(spark, tmp_path, monkeypatch, opened):
+    """The number of jobs doesn't grow with the files, unless workers can't open them; what is landed is the same."""
+    def unopened(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"path": batch.column("path"), "mark": pa.nulls(batch.num_rows, pa.string())})
+
+    files = 400 if opened else 6
+    for i in range(files):
+        wide = pa.int64() if i % 2 else pa.float64()
+        names = ("VendorID", "passenger_count") if i % 3 else ("vendorid", "Passenger_Count")
+        columns = [pa.array([i, i + 1], pa.int64()), pa.array([1, None], wide)]
+        (tmp_path / "in").mkdir(exist_ok=True)
+        pq.write_table(pa.table(columns, names=list(names)), f"{tmp_path}/in/part-{i:05d}.parquet")
+    if not opened:
+        monkeypatch.setattr(landing, "_footer_marks", unopened)
+    group = f"landing-{opened}"
+    spark.sparkContext.setJobGroup(group, "landing")
+    try:
+        rows = land_trips(spark, f"{tmp_path}/in", f"{tmp_path}/out", "2024-01", "salt")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows == 2 * files
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    assert 0 < jobs < 60
+    landed = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.vendorid for r in landed.collect()) == sorted([*range(files), *range(1, files + 1)])
+    numbers = sorted((r._source_row, r._source_file) for r in landed.collect())
+    assert numbers == [(i, f"part-{i // 2:05d}.parquet") for i in range(2 * files)]
+    assert landed.filter("passenger_count = 1").count() == files
