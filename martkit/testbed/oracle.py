@@ -370,6 +370,7 @@ def _oracles() -> dict[str, str]:
               SELECT *, 'driver' || CAST(CAST(n AS HUGEINT) * 2654435761 % 5000 AS VARCHAR) || '@example.test' AS email
               FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY trip_key) - 1 AS n FROM bt))"""
         ),
+        "drifted_files": trips("SELECT trip_key, CAST(vendorid AS BIGINT) AS vendorid, passenger_count, total_amount FROM bt"),
         "lake_build": _with(
             """SELECT 'silver_trips' AS layer, COUNT(*) AS row_count FROM sv
             UNION ALL SELECT 'gold_demand_by_zone_hour', COUNT(*) FROM dm

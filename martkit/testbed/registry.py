@@ -166,6 +166,19 @@ def landed_trips(spark, sf_dir):
     )
 
 
+@query
+def drifted_files(spark, sf_dir):
+    """A month delivered in many files of two widths and spellings of its columns, read as one table."""
+    path, trips = scratch_path(spark, "drifted"), raw.raw_trips(spark, sf_dir)
+    for vendor, columns in (
+        (1, {"VendorID": "int", "passenger_count": "double"}), (2, {"vendorid": "bigint", "Passenger_Count": "bigint"})
+    ):
+        widths = [F.col(name.lower()).cast(width).alias(name) for name, width in columns.items()]
+        part = trips.filter(F.col("vendorid") == vendor).select("trip_key", *widths, "total_amount")
+        part.repartition(16, "trip_key").write.mode("append").parquet(path)
+    return landing.read_trip_source(spark, path).select("trip_key", "vendorid", "passenger_count", "total_amount")
+
+
 @query
 def lake_build(spark, sf_dir):
     """Rows per layer after a run has landed and built everything from delivered files."""
