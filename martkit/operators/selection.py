@@ -1,8 +1,10 @@
 """Exact selection by rank without sorting a table: samples, splits and quantiles.
 
-The usual ways (a global sort, ``limit``, ``percentile``) send all candidates to one task. Here a few
-passes each count rows per bucket, at most a few thousand counts come back, and the bucket that holds
-the wanted rank is looked at more closely until it is small. What remains is one comparison per row.
+The usual ways (a global sort, ``limit``, ``percentile``) send all candidates to one task. Here a table is scanned
+twice, whatever its size. The first scan tells where about the wanted rank lies: for values a mergeable quantile
+sketch brackets it, for hashes, which are spread evenly, the row count does. The second one counts exactly: rows below
+the bracket end up in one group per task, those within it in a group per value. The rank is found among these groups
+alone, and what remains is one comparison per row. Should a bracket miss the rank, which the counts show, it is widened.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from martkit.sources.layers import stored
 HEX_STEP = 3  # hexadecimal digits looked at per pass: 4096 buckets
 SMALL = 5_000  # rows of the last bucket that may be listed
 BINS = 2_048  # buckets per pass over numbers
+ACCURACY = 10_000  # the sketch misses a rank by at most this part of the rows
+DEVIATIONS = 6  # half the width of a bracket of hashes, in standard deviations of the count below a hash
 
 
 class HashCut(NamedTuple):
@@ -39,54 +43,91 @@ class HashCut(NamedTuple):
         return (h < self.hash) | at_cut
 
 
+def _counted(df: DataFrame, key: str) -> tuple[int, int]:
+    """Number of rows and of rows with a key, in one scan."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(key)).alias("keys")).first()
+    return row["n"], row["keys"]
+
+
+def _digits(share: float) -> str:
+    """What hashes are compared with so that this share of them lies below."""
+    if share <= 0:
+        return ""
+    return f"{int(share * 2**52):013x}" if share < 1 else "g"
+
+
 def hash_cut(df: DataFrame, key: str, seed: int | str, size: Callable[[int], int]) -> HashCut:
-    """Find the cut after ``size(total)`` rows in hash order of a unique key."""
+    """Find the cut after ``size(total)`` rows in hash order of a unique key, in two scans.
+
+    How many rows lie below a hash is known to within a few standard deviations, so the second scan keeps only a window
+    of hashes around the cut, whose rows grow with the root of the table's. A window of more than SMALL rows is stored.
+    """
+    total, keys = _counted(df, key)
+    if keys < total:
+        raise ValueError(f"{key} has nulls, so the rows have no order to cut at")
+    want = size(total)
+    if want <= 0 or want >= total:
+        return HashCut(total, max(0, min(want, total)), None, None)
     places = df.select(hash_hex(key, seed).alias("h"), F.col(key).cast("string").alias("k"))
-    prefix, total, want, left = "", None, 0, 0
+    spread = DEVIATIONS * math.sqrt(want * (total - want) / total) + 16
     while True:
-        inside = places.filter(F.col("h").startswith(prefix)) if prefix else places
-        width = len(prefix) + HEX_STEP
-        counts = inside.groupBy(F.substring("h", 1, width).alias("p")).count().collect()
-        if any(p is None for p, _ in counts):
-            raise ValueError(f"{key} has nulls, so the rows have no order to cut at")
-        counts = sorted(counts)
-        if total is None:
-            total = sum(c for _, c in counts)
-            want = left = size(total)
-            if want <= 0 or want >= total:
-                return HashCut(total, max(0, min(want, total)), None, None)
-        for prefix, count in counts:
-            if count >= left:
+        low, high = _digits((want - spread) / total), _digits((want + spread) / total)
+        inside = F.col("h") >= low
+        window = places.filter(F.col("h") < high).select(*[F.when(inside, F.col(c)).alias(c) for c in ("h", "k")])
+        groups = window.groupBy("h", "k").agg(F.count(F.lit(1)).alias("n"))
+        if 2 * spread > SMALL:
+            groups = stored(groups, "window")
+            below, within = groups.agg(F.sum(F.when(F.col("h").isNull(), F.col("n"))), F.sum(F.when(F.col("h").isNotNull(), F.col("n")))).first()
+            below, left = below or 0, want - (below or 0)
+            if 0 < left <= (within or 0):
+                rows, left = _around(groups.filter("h IS NOT NULL"), left)
                 break
-            left -= count
-        if count <= SMALL:
+        else:
+            rows = groups.collect()
+            left = want - sum(r["n"] for r in rows if r["h"] is None)
+            rows = [r for r in rows if r["h"] is not None]
+            if 0 < left <= sum(r["n"] for r in rows):
+                break
+        spread *= 8
+    for row in sorted(rows, key=lambda r: (r["h"], r["k"])):
+        if left <= row["n"]:
             break
-        if width + HEX_STEP > 32:
-            raise ValueError(f"{key} is not unique, so the rows have no order to cut at")
-    last = (
-        places.filter(F.col("h").startswith(prefix)).orderBy("h", "k").limit(left + 1).collect()
-    )
-    if len(last) > left and last[left] == last[left - 1]:
+        left -= row["n"]
+    if left < row["n"]:
         raise ValueError(f"{key} is not unique, so the rows have no order to cut at")
-    return HashCut(total, want, last[left - 1]["h"], last[left - 1]["k"])
+    return HashCut(total, want, row["h"], row["k"])
+
+
+def _around(groups: DataFrame, left: int) -> tuple[list, int]:
+    """Of stored groups (h, k, n) the few in whose range the row number ``left`` in hash order is, and its number there."""
+    prefix = ""
+    while True:
+        inside = groups.filter(F.col("h").startswith(prefix)) if prefix else groups
+        counts = inside.groupBy(F.substring("h", 1, len(prefix) + HEX_STEP).alias("p"))
+        for prefix, rows, listed in sorted(counts.agg(F.sum("n"), F.count(F.lit(1))).collect()):
+            if rows >= left:
+                break
+            left -= rows
+        if listed <= SMALL or len(prefix) >= 32:
+            return groups.filter(F.col("h").startswith(prefix)).collect(), left
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
     """Exactly n rows chosen by the hash of a unique key; all rows if there are no more than n.
 
-    Two scans at any size: one counts, the next stores the rows below a hash that about twice n rows pass, and
+    Two scans at any size: one counts, the next stores the rows below a hash that hardly more than n rows pass, and
     the exact cut is looked for among these. Should fewer than n pass, the rate is doubled.
     """
-    total = df.count()
+    total, keys = _counted(df, key)
     if total <= n:
         return df
     if n <= 0:
         return df.limit(0)
-    if df.filter(F.col(key).isNull()).limit(1).count():
+    if keys < total:
         raise ValueError(f"{key} has nulls, so the rows have no order to cut at")
-    share = 2.0 * n / total
+    share = (n + DEVIATIONS * math.sqrt(n) + 16) / total
     while share < 1.0:
-        few = stored(df.filter(hash_hex(key, seed) < f"{int(share * 2**64):016x}"), "sample")
+        few = stored(df.filter(hash_hex(key, seed) < _digits(share)), "sample")
         if few.count() >= n:
             return few.filter(hash_cut(few, key, seed, lambda _: n).below(key, seed))
         share *= 2
@@ -122,6 +163,16 @@ class _Search:
     def open(self) -> bool:
         return self.low < self.high
 
+    def bracket(self, low: float, high: float, below: int, inside: int, after: float | None) -> bool:
+        """Move to [low, high] if the rank is there; ``after`` is the smallest value above it."""
+        if not below <= self.rank < below + inside:
+            return False
+        self.rank -= below
+        self.low, self.high, self.inside = low, high, inside
+        if after is not None:
+            self.after = after
+        return True
+
     def narrow(self, buckets: list) -> None:
         """Move to the bucket that holds the rank; buckets come as (count, low, high) in order."""
         for i, (count, low, high) in enumerate(buckets):
@@ -138,18 +189,69 @@ class _Search:
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
-    """Quantile of the non-missing values of each column, ``{column: q}``, interpolated linearly.
+    """Quantile of the non-missing values of each column, ``{column: q}``, interpolated linearly, in two scans.
 
-    All columns share the passes. Each pass divides the range left for a column into equal buckets and
-    counts them; no bucket holds both ends of the range, so it shrinks until few rows or one value are left.
-    Infinite values are buckets of their own, and a range that can't be divided equally is halved, so the number
-    of passes doesn't grow with the number of values.
+    All columns share the scans. A sketch brackets each rank between two values about 6 / ACCURACY of the rows apart; the
+    second scan counts what lies below and groups what lies between by value, so a value that most rows hold is one group.
+    Brackets of more than SMALL rows are stored and divided further.
     """
     names = list(wanted)
     floats = df.select(*[known(F.col(c).cast("double")).alias(c) for c in names])
-    values = floats.unpivot([], names, "name", "x").filter(F.col("x").isNotNull())
-    ranges = values.groupBy("name").agg(F.min("x"), F.max("x"), F.count("x")).collect()
-    searches = {name: _Search(low, high, n, wanted[name]) for name, low, high, n in ranges}
+    margin = 3 / ACCURACY
+    sketches = []
+    for i, (name, q) in enumerate(wanted.items()):
+        column, around = F.col(f"`{name}`"), [max(0.0, q - margin), min(1.0, q + margin)]
+        ends = F.percentile_approx(column, around, F.lit(ACCURACY))
+        sketches.append(F.struct(F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"), ends.alias("ends")).alias(f"s{i}"))
+    found = dict(zip(names, floats.agg(*sketches).first(), strict=True))
+    searches = {c: _Search(s["low"], s["high"], s["n"], wanted[c]) for c, s in found.items() if s["n"]}
+    brackets = {c: tuple(found[c]["ends"]) if s.inside > SMALL else (s.low, s.high) for c, s in searches.items() if s.open}
+    if brackets:
+        values = floats.unpivot([], names, "name", "x").filter(F.col("x").isNotNull())
+        _bracketed(values, searches, brackets)
+    return {name: searches[name].value() if name in searches else None for name in names}
+
+
+def _bracketed(values: DataFrame, searches: dict[str, _Search], brackets: dict[str, tuple[float, float]]) -> None:
+    """Finish each search within its bracket; where the bracket misses the rank, from all values."""
+    side, some = F.lit(None).cast("int"), F.lit(False)
+    for name, (low, high) in brackets.items():
+        x, mine = F.col("x"), F.col("name") == name
+        side = F.when(mine, F.when(x < low, -1).when(x > high, 1).otherwise(0)).otherwise(side)
+        some = some | mine
+    sided = values.filter(some).withColumn("side", side)
+    groups = sided.groupBy("name", "side", F.when(F.col("side") == 0, F.col("x")).alias("x"))
+    groups = groups.agg(F.count("side").alias("n"), F.min(F.when(F.col("side") == 1, F.col("x"))).alias("after"))
+    large = max(6 / ACCURACY * searches[c].inside if searches[c].inside > SMALL else 0 for c in brackets) > SMALL
+    if large:
+        groups = stored(groups, "brackets")
+        sums = groups.groupBy("name", "side").agg(F.sum("n").alias("n"), F.min("after").alias("after")).collect()
+    else:
+        listed = groups.collect()
+        sums = listed
+    missed = {}
+    for name, (low, high) in brackets.items():
+        mine = [r for r in sums if r["name"] == name]
+        n = {side: sum(r["n"] for r in mine if r["side"] == side) for side in (-1, 0)}
+        after = next((r["after"] for r in mine if r["side"] == 1), None)
+        if not searches[name].bracket(low, high, n[-1], n[0], after):
+            missed[name] = searches[name]
+        elif not large:
+            inside = sorted((r["x"], r["n"]) for r in mine if r["side"] == 0)
+            searches[name].narrow([(n, x, x) for x, n in inside])
+    if large:
+        within = {c: searches[c] for c in brackets if c not in missed}
+        _divided(groups.filter("side = 0").select("name", "x", "n"), within)
+    _divided(values.withColumn("n", F.lit(1).cast("bigint")), missed)
+
+
+def _divided(values: DataFrame, searches: dict[str, _Search]) -> None:
+    """Narrow searches to one value each, in rows (name, x, n).
+
+    Each pass divides the range left for a column into equal buckets and counts them; no bucket holds both ends of the
+    range, so it shrinks until few rows or one value are left. Infinite values are buckets of their own, and a range that
+    can't be divided equally is halved, so the number of passes doesn't grow with the number of values.
+    """
 
     def within(some: dict[str, _Search]) -> DataFrame:
         condition = F.lit(False)
@@ -173,7 +275,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float
         counts = (
             within(large)
             .groupBy("name", F.least(F.floor(place), F.lit(BINS - 1)).alias("bucket"))
-            .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .agg(F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
             .collect()
         )
         for name, s in large.items():
@@ -182,8 +284,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float
     if small := {c: s for c, s in searches.items() if s.open}:
         listed = within(small).collect()  # at most SMALL values per column
         for name, s in small.items():
-            s.narrow([(1, x, x) for x in sorted(r["x"] for r in listed if r["name"] == name)])
-    return {name: searches[name].value() if name in searches else None for name in names}
+            s.narrow([(n, x, x) for x, n in sorted((r["x"], r["n"]) for r in listed if r["name"] == name)])
 
 
 def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:

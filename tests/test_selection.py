@@ -127,3 +127,45 @@ def test_sample_scans_twice(spark, tmp_path):
     plan = sample_n(df, 500, "id", 3)._jdf.queryExecution().optimizedPlan().toString()
     assert keys_of(sample_n(df, 500, "id", 3)) == set(by_hash(range(50_000), 3)[:500])
     assert f"{tmp_path}/ids" not in plan
+
+
+def counted(df):
+    """The same rows, and a counter of how often each row was read."""
+    read = df.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), read
+
+
+@pytest.mark.parametrize("small", [100, 5000])
+def test_two_scans(spark, monkeypatch, small):
+    """A split, a sample and several quantiles read the table twice each, also where windows are stored."""
+    monkeypatch.setattr(selection, "SMALL", small)
+    rows = 60_000
+    df, read = counted(spark.range(rows).selectExpr("id", "pmod(id * 7919, 60000) / 3 AS x", "pmod(id * 31, 60000) * 1.0 AS y"))
+    found = exact_quantiles(df, {"x": 0.5, "y": 0.9})
+    assert found == pytest.approx({"x": 29_999.5 / 3, "y": 53_999.1})
+    assert read.value == 2 * rows
+    cut = selection.hash_cut(df, "id", "s", lambda n: n // 5)
+    assert read.value == 4 * rows
+    first = by_hash(range(rows), "s")[: rows // 5]
+    assert cut.key == str(first[-1])
+    sampled = sample_n(df, 500, "id", 3)
+    assert read.value == 6 * rows
+    assert keys_of(sampled) == set(by_hash(range(rows), 3)[:500]) and read.value == 6 * rows
+
+
+def test_bracket_that_misses(spark, monkeypatch):
+    """Brackets too narrow for the rank are noticed by the counts, and the result is the same."""
+    monkeypatch.setattr(selection, "SMALL", 50)
+    monkeypatch.setattr(selection, "ACCURACY", 20)
+    values = [((i * 7919) % 20_000) ** 2 / 3 for i in range(20_000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id bigint, x double").repartition(7)
+    for q in (0.0, 0.013, 0.5, 0.98, 1.0):
+        assert math.isclose(exact_quantile(df, "x", q), float(np.quantile(values, q)), rel_tol=1e-9)
+    monkeypatch.setattr(selection, "DEVIATIONS", 0)
+    assert keys_of(split(df, "id", 0.3, "s").test) == set(by_hash(range(20_000), "s")[:6_000])
