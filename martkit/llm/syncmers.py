@@ -5,13 +5,18 @@ chosen when the smallest inner hash is its first or its last one. Whether a k-me
 words alone, so an edit changes no anchor farther than K words away. The sequence is padded by K - 1 empty
 words on both sides, so that a text of one word has anchors too.
 
-A fingerprint is the ordered list of anchors, each with its place (index of the k-mer's first word), which
-allows positional matching. Two fingerprints are as alike as the share of anchors that both have, of those of
-the one with more. Everything happens where a text is read; nothing is shuffled.
+A fingerprint is the ordered list of anchors, each with its place (index of the k-mer's first word). Two fingerprints
+are matched by position: an anchor of one pairs with an equal one of the other, and pairs count only if they lie
+as far apart as a neighbouring pair does. Likeness is the share of anchors in such pairs, of those of the fingerprint
+with more, so the same passages in another order or scattered words count for little.
+
+A null text counts as empty, an empty text has no anchors, and rows with null or repeated ids are rows like others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,25 +57,68 @@ def fingerprint_text(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda a: F.concat_ws(":", digits(a), a["place"])), " ")
 
 
+def _once(value: Column, then) -> Column:
+    """then(value), with value computed once: an array of one array binds it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _side(found: Column, side: int) -> Column:
+    return F.transform(found, lambda a: F.struct(a["hash"].alias("hash"), a["place"].alias("place"), F.lit(side).alias("side")))
+
+
+def _pairs(merged: Column, side: int) -> Column:
+    """(place, other) of each anchor of one side that stands next to an equal one of the other side, in order of place.
+
+    merged holds the anchors of both sides in order of hash, place and side, so equal anchors are neighbours: of two
+    neighbours of the other side the following one is taken.
+    """
+
+    def pair(x: Column, i: Column) -> Column:
+        def other(y: Column) -> Column:
+            return F.when((y["hash"] == x["hash"]) & (y["side"] != side), y["place"])
+
+        before = F.when(i > 0, other(F.get(merged, i - 1)))
+        met = F.coalesce(other(F.get(merged, i + 1)), before)
+        return F.when((x["side"] == side) & met.isNotNull(), F.struct(x["place"].alias("place"), met.alias("other")))
+
+    return F.array_sort(F.filter(F.transform(merged, pair), lambda m: m.isNotNull()))
+
+
+def _consistent(pairs: Column) -> Column:
+    """The pairs whose distance between both places differs by less than K from that of the pair before or after."""
+
+    def apart(m: Column, i: Column) -> Column:
+        n = F.get(pairs, i)
+        return F.abs((n["other"] - n["place"]) - (m["other"] - m["place"])) < K
+
+    def stays(m: Column, i: Column) -> Column:
+        before = F.when(i > 0, apart(m, i - 1))
+        return F.coalesce(before, F.lit(False)) | F.coalesce(apart(m, i + 1), F.lit(False)) | (F.size(pairs) == 1)
+
+    return F.filter(pairs, stays)
+
+
+def _merged(a: Column, b: Column) -> Column:
+    return F.array_sort(F.concat(_side(a, 0), _side(b, 1)))
+
+
+def matched_places(a: Column, b: Column) -> Column:
+    """Positional matching: (place in a, place in b) of the anchors of a that b has in a consistent place."""
+    return _once(_merged(a, b), lambda merged: _once(_pairs(merged, 0), _consistent))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Anchors that both have, of those of the one with more; two empty fingerprints are alike."""
-    a, b = F.array_distinct(F.transform(a, lambda x: x["hash"])), F.array_distinct(F.transform(b, lambda x: x["hash"]))
+    """Anchors matched by position, of those of the one with more; two empty fingerprints are alike.
+
+    The smaller number counts, matched from a or from b, so likeness is symmetric, and 1 for equal fingerprints.
+    """
     longer = F.greatest(F.size(a), F.size(b))
-    return F.when(longer == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / longer)
 
+    def least(merged: Column) -> Column:
+        sizes = [_once(_pairs(merged, side), lambda pairs: F.size(_consistent(pairs))) for side in (0, 1)]
+        return F.least(*sizes)
 
-def matched_places(a: Column, b: Column) -> Column:
-    """Positional matching: (place in a, place in b) of each anchor of a that b has, at its first place there."""
-    return F.filter(
-        F.transform(
-            a,
-            lambda x: F.struct(
-                x["place"].alias("place"),
-                F.get(F.filter(b, lambda y: y["hash"] == x["hash"]), F.lit(0))["place"].alias("other"),
-            ),
-        ),
-        lambda m: m["other"].isNotNull(),
-    )
+    return F.when(longer == 0, F.lit(1.0)).otherwise(_once(_merged(a, b), least) / longer)
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -93,23 +141,33 @@ def _grouped(docs: DataFrame) -> DataFrame:
     return docs.withColumn("group", F.coalesce(number, F.lit((len(bounds) + 1) * finer + 1)).cast("bigint"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, of: Callable[[Column], Column] | None = None) -> DataFrame:
     """doc_id, text, next_text: the text of the next row in descending doc_id, after the last one the first.
 
-    Null text counts as empty; rows with equal ids follow each other by their texts, null ids come last. Texts are
-    shuffled once, into the groups; between groups only their first texts are handed on.
+    With ``of``, also own and following: what it gives for both texts, computed once for each row. Null text counts as
+    empty; rows with equal ids follow each other by their texts, null ids come last. Texts are shuffled into groups,
+    ranges of them to a task, so tasks get about the same; between groups only their first texts are handed on.
     """
     rows = _grouped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")))
-    order = W.partitionBy("group").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    rows = rows.withColumns({"next_text": F.lead("text").over(order), "place": F.row_number().over(order)})
-    heads = rows.filter("place = 1").select(F.col("group").alias("after"), F.col("text").alias("head"))
+    rows = rows.repartitionByRange("group")
+    first = W.partitionBy("group").orderBy(F.col("doc_id").desc_nulls_last(), "text")
+    last = W.partitionBy("group").orderBy(F.col("doc_id").asc_nulls_first(), F.desc("text"))
+    led = {"next_text": F.lead("text").over(first)}
+    inner = rows
+    if of is not None:
+        inner = rows.withColumn("own", of(F.col("text")))
+        led["following"] = F.lead("own").over(first)
+    inner = inner.withColumns(led).filter("next_text IS NOT NULL").drop("group")
+    ends = {name: rows.withColumn("place", F.row_number().over(order)).filter("place = 1") for name, order in (("head", first), ("tail", last))}
+    heads = ends["head"].select(F.col("group").alias("after"), F.col("text").alias("next_text"))
     # Group numbers alone are put in order: a row per group.
-    numbers = rows.filter("place = 1").select("group")
+    numbers = rows.select("group").distinct()
     following = F.coalesce(F.lead("group").over(W.orderBy("group")), F.min("group").over(W.partitionBy(F.lit(0))))
     after = numbers.select("group", following.alias("after"))
-    tails = rows.filter("next_text IS NULL").select("doc_id", "text", "group").join(after, "group").join(heads, "after")
-    inner = rows.filter("next_text IS NOT NULL").select("doc_id", "text", "next_text")
-    return inner.unionByName(tails.select("doc_id", "text", F.col("head").alias("next_text")))
+    tails = ends["tail"].join(after, "group").join(heads, "after").select("doc_id", "text", "next_text")
+    if of is not None:
+        tails = tails.withColumns({"own": of(F.col("text")), "following": of(F.col("next_text"))})
+    return inner.unionByName(tails)
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -124,12 +182,11 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     An empty text has an empty fingerprint. With one row, the next document is the row itself.
     """
     return (
-        with_next(docs)
+        with_next(docs, lambda text: anchors(text, k))
         .withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
         .select(
             "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-            anchors(F.col("text"), k).alias("own"), anchors(F.col("edited"), k).alias("other"),
-            anchors(F.col("next_text"), k).alias("following"),
+            "own", anchors(F.col("edited"), k).alias("other"), "following",
         )
         .select(
             "doc_id", "n_chars", "edited_sha256", fingerprint_text(F.col("own")).alias("fingerprint"),

@@ -1,8 +1,12 @@
 """Fingerprints against a plain version of the choice, edited texts, and the order of documents."""
 
 import hashlib
+import random
+import re
+import struct
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from martkit.llm import syncmers
@@ -13,6 +17,49 @@ def edited(a, b):
     return a[: len(a) - half] + b[:half]
 
 
+def plain_anchors(text):
+    """(hash, place) of the chosen k-mers, word by word."""
+    k, words = syncmers.K, [w for w in re.split("[ \t-\r]+", text) if w]
+    if not words:
+        return []
+    words = [""] * (k - 1) + words + [""] * (k - 1)
+
+    def digest(parts):
+        h = 42
+        for part in parts:
+            h = xxhash.xxh64_intdigest(part, h)
+        return h - (1 << 64) if h >> 63 else h
+
+    found = []
+    for i in range(len(words) - k + 1):
+        inner = [digest([a.encode(), b.encode()]) for a, b in zip(words[i : i + k], words[i + 1 : i + k], strict=False)]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append((digest([struct.pack("<q", h) for h in inner[:: syncmers.S]]), i))
+    return found
+
+
+def plain_fingerprint(found):
+    return " ".join(f"{h & 0xFFFFFFFF:08x}:{place}" for h, place in found)
+
+
+def plain_likeness(a, b):
+    if not a and not b:
+        return 1.0
+    merged = sorted([(h, p, 0) for h, p in a] + [(h, p, 1) for h, p in b])
+    counts = []
+    for side in (0, 1):
+        pairs = []
+        for i, (h, place, s) in enumerate(merged):
+            near = [m for m in [*merged[i + 1 : i + 2], *merged[max(i - 1, 0) : i]] if m[0] == h and m[2] != side]
+            if s == side and near:
+                pairs.append((place, near[0][1]))
+        pairs.sort()
+        apart = [other - place for place, other in pairs]
+        steps = [abs(x - y) < syncmers.K for x, y in zip(apart, apart[1:], strict=False)]
+        counts.append(1 if len(pairs) == 1 else sum(x or y for x, y in zip([False, *steps], [*steps, False], strict=True)) if pairs else 0)
+    return min(counts) / max(len(a), len(b))
+
+
 def order(rows):
     return sorted(rows, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.text or ""))
 
@@ -27,9 +74,13 @@ def test_next_and_edited_texts(odd_docs, monkeypatch, group_rows):
     pairs = syncmers.with_next(odd_docs).collect()
     assert sorted(repr(tuple(p)) for p in pairs) == sorted(repr((r.doc_id, t, n)) for r, t, n in zip(rows, texts, following, strict=True))
     found = syncmers.fingerprints(odd_docs).collect()
-    wanted = [(r.doc_id, len(t), hashlib.sha256(edited(t, n).encode()).hexdigest()) for r, t, n in zip(rows, texts, following, strict=True)]
-    assert sorted(repr((f.doc_id, f.n_chars, f.edited_sha256)) for f in found) == sorted(map(repr, wanted))
-    assert all(0 <= f.near_edited <= 1 and 0 <= f.near_next <= 1 for f in found)
+    wanted = []
+    for r, text, after in zip(rows, texts, following, strict=True):
+        changed = edited(text, after)
+        own, other, of_next = map(plain_anchors, (text, changed, after))
+        near = plain_likeness(own, other), plain_likeness(own, of_next)
+        wanted.append((r.doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), plain_fingerprint(own), plain_fingerprint(other), *near))
+    assert sorted(repr(tuple(f)) for f in found) == sorted(map(repr, wanted))
     assert {f.fingerprint for f in found if f.n_chars == 0} == {""}
 
 
@@ -89,3 +140,34 @@ def test_equal_texts_and_no_documents(spark, odd_docs, no_docs):
     assert (one.near_next, one.n_chars) == (1.0, 3)
     plan = syncmers.fingerprints(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_documents_by_the_plain_version(spark, sf_dir):
+    """All columns of the first test table, and passages that come back in another order or several times."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rng, moved = random.Random(3), []
+    for i in range(60):
+        words = [f"w{rng.randrange(40)}" for _ in range(rng.randrange(1, 120))]
+        cut = rng.randrange(len(words))
+        moved += [(10**6 + 2 * i, " ".join(words * rng.randrange(1, 4))), (10**6 + 2 * i + 1, " ".join(words[cut:] + words[:cut]))]
+    docs = docs.unionByName(spark.createDataFrame(moved, "doc_id bigint, text string"))
+    texts = [r.text or "" for r in order(docs.collect())]
+    found = sorted(syncmers.fingerprints(docs).collect(), key=lambda r: -r.doc_id)
+    assert len(found) == len(texts)
+    for row, text, after in zip(found, texts, texts[1:] + texts[:1], strict=True):
+        own, other, of_next = map(plain_anchors, (text, edited(text, after), after))
+        assert (row.fingerprint, row.edited_fingerprint) == (plain_fingerprint(own), plain_fingerprint(other))
+        assert (row.near_edited, row.near_next) == (plain_likeness(own, other), plain_likeness(own, of_next))
+
+
+def test_order_counts(spark):
+    """Halves that changed places stay alike, words in random order don't; a repeated passage counts as often as both have it."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(600)]
+    blocks = [words[i : i + 9] for i in range(0, 600, 9)]
+    rng.shuffle(blocks)
+    rows = [(" ".join(words), " ".join(words[300:] + words[:300]), " ".join(w for b in blocks for w in b), " ".join(words * 3))]
+    a, b, c, d = (syncmers.anchors(F.col(x)) for x in "abcd")
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string").select(a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"))
+    near = df.select(*[syncmers.likeness(F.col("a"), F.col(x)).alias(x) for x in "abcd"]).first()
+    assert near.a == 1.0 and near.b > 0.9 and near.c < 0.1 and 0.25 < near.d < 0.4
