@@ -197,6 +197,26 @@ def ready(text: str) -> str:
     return _with(text, _TRIPS, _ZONES, _WEATHER, _SILVER, _READY)
 
 
+def _root_split() -> str:
+    """The best split by variance over all features and the midpoints between any two neighbouring values."""
+    names = (
+        "trip_distance", "passenger_count", "pickup_hour", "pickup_dow_iso", "is_weekend", "is_rush_hour",
+        "pu_location_id", "do_location_id", "temp_mean_c", "precip_mm",
+    )
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, {i} AS place, CAST({c} AS DOUBLE) AS v, COUNT(*) AS n, SUM(total_amount) AS s FROM placed GROUP BY {c}"
+        for i, c in enumerate(names)
+    )
+    return ready(
+        f"""SELECT variable, threshold, CAST(nl AS BIGINT) AS left_rows, CAST(n - nl AS BIGINT) AS right_rows,
+        ROUND(sl / nl, 4) AS left_value, ROUND((s - sl) / (n - nl), 4) AS right_value, 1.0::DOUBLE AS importance
+        FROM (SELECT variable, place, (v + LEAD(v) OVER w) / 2 AS threshold, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl,
+            SUM(n) OVER (PARTITION BY variable) AS n, SUM(s) OVER (PARTITION BY variable) AS s
+          FROM ({values}) WINDOW w AS (PARTITION BY variable ORDER BY v))
+        WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, place, threshold LIMIT 1"""
+    )
+
+
 def guess(text: str) -> str:
     return _with(text, _TRIPS, _ZONES, _WEATHER, _SILVER, _GUESS)
 
@@ -541,6 +561,7 @@ def _oracles() -> dict[str, str]:
         "split_rows": ready(
             "SELECT trip_key, CASE WHEN in_test THEN 'test' ELSE 'train' END AS part FROM placed"
         ),
+        "forest_root_split": _root_split(),
         "mean_baseline": ready(
             f"""SELECT ROUND(mae, 4) AS mae, ROUND(rmse, 4) AS rmse FROM (SELECT {metrics} FROM (
               SELECT total_amount AS y, (SELECT AVG(total_amount) FROM placed WHERE NOT in_test) AS p

@@ -55,6 +55,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 SAMPLE_SIZE = 20_000
+#: More than any feature has values in the test data, so that the trainer tries all thresholds there are.
+ROOT_BINS = 1_024
 CHOSEN_MONTHS = ("1996-01", "1996-02", "1999-12")
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -717,6 +719,21 @@ def guess_scatter(spark, sf_dir):
     return reads.actual_vs_predicted(_guessed(spark, sf_dir))
 
 
+@query
+def forest_root_split(spark, sf_dir):
+    """First split of a tree fitted on all prepared trips, with a bin for each value, and what it does to these trips."""
+    rows = stored(_ready_rows(spark, sf_dir), "root-rows")
+    model = learning.fit_price_model(rows, trees=1, depth=1, bins=ROOT_BINS, bootstrap=False)
+    at = learning.root_split(model)
+    left = F.col(at.variable) <= at.threshold
+    return rows.agg(
+        F.lit(at.variable).alias("variable"), F.lit(at.threshold).alias("threshold"),
+        F.count_if(left).alias("left_rows"), F.count_if(~left).alias("right_rows"),
+        scale_round(F.lit(at.left), 4).alias("left_value"), scale_round(F.lit(at.right), 4).alias("right_value"),
+        F.lit(learning.importances(model)[at.variable]).alias("importance"),
+    )
+
+
 _learned: dict[tuple[str, str], dict] = {}
 
 

@@ -231,3 +231,17 @@ def test_draws_have_one_size(spark):
     sizes = {r["tree"]: r["count"] for r in drawn.groupBy("tree").count().collect()}
     assert size == 16 and sizes == dict.fromkeys(range(5), 16)
     assert forest.fit(data).feature.shape[0] == 5
+
+
+def test_root_split(spark):
+    """The split of one tree over all values is the one a plain search finds; a constant target has none."""
+    rows = [(i % 17, (i * 7) % 5, 3.0 * (i % 17 > 11) + (i * 31 % 10) / 10) for i in range(600)]
+    df = spark.createDataFrame(rows, "a int, b int, y double")
+    fit = {"trees": 1, "depth": 1, "columns": ("a", "b"), "target": "y", "bins": 64, "bootstrap": False}
+    found = learning.root_split(learning.fit_price_model(df, **fit), ("a", "b"))
+    left = [y for a, _, y in rows if a <= 11]
+    right = [y for a, _, y in rows if a > 11]
+    assert (found.variable, found.threshold) == ("a", 11.5)
+    assert abs(found.left - sum(left) / len(left)) < 1e-9 and abs(found.right - sum(right) / len(right)) < 1e-9
+    flat = df.selectExpr("a", "b", "1.0D AS y")
+    assert learning.root_split(learning.fit_price_model(flat, **fit), ("a", "b")) is None
