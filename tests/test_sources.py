@@ -24,6 +24,7 @@ from martkit.sources.landing import (
     with_lineage,
 )
 from martkit.sources.schemas import LANDED_TRIPS, LANDED_WEATHER, ML_METRICS, RAW_ZONES
+from martkit.testbed import adapters
 
 MONTH_1 = """CAST(1 AS INT) AS VendorID, TIMESTAMP_NTZ'2024-01-05 10:00:00' AS tpep_pickup_datetime,
   TIMESTAMP_NTZ'2024-01-05 10:20:00' AS tpep_dropoff_datetime, 2.0D AS passenger_count,
@@ -186,6 +187,52 @@ def test_clustered_write_opens_few_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 8000
 
 
+def test_columns_can_be_derived_after_rows_are_brought_together(spark, tmp_path):
+    df = spark.range(400).selectExpr("id", "CAST(2020 + id % 2 AS INT) AS year", "CAST(1 + id % 12 AS INT) AS month")
+    shuffled = []
+
+    def derive(rows):
+        shuffled.append(rows)
+        return rows.selectExpr("id", "sha2(CAST(id AS STRING), 512) AS wide", "year", "month")
+
+    layers.write_partitioned(df, f"{tmp_path}/t", cluster=True, derive=derive)
+    assert shuffled[0].columns == ["id", "year", "month"]
+    assert "RebalancePartitions" in shuffled[0]._jdf.queryExecution().optimizedPlan().toString()
+    written = layers.read_layer(spark, f"{tmp_path}/t", "id long, wide string, year int, month string")
+    rows = written.selectExpr("id", "wide = sha2(CAST(id AS STRING), 512) AS same", "year", "month").collect()
+    assert sorted(map(tuple, rows)) == [(i, True, 2020 + i % 2, f"{1 + i % 12:02d}") for i in range(400)]
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 24
+
+
+def test_landing_shuffles_only_what_trips_are_made_of(spark, sf_dir, monkeypatch):
+    made = []
+
+    def watched(df, path, by=("year", "month"), cluster=False, derive=None):
+        made.append((df, cluster))
+        write(df, path, by, cluster, derive)
+
+    write = layers.write_partitioned
+    monkeypatch.setattr(adapters, "write_partitioned", watched)
+    monkeypatch.setattr(adapters, "_landed", {})
+    trips, derived = adapters.raw_trips(spark, sf_dir), adapters.derive_trips(spark, sf_dir)
+    assert made[0][1] and not {"trip_key", "driver_email", "driver_pseudo"} & set(made[0][0].columns)
+    assert trips.columns == derived.columns
+    assert trips.exceptAll(derived).count() == derived.exceptAll(trips).count() == 0
+
+
+def test_numbering_rows_never_shuffles_them(spark, tmp_path):
+    path = f"{tmp_path}/in"
+    spark.range(100).selectExpr("id AS vendorid", "1.0D AS fare_amount").repartitionByRange(5, "vendorid").write.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a delivery whose estimated size is beyond it
+    try:
+        trips = landing.read_trip_source(spark, path)
+        assert "SortMergeJoin" not in trips._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, trips.select("vendorid", "_source_row").collect())) == [(i, i) for i in range(100)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_register_table(spark, tmp_path, name):
     path = f"{tmp_path}/ext"
     spark.range(3).selectExpr("id", "2024 AS year").write.partitionBy("year").parquet(path)
