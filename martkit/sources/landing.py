@@ -54,13 +54,13 @@ def _with_row_numbers(groups: list[DataFrame]) -> list[DataFrame]:
     """Add ``_source_file`` and ``_source_row``: the row's number in its file plus the rows of all files before it.
 
     One rule for any layout: the rows of a month get the same numbers whether they come in one file or in several
-    named in order. The rows per file are counted first (a row per file); the rows themselves aren't shuffled
-    while that table is small enough for Spark to send it along.
+    named in order. The rows per file are counted first; that table has a row per file of one month's delivery, whose
+    list the driver holds anyway, and is sent along, so the rows themselves aren't shuffled.
     """
     path = F.col("_metadata.file_path").alias("_path")
     files = union_by_name([g.groupBy(path).agg(F.count(F.lit(1)).alias("_rows")) for g in groups])
     before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    starts = F.broadcast(files.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")))
     name, index = F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.row_index").alias("_index")
     row = (F.col("_start") + F.col("_index")).alias("_source_row")
     return [
