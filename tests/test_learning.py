@@ -12,6 +12,7 @@ from martkit.operators.isoforest import IsolationForest, average_path
 from martkit.sources import models
 from martkit.sources.schemas import ML_METRICS, PREDICTIONS
 from martkit.sources.versions import Versions
+from martkit.testbed import registry
 
 
 @pytest.fixture(scope="module")
@@ -245,3 +246,19 @@ def test_root_split(spark):
     assert abs(found.left - sum(left) / len(left)) < 1e-9 and abs(found.right - sum(right) / len(right)) < 1e-9
     flat = df.selectExpr("a", "b", "1.0D AS y")
     assert learning.root_split(learning.fit_price_model(flat, **fit), ("a", "b")) is None
+
+
+def test_a_later_month_reads_its_own_rows_only(spark, sf_dir, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(fitted, rows):
+        files = {r[0] for r in rows.select(F.input_file_name()).distinct().collect()}
+        months = {r[0] for r in rows.select(F.date_format("pickup_date", "'year='yyyy'/month='MM")).distinct().collect()}
+        assert len(months) == 1 and all(next(iter(months)) in f for f in files)
+        assert "PartitionFilters: []" not in rows._jdf.queryExecution().executedPlan().toString()
+        raise Seen
+
+    monkeypatch.setattr(learning, "predict", seen)
+    with pytest.raises(Seen):
+        registry.later_months(spark, sf_dir)
