@@ -248,6 +248,17 @@ def test_root_split(spark):
     assert learning.root_split(learning.fit_price_model(flat, **fit), ("a", "b")) is None
 
 
+def test_groups_of_nodes_are_small_and_do_not_change_the_trees(silver, monkeypatch):
+    rows = learning.prepare(silver)
+    found = []
+    for megabytes in (1, learning.NODE_STATISTICS_MB):
+        monkeypatch.setattr(learning, "NODE_STATISTICS_MB", megabytes)
+        model = learning.fit_price_model(rows, trees=3, depth=10, key="key", parts=2)
+        assert model.getMaxMemoryInMB() == megabytes <= 256  # each core of an executor holds as much
+        found.append(model.toDebugString.partition("\n")[2])
+    assert found[0] == found[1]
+
+
 def test_a_later_month_reads_its_own_rows_only(spark, sf_dir, monkeypatch):
     class Seen(Exception):
         pass
