@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 #: What counts as white space between words: space, tab, line feed, vertical tab, form feed, return.
 WHITESPACE = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+_LIBC = ctypes.CDLL(None)
 
 
 def whole_text(column: str = "text") -> Column:
@@ -44,6 +46,13 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 8_000_000) -> Itera
         yield batch.slice(start)
 
 
+def release_memory() -> None:
+    """Give what Arrow and the C library keep of freed memory back, so that a worker between batches holds little."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def frequent_floor(counts: DataFrame, column: str, most: int) -> int:
     """The smallest power of two that at most ``most`` rows reach with this column of positive counts.
 

@@ -7,8 +7,10 @@ is missing settles the longer ones around it.
 
 The floor is a fixed share of the training tokens. Counts of one order add up to the number of tokens at most and a level
 takes at least one floor's worth of them, so the filter of one order holds at most 1 / FLOOR_SHARE entries whatever the
-corpus, and every worker gets a copy: 42 MB for each of both orders at the most. Orders are counted one after the other; an
-n-gram is counted only where the shorter ones in it are in the filter already.
+corpus, and every worker gets a copy: 42 MB for each of both orders at the most. N-grams below the floor keep their exact
+counts in buckets of keys, dealt over the tasks; a text asks the buckets for what the filters lack. Words outside the
+vocabulary take part by their hashes. Orders are counted one after the other; an n-gram is counted where the shorter ones
+in it may have LEAST_COUNT occurrences.
 
 A token's probability is a mean of what its count, its bigram's and its trigram's say, with weights that are found by
 leaving one occurrence out: every training token votes for the order that would have told it best without it. Contexts
@@ -25,25 +27,38 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import frequent_floor, slices
+from martkit.llm.common import frequent_floor, release_memory, slices
 from martkit.llm.words import split_words
 from martkit.sources.layers import stored
 
 SPACES = b" \t\n\x0b\x0c\r"
-#: Counts that are sent to every task, the highest ones; n-grams are of these tokens.
+#: Counts that are sent to every task, the highest ones.
 VOCABULARY = 1 << 18
-#: An n-gram is stored if its count is at least this share of the training tokens, and at least LEAST_COUNT.
+#: The filters have n-grams whose count is at least this share of the training tokens; other counts from LEAST_COUNT on are
+#: looked up in the buckets that hold them.
 FLOOR_SHARE = 2.0**-25
 LEAST_COUNT = 2
 #: A stored level takes so many bits, found by so many probes: one in a hundred absent ones seems present.
 ENTRY_BITS, PROBES = 10, 5
 BLOCK_BYTES = 1 << 16
-#: Keys that a task holds before it counts them.
-HELD_KEYS = 4_000_000
+#: Text that is worked on at a time; NumPy and Arrow hold some thirty times as much for a moment.
+SLICE_BYTES = 2_000_000
+#: Keys that a task holds before it counts them, and tokens to a partition of the counts.
+HELD_KEYS = 1_000_000
+PART_TOKENS = 4_000_000
 ID_BITS = 20
+#: Blocks at most for the filter that tells which n-grams below the floor are worth asking for; full, it lets more through.
+MORE_BLOCKS = 320
+#: Kinds of counts: words outside the vocabulary; n-grams of vocabulary words alone, and those with another word.
+WORDS, PAIRS, OTHER_PAIRS, TRIPLES, OTHER_TRIPLES = range(1, 6)
+KINDS = 6
+CODES = ("one", "two", "three")
+#: Which of the codes a kind answers.
+ORDER = {WORDS: 0, PAIRS: 1, OTHER_PAIRS: 1, TRIPLES: 2, OTHER_TRIPLES: 2}
 END = ""  # stands for the end token in tables of words
 
 
@@ -74,7 +89,7 @@ def unmixed(x: np.ndarray) -> np.ndarray:
 def _bit(hashed: np.ndarray, probe: int) -> np.ndarray:
     """The place within its block that a probe of a hashed key reads."""
     step = (hashed >> np.uint64(32)) | np.uint64(1)
-    return (hashed + np.uint64(probe) * step) % np.uint64(8 * BLOCK_BYTES)
+    return (hashed + np.uint64(probe) * step) & np.uint64(8 * BLOCK_BYTES - 1)
 
 
 def _hashed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -156,7 +171,8 @@ def build_filter(counts: DataFrame, floor: int, most_blocks: int | None = None)
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from slices(batch, "text", 4_000_000)
+        yield from slices(batch, "text", SLICE_BYTES)
+        release_memory()
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -206,8 +222,108 @@ def trigram_keys(earlier: np.ndarray, before: np.ndarray, ids: np.ndarray) -> np
     return mixed((earlier << ID_BITS | before) << ID_BITS | ids)
 
 
+class Ngrams(NamedTuple):
+    """Keys of the n-grams that end in each token. Those of vocabulary words alone are one-to-one, others are hashes."""
+
+    pair: np.ndarray
+    triple: np.ndarray
+    other_pair: np.ndarray  # whether one of its words is outside the vocabulary
+    other_triple: np.ndarray
+    first: np.ndarray  # whether the token is the first of its text: no trigram ends there
+
+
+class Slice(NamedTuple):
+    """Tokens of some texts: the number of the first row, the documents (an Arrow stream), their sizes in tokens and whether
+    they are learned from, the vocabulary number of each token, the hashes of those that have none."""
+
+    number: int
+    docs: bytes
+    sizes: np.ndarray
+    learned: np.ndarray
+    ids: np.ndarray
+    names: np.ndarray
+
+    def ngrams(self, vocabulary: Vocabulary) -> Ngrams:
+        before, earlier = vocabulary.contexts(self.ids, self.sizes)
+        first = np.zeros(len(self.ids), bool)
+        first[np.cumsum(self.sizes) - self.sizes] = True
+        pair, triple = bigram_keys(before, self.ids), trigram_keys(earlier, before, self.ids)
+        other = self.ids == 0
+        other_pair = other | (before == 0)
+        other_triple = (other_pair | (earlier == 0)) & ~first
+        if len(self.names):
+            word = mixed(self.ids)
+            word[other] = self.names
+            end = word[-1:]  # every text has one
+            last = np.concatenate([end, word[:-1]])
+            one_more = np.concatenate([end, last[:-1]])
+            pair[other_pair] = mixed(mixed(last[other_pair]) + word[other_pair])
+            triple[other_triple] = mixed(mixed(mixed(one_more[other_triple]) + last[other_triple]) + word[other_triple])
+        return Ngrams(pair, triple, other_pair, other_triple, first)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: all lowest bytes, then all second ones, and so on."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Buffer, n: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * width, codec="zstd"), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(n)
+
+
+def _docs(data: pa.Buffer) -> pa.RecordBatch:
+    with pa.ipc.open_stream(data) as stream:
+        return stream.read_next_batch()
+
+
+def tokenized(docs: DataFrame, learned: Column, shipped) -> DataFrame:
+    """(slice, docs, ids, names): the texts as vocabulary numbers, so that they are cut into words once for all counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _spread(batches):
+            ids, sizes, distinct, codes = shipped.value.tokens(rows.column("text").fill_null(""))
+            other = ids == 0
+            # Other words: distinct ones of each text with their numbers.
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            words, times = np.unique((text << 32 | codes)[other & (codes >= 0)], return_counts=True)
+            bounds = pa.array(np.searchsorted(words >> 32, np.arange(len(sizes) + 1)), pa.int32())
+            found, places = np.unique(codes[other], return_inverse=True)
+            hashes = [xxhash.xxh64_intdigest(distinct[c].as_py() if c >= 0 else END) for c in found.tolist()]
+            arrays = [
+                rows.column("row"), rows.column("doc_id"), rows.column("learned"), pa.array(sizes, pa.int64()),
+                pa.ListArray.from_arrays(bounds, distinct.take(pa.array(words & 0xFFFFFFFF))),
+                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
+            ]
+            batch = pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "learned", "size", "word", "times"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            blobs = sink.getvalue().to_pybytes(), _packed(ids.astype(np.int32)), np.array(hashes, np.uint64)[places].tobytes()
+            number = pa.array([rows.column("row")[0].as_py()], pa.int64())
+            yield pa.RecordBatch.from_arrays([number, *(pa.array([b], pa.binary()) for b in blobs)], names=["slice", "docs", "ids", "names"])
+
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("bigint").alias("doc_id"), "text", learned.alias("learned")
+    )
+    return stored(numbered.mapInArrow(run, "slice long, docs binary, ids binary, names binary"), "tokenized")
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+    for rows in batches:
+        for i in range(len(rows)):
+            number, docs, ids, names = (rows.column(c)[i] for c in ("slice", "docs", "ids", "names"))
+            of = _docs(docs.as_buffer())
+            sizes, learned = of.column("size").to_numpy(), of.column("learned").to_numpy(zero_copy_only=False)
+            numbers = _unpacked(ids.as_buffer(), sizes.sum(), np.int32).astype(np.int64)
+            yield Slice(number.as_py(), docs.as_py(), sizes, learned, numbers, np.frombuffer(names.as_buffer(), np.uint64))
+        release_memory()
+
+
 class NgramModel(NamedTuple):
-    """What is learned: exact counts of all tokens, and the two filters."""
+    """What is learned: exact counts of all tokens, the two filters, and the counts of n-grams below their floor."""
 
     token_counts: DataFrame
     hot_floor: int
@@ -216,6 +332,12 @@ class NgramModel(NamedTuple):
     vocabulary: Vocabulary
     bigrams: LogFrequencyFilter
     trigrams: LogFrequencyFilter
+    #: Filters of one level of the n-grams below the floor: what isn't in them isn't asked for.
+    more_bigrams: LogFrequencyFilter
+    more_trigrams: LogFrequencyFilter
+    #: Exact counts by bucket, see _counted; None if the filters and the vocabulary hold everything.
+    rest: DataFrame | None
+    shards: int
     weights: tuple[float, float, float]
 
     @property
@@ -224,35 +346,105 @@ class NgramModel(NamedTuple):
         return self.train_tokens + 0.1 * (self.distinct + 1)
 
 
-def _ngram_counts(docs: DataFrame, shipped, bigrams, floor: int) -> DataFrame:
-    """(key, n) of the n-grams of vocabulary tokens with n >= floor: bigrams, or, with their filter, trigrams."""
+def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """One binary value for each run of values that starts at a cut."""
+    values = np.ascontiguousarray(values)
+    ends = (np.append(cuts, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _dealt(kind: int, shards: int, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """(bucket, keys, values): keys cut into ranges, a row for each range that has any."""
+    shard = (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order].astype(np.int64)
+    cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+    return kind * shards + shard[cuts], _blobs(keys[order], cuts), _blobs(values[order], cuts)
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with the sums of their counts."""
+    keys, n = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.add.reduceat(n[order], starts)
+
+
+def _counted(texts: DataFrame, shipped, gates, total: int, shards: int) -> DataFrame:
+    """(bucket, keys, n): counts of LEAST_COUNT and more in the tokenized texts learned from, each bucket's keys in order.
+
+    Without gates: bigrams, and all counts of words outside the vocabulary. With the filters of bigrams: the trigrams whose
+    bigrams may be among them. Keys travel as one binary value per task and bucket, not as a row each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, held = shipped.value, []
+        vocabulary, held = shipped.value, {}
 
-        def counted() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+        def counted() -> Iterator[pa.RecordBatch]:
+            for kind, keys in held.items():
+                found, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _dealt(kind, shards, found, n.astype(np.uint32))], names=["bucket", "keys", "n"])
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
 
-        for rows in _spread(batches):
-            ids, sizes, *_ = vocabulary.tokens(rows.column("text").fill_null(""))
-            before, earlier = vocabulary.contexts(ids, sizes)
-            keys = bigram_keys(before, ids)
-            pair = (before > 0) & (ids > 0)
-            if bigrams is None:
-                held.append(keys[pair])
+        def hold(kind: int, keys: np.ndarray) -> None:
+            if len(keys):
+                held.setdefault(kind, []).append(keys)
+
+        for rows in _read(batches):
+            found = rows.ngrams(vocabulary)
+            mine = np.repeat(rows.learned, rows.sizes)
+            if gates is None:
+                hold(WORDS, rows.names[mine[rows.ids == 0]])
+                hold(PAIRS, found.pair[mine & ~found.other_pair])
+                hold(OTHER_PAIRS, found.pair[mine & found.other_pair])
             else:
-                pair[pair] = bigrams.value.levels(keys[pair]) > 0
-                whole = pair & np.concatenate([[False], pair[:-1]]) & (earlier > 0)
-                held.append(trigram_keys(earlier[whole], before[whole], ids[whole]))
-            if sum(map(len, held)) > HELD_KEYS:
-                yield counted()
-        if held:
-            yield counted()
+                pair = gates.value[0].levels(found.pair) > 0
+                pair[~pair] = gates.value[1].levels(found.pair[~pair]) > 0
+                whole = pair & np.concatenate([[False], pair[:-1]]) & ~found.first & mine
+                hold(TRIPLES, found.triple[whole & ~found.other_triple])
+                hold(OTHER_TRIPLES, found.triple[whole & found.other_triple])
+            if sum(len(k) for keys in held.values() for k in keys) > HELD_KEYS:
+                yield from counted()
+        yield from counted()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, fresh = {}, {}
+        for rows in batches:
+            for bucket, keys, n in zip(rows.column("bucket").to_pylist(), rows.column("keys"), rows.column("n"), strict=True):
+                more = np.frombuffer(keys.as_buffer(), np.uint64).copy(), np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64)
+                held.setdefault(bucket, []).append(more)
+                fresh[bucket] = fresh.get(bucket, 0) + len(more[0])
+                if fresh[bucket] > HELD_KEYS:
+                    held[bucket], fresh[bucket] = [_merged(held[bucket])], 0
+        for bucket in sorted(held):
+            keys, n = _merged(held.pop(bucket))
+            often = n >= (1 if bucket // shards == WORDS else LEAST_COUNT)
+            out = [pa.array([bucket], pa.int64()), *(pa.array([x[often].tobytes()], pa.binary()) for x in (keys, n))]
+            yield pa.RecordBatch.from_arrays(out, names=["bucket", "keys", "n"])
+
+    schema = "bucket long, keys binary, n binary"
+    parts = _parts(texts, total)
+    return stored(texts.mapInArrow(run, schema).repartition(parts, "bucket").mapInArrow(add, schema), "ngrams")
+
+
+def _parts(docs: DataFrame, total: int) -> int:
+    """Partitions that hold a bounded number of tokens each."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PART_TOKENS + 1)
+
 
-    counts = docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return stored(counts.filter(F.col("n") >= floor), "ngrams")
+def _rows(counted: DataFrame, shards: int, kinds: tuple[int, ...], least: int, below: int | None = None) -> DataFrame:
+    """(key, n) of the counts of some kinds from least on, and below another number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for keys, n in zip(rows.column("keys"), rows.column("n"), strict=True):
+                keys, n = np.frombuffer(keys.as_buffer(), np.int64), np.frombuffer(n.as_buffer(), np.int64)
+                some = (n >= least) & (n < (below or 1 << 62))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(n[some])], names=["key", "n"])
+
+    kind = F.call_function("div", "bucket", F.lit(shards))
+    return counted.filter(kind.isin(*kinds)).mapInArrow(run, "key long, n long")
 
 
 def _votes(counts: DataFrame, shipped, bigrams, total: int, floor: int) -> np.ndarray:
@@ -290,9 +482,9 @@ def _votes(counts: DataFrame, shipped, bigrams, total: int, floor: int) -> np.nd
     return np.array([v or 0.0 for v in found])
 
 
-def learn_ngrams(docs: DataFrame, vocabulary: int = VOCABULARY, floor_share: float = FLOOR_SHARE) -> NgramModel:
-    """Learn from the text of every row of docs; null counts as empty. A table without rows gives an empty model."""
-    counts = stored(token_counts(docs), "tokens")
+def _learned(docs: DataFrame, learned: Column, vocabulary: int, floor_share: float) -> tuple[NgramModel, DataFrame]:
+    """The model, as yet without the votes of n-grams that aren't in the filters, and the tokenized texts of all rows."""
+    counts = stored(token_counts(docs.filter(learned)), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot_floor = frequent_floor(counts, "n", vocabulary)
     hot = counts.filter((F.col("n") >= hot_floor) | (F.col("word") == END)).orderBy(F.desc("n"), "word").toPandas()
@@ -300,73 +492,258 @@ def learn_ngrams(docs: DataFrame, vocabulary: int = VOCABULARY, floor_share: flo
     floor = max(LEAST_COUNT, math.ceil(total * floor_share))
     context = docs.sparkSession.sparkContext
     shipped = context.broadcast(known)
-    pairs = _ngram_counts(docs, shipped, None, floor)
-    bigrams = build_filter(pairs, floor)
-    sent = context.broadcast(bigrams)
-    triples = _ngram_counts(docs, shipped, sent, floor)
-    votes = np.array([float(total), 0.0, 0.0]) + _votes(pairs, shipped, None, total, floor) + _votes(triples, shipped, sent, total, floor)
-    weights = np.maximum(votes, 1.0) / np.maximum(votes, 1.0).sum()
-    return NgramModel(counts, hot_floor, total, distinct, known, bigrams, build_filter(triples, floor), tuple(weights.tolist()))
+    shards = 2 * _parts(docs, total)
+    texts = tokenized(docs, learned, shipped)
+
+    def filters(counted: DataFrame, *kinds: int) -> tuple[LogFrequencyFilter, LogFrequencyFilter]:
+        none = LogFrequencyFilter(np.empty(0, np.uint8), 1)
+        more = _rows(counted, shards, kinds, LEAST_COUNT, floor).withColumn("n", F.lit(1))
+        return build_filter(_rows(counted, shards, kinds, floor), floor), build_filter(more, 1, MORE_BLOCKS) if floor > LEAST_COUNT else none
+
+    pairs = _counted(texts, shipped, None, total, shards)
+    of_two = filters(pairs, PAIRS, OTHER_PAIRS)
+    triples = _counted(texts, shipped, context.broadcast(of_two), total, shards)
+    of_three = filters(triples, TRIPLES, OTHER_TRIPLES)
+    sent = context.broadcast(of_two[0])
+    votes = np.array([float(total), 0.0, 0.0])
+    votes += _votes(_rows(pairs, shards, (PAIRS,), floor), shipped, None, total, floor)
+    votes += _votes(_rows(triples, shards, (TRIPLES,), floor), shipped, sent, total, floor)
+    rest = pairs.unionByName(triples) if floor > LEAST_COUNT or len(hot) < distinct else None
+    model = NgramModel(
+        counts, hot_floor, total, distinct, known, of_two[0], of_three[0], of_two[1], of_three[1], rest, shards, tuple(votes.tolist())
+    )
+    return model, texts
 
 
-# --- scoring ----------------------------------------------------------------------------------------
+def _weighed(model: NgramModel, found: DataFrame) -> NgramModel:
+    """The model with the votes of all n-grams made weights; found has the counts of the texts learned from."""
+    votes = np.array(model.weights)
+    if model.rest is not None:
+        votes += _other_votes(found, model)
+    return model._replace(weights=tuple((np.maximum(votes, 1.0) / np.maximum(votes, 1.0).sum()).tolist()))
+
+
+def learn_ngrams(docs: DataFrame, vocabulary: int = VOCABULARY, floor_share: float = FLOOR_SHARE) -> NgramModel:
+    """Learn from the text of every row of docs; null counts as empty. A table without rows gives an empty model."""
+    model, texts = _learned(docs, F.lit(True), vocabulary, floor_share)
+    return _weighed(model, None if model.rest is None else look_up(texts, model))
+
+
+def learn_and_score(docs: DataFrame, learned: Column, vocabulary: int = VOCABULARY, floor_share: float = FLOOR_SHARE) -> DataFrame:
+    """``score_texts`` of all rows by what the rows marked as learned give (never null); texts are cut and counts looked up
+    once for both."""
+    model, texts = _learned(docs, learned, vocabulary, floor_share)
+    found = look_up(texts, model)
+    return _scored(found, _weighed(model, found))
+
+
+# --- looking up -------------------------------------------------------------------------------------
+
 
+ASKED = "bucket long, slice long, kind int, keys binary, vals binary, docs binary"
+FOUND = [f"{code}_{what}" for code in CODES for what in ("at", "n")]
 
-def token_logs(model: NgramModel, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of each token's base probability and of its probability after its context.
 
-    For tokens outside the vocabulary both lack the factor that is the token's base probability.
+def look_up(texts: DataFrame, model: NgramModel) -> DataFrame:
+    """Tokenized texts with what is known of the n-grams that end in each token: the levels that the filters have, and the
+    places and exact counts of other ones.
+
+    The filters answer first. What they lack is asked for: keys go to the tasks that hold the counts of their buckets, counts
+    that are found go back to their slices.
     """
-    vocabulary = model.vocabulary
-    before, earlier = vocabulary.contexts(ids, sizes)
-    count, before_count = vocabulary.counts[ids], vocabulary.counts[before]
-    base = np.where(ids > 0, (count + 0.1) / model.base, 1.0)
-    pair = (before > 0) & (ids > 0)
-    pairs = np.zeros(len(ids))
-    pairs[pair] = model.bigrams.counts(bigram_keys(before[pair], ids[pair]))
-    pairs = np.minimum(pairs, np.minimum(count, before_count))
-    context = np.where(earlier > 0, np.concatenate([[0.0], pairs[:-1]]), 0.0)
-    triple = (pairs > 0) & (context > 0)
-    triples = np.zeros(len(ids))
-    triples[triple] = model.trigrams.counts(trigram_keys(earlier[triple], before[triple], ids[triple]))
-    triples = np.minimum(triples, np.minimum(pairs, context))
-    one, two, three = model.weights
-    pair_said, triple_said = before_count > 0, context > 0
-    said = one * base + two * pairs / np.where(pair_said, before_count, 1) + three * triples / np.where(triple_said, context, 1.0)
-    return np.log10(base), np.log10(said / (one + two * pair_said + three * triple_said))
+    sent = model._replace(token_counts=None, rest=None)
+    shipped, shards, asks = texts.sparkSession.sparkContext.broadcast(sent), model.shards, model.rest is not None
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+
+        def levels_of(keys: np.ndarray, which: np.ndarray, stored: LogFrequencyFilter, more: LogFrequencyFilter) -> tuple[np.ndarray, np.ndarray]:
+            """The levels of some keys, and which of them may have a count below the floor."""
+            levels, below = np.zeros(len(keys), np.uint8), np.zeros(len(keys), bool)
+            levels[which] = stored.levels(keys[which])
+            absent = np.flatnonzero(which & (levels == 0))
+            below[absent] = more.levels(keys[absent]) > 0
+            return levels, below
+
+        for rows in _read(batches):
+            found = rows.ngrams(known.vocabulary)
+            two, ask_two = levels_of(found.pair, np.ones(len(rows.ids), bool), known.bigrams, known.more_bigrams)
+            pair = ask_two | (two > 0)
+            deep = pair & np.concatenate([[False], pair[:-1]]) & ~found.first
+            three, ask_three = levels_of(found.triple, deep, known.trigrams, known.more_trigrams)
+            slot = rows.number * 0x9E3779B1 % (shards * KINDS)
+            whole = {"bucket": slot, "slice": rows.number, "kind": 0, "keys": _packed(rows.ids.astype(np.int32)), "vals": _packed(np.concatenate([two, three]))}
+            yield pa.RecordBatch.from_pylist([whole | {"docs": rows.docs}], schema=asked_schema)
+            if not asks:
+                continue
+            every = np.zeros(len(rows.ids), np.uint64)
+            every[rows.ids == 0] = rows.names
+            for kind, keys, which in (
+                (WORDS, every, rows.ids == 0), (PAIRS, found.pair, ask_two & ~found.other_pair), (OTHER_PAIRS, found.pair, ask_two & found.other_pair),
+                (TRIPLES, found.triple, ask_three & ~found.other_triple), (OTHER_TRIPLES, found.triple, ask_three & found.other_triple),
+            ):
+                places = np.flatnonzero(which).astype(np.int32)
+                bucket, keys, places = _dealt(kind, shards, keys[places], places)
+                n = len(bucket)
+                arrays = [
+                    pa.array(bucket), pa.array([rows.number] * n, pa.int64()), pa.array([kind] * n, pa.int32()), keys, places, pa.nulls(n, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=asked_schema)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, n = None, None, None
+        for rows in batches:
+            out = []
+            for i in range(len(rows)):
+                bucket, number, kind = (rows.column(c)[i].as_py() for c in ("bucket", "slice", "kind"))
+                if number is None:
+                    at, keys, n = bucket, *(np.frombuffer(rows.column(c)[i].as_py(), t) for c, t in (("keys", np.uint64), ("vals", np.int64)))
+                elif kind == 0:
+                    yield rows.slice(i, 1)
+                elif bucket == at and len(keys):
+                    asked = np.frombuffer(rows.column("keys")[i].as_buffer(), np.uint64)
+                    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                    hit = keys[place] == asked
+                    places = np.frombuffer(rows.column("vals")[i].as_buffer(), np.int32)[hit]
+                    out.append({"bucket": bucket, "slice": number, "kind": kind, "keys": places.tobytes(), "vals": n[place[hit]].astype(np.int32).tobytes(), "docs": None})
+            yield pa.RecordBatch.from_pylist(out, schema=asked_schema)
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, found = None, None
+
+        def joined() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([whole | {c: b"".join(x) for c, x in found.items()}], schema=found_schema)
+
+        for rows in batches:
+            for i in range(len(rows)):
+                kind, keys, vals = (rows.column(c)[i].as_py() for c in ("kind", "keys", "vals"))
+                if kind == 0:
+                    if whole is not None:
+                        yield joined()
+                    whole, found = {"docs": rows.column("docs")[i].as_py(), "ids": keys, "levels": vals}, {c: [] for c in FOUND}
+                else:
+                    found[f"{CODES[ORDER[kind]]}_at"].append(keys)
+                    found[f"{CODES[ORDER[kind]]}_n"].append(vals)
+        if whole is not None:
+            yield joined()
+
+    asked_schema = pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("kind", pa.int32())] + [(c, pa.binary()) for c in ("keys", "vals", "docs")])
+    found_schema = pa.schema([(c, pa.binary()) for c in ("docs", "ids", "levels", *FOUND)])
+    found = texts.mapInArrow(ask, ASKED)
+    if asks:
+        parts = _parts(texts, model.train_tokens)
+        none = F.lit(None)
+        counts = model.rest.select(
+            "bucket", none.cast("bigint").alias("slice"), F.lit(0).alias("kind"), "keys", F.col("n").alias("vals"), none.cast("binary").alias("docs")
+        )
+        met = found.unionByName(counts).repartition(parts, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice"))
+        found = met.mapInArrow(answer, ASKED).repartition(parts, "slice").sortWithinPartitions("slice", "kind")
+    return stored(found.mapInArrow(put, ", ".join(f"{c} binary" for c in found_schema.names)), "found")
+
+
+class Known(NamedTuple):
+    """Counts of the tokens of a slice: of the token, of the one before, of the n-grams, and of the bigram before."""
+
+    docs: pa.RecordBatch
+    sizes: np.ndarray
+    codes: list[np.ndarray]
+    one: np.ndarray
+    before: np.ndarray
+    two: np.ndarray
+    context: np.ndarray
+    three: np.ndarray
+
+
+def _known(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, floor: int) -> Iterator[Known]:
+    for rows in batches:
+        for i in range(len(rows)):
+            docs = _docs(rows.column("docs")[i].as_buffer())
+            sizes = docs.column("size").to_numpy()
+            total = sizes.sum()
+            levels = _unpacked(rows.column("levels")[i].as_buffer(), 2 * total, np.uint8).reshape(2, total)
+            # The number of a vocabulary word, else minus the count; minus the level in a filter, else the exact count.
+            codes = [_unpacked(rows.column("ids")[i].as_buffer(), total, np.int32), *(-levels.astype(np.int32))]
+            for code, name in zip(codes, CODES, strict=True):
+                at, n = (np.frombuffer(rows.column(f"{name}_{what}")[i].as_buffer(), np.int32) for what in ("at", "n"))
+                code[at] = -n if name == CODES[0] else n
+            one = np.where(codes[0] > 0, vocabulary.counts[np.maximum(codes[0], 0)], -codes[0])
+            before = np.concatenate([vocabulary.counts[vocabulary.end : vocabulary.end + 1], one[:-1]])
+
+            def count(code: np.ndarray) -> np.ndarray:
+                """The count that a level stands for, the middle of its doubling in logarithms, or the exact one."""
+                return np.where(code < 0, floor * 2.0 ** (-code - 0.5), code)
+
+            two = np.minimum(count(codes[1]), np.minimum(one, before))
+            context = np.concatenate([[0.0], two[:-1]])
+            context[np.cumsum(sizes) - sizes] = 0
+            three = np.where((two > 0) & (context > 0), np.minimum(count(codes[2]), np.minimum(two, context)), 0.0)
+            yield Known(docs, sizes, codes, one, before, two, context, three)
+
+
+def _other_votes(found: DataFrame, model: NgramModel) -> np.ndarray:
+    """What the training tokens vote whose n-grams are below the floor or have a word outside the vocabulary."""
+    vocabulary, total, floor = model.vocabulary, model.train_tokens, model.bigrams.floor
+    shipped = found.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k in _known(batches, shipped.value, floor):
+            other = k.codes[0] <= 0
+            other_two = other | np.concatenate([[False], other[:-1]])
+            other_three = other_two | np.concatenate([[False], other_two[:-1]])
+            mine = np.repeat(k.docs.column("learned").to_numpy(zero_copy_only=False), k.sizes)
+
+            def without(count: np.ndarray, of: np.ndarray) -> np.ndarray:
+                return np.where(count - 1 >= LEAST_COUNT, (count - 1) / np.maximum(of - 1, 1), 0.0)
+
+            one = (k.one - 1) / max(total - 1, 1)
+            two, three = without(k.two, k.before), without(k.three, np.maximum(k.context, k.three))
+            # The filters' n-grams of vocabulary words have voted.
+            by_two = mine & ((k.codes[1] > 0) | other_two) & (two > one)
+            by_three = mine & ((k.codes[2] > 0) | other_three) & (three > np.maximum(one, two))
+            votes = np.array([0.0, by_two.sum() - (by_three & (two > one)).sum(), by_three.sum()])
+            votes[0] = -votes[1] - votes[2]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in votes], names=["one", "two", "three"])
+
+    votes = found.mapInArrow(run, "one double, two double, three double").agg(F.sum("one"), F.sum("two"), F.sum("three")).first()
+    return np.array([v or 0.0 for v in votes])
+
+
+# --- scoring ----------------------------------------------------------------------------------------
 
 
 def score_texts(docs: DataFrame, model: NgramModel) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
-    Null or empty text is the end token alone. Repeated rows and null ids pass through; other columns don't matter. Words
-    outside the vocabulary are matched with their counts by a join, one row per word of a text.
+    Null or empty text is the end token alone. Repeated rows and null ids pass through; other columns don't matter. For the
+    base score, words outside the vocabulary are matched with their counts by a join, one row per word of a text.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model._replace(token_counts=None))
+    shipped = docs.sparkSession.sparkContext.broadcast(model.vocabulary)
+    return _scored(look_up(tokenized(docs, F.lit(False), shipped), model), model)
+
+
+def _scored(looked_up: DataFrame, model: NgramModel) -> DataFrame:
+    shipped = looked_up.sparkSession.sparkContext.broadcast(model.vocabulary)
+    floor, divisor, (one, two, three) = model.bigrams.floor, model.base, model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shipped.value
-        for rows in _spread(batches):
-            ids, sizes, distinct, codes = known.vocabulary.tokens(rows.column("text").fill_null(""))
-            base, score = token_logs(known, ids, sizes)
-            starts = np.cumsum(sizes) - sizes
-            # Other words: distinct ones of each text with their numbers.
-            text = np.repeat(np.arange(len(sizes)), sizes)
-            other = (ids == 0) & (codes >= 0)
-            words, times = np.unique(text[other] << 32 | codes[other], return_counts=True)
-            bounds = pa.array(np.searchsorted(words >> 32, np.arange(len(sizes) + 1)), pa.int32())
+        for k in _known(batches, shipped.value, floor):
+            p = (k.one + 0.1) / divisor
+            pair_said, triple_said = k.before > 0, k.context > 0
+            said = one * p + two * k.two / np.where(pair_said, k.before, 1) + three * k.three / np.where(triple_said, k.context, 1.0)
+            score = np.log10(said / (one + two * pair_said + three * triple_said))
+            inside = k.codes[0] > 0
+            base = np.where(inside, np.log10(p), 0.0)
+            starts = np.cumsum(k.sizes) - k.sizes
             arrays = [
-                rows.column("row"), rows.column("doc_id"), pa.array(sizes, pa.int64()),
-                pa.array(np.add.reduceat(ids > 0, starts, dtype=np.int64)),
+                k.docs.column("row"), k.docs.column("doc_id"), k.docs.column("size"),
+                pa.array(np.add.reduceat(inside, starts, dtype=np.int64)),
                 pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(score, starts)),
-                pa.ListArray.from_arrays(bounds, distinct.take(pa.array(words & 0xFFFFFFFF))),
-                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
+                k.docs.column("word"), k.docs.column("times"),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "word", "times"])
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("bigint").alias("doc_id"), "text")
     schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, word array<string>, times array<bigint>"
-    found = stored(numbered.mapInArrow(run, schema), "scored")
+    found = stored(looked_up.mapInArrow(run, schema), "scored")
     others = found.filter(F.size("word") > 0).select("row", F.inline(F.arrays_zip("word", "times")))
     rare = model.token_counts.filter(F.col("n") < model.hot_floor)
     met = others.join(rare, "word", "left")
@@ -374,9 +751,8 @@ def score_texts(docs: DataFrame, model: NgramModel) -> DataFrame:
     more = met.groupBy("row").agg(
         F.sum(F.col("times") * log).alias("logs"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known")
     )
-    logs = F.coalesce("logs", F.lit(0.0))
     return found.drop("word", "times").join(more, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") + logs).alias("base_score"), (F.col("score") + logs).alias("score"),
+        (F.col("base_score") + F.coalesce("logs", F.lit(0.0))).alias("base_score"), "score",
     )

@@ -90,7 +90,7 @@ def op11_hat_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_log_frequency_filter_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document, learned from those that are not held out; one row per document."""
     docs = documents(spark, sf_dir)
-    scored = ngramlm.score_texts(docs, ngramlm.learn_ngrams(docs.filter(~ngramlm.held_out())))
+    scored = ngramlm.learn_and_score(docs, ~ngramlm.held_out())
     return scored.select(
         "doc_id", ngramlm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -128,3 +128,54 @@ def test_the_filter_is_bounded(spark):
 
 def test_empty_table(no_docs):
     assert ngramlm.score_texts(no_docs, ngramlm.learn_ngrams(no_docs)).collect() == []
+
+
+@pytest.mark.parametrize("vocabulary, floor_share", [(ngramlm.VOCABULARY, 1.0), (3, 1.0), (3, 2.0**-25), (0, 0.02)])
+def test_ngrams_outside_the_filters(spark, vocabulary, floor_share):
+    """N-grams below the floor, or with words outside the vocabulary, have their counts all the same."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice([f"a{k} b{k} c{k}", f"b{k} d{k}", f"e{rng.randrange(30)}"]) for k in rng.choices(range(12), k=8)) for _ in range(60)]
+    texts += ["", None, "a0 b0 c0 unseen"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    train = df.filter("doc_id < 40 OR doc_id = 60")
+    model = ngramlm.learn_ngrams(train, vocabulary, floor_share)
+    counts = [Counter(), Counter(), Counter()]
+    for i in [*range(40), 60]:
+        s = [ngramlm.END, *texts[i].split(), ngramlm.END]
+        for k in range(3):
+            counts[k].update(tuple(s[j : j + k + 1]) for j in range(k == 0, len(s) - k))
+    uni, bi, tri = counts
+    total = sum(uni.values())
+    floor = model.bigrams.floor
+
+    def read(n):
+        return n if 2 <= n < floor else floor * 2 ** (math.floor(math.log2(n / floor)) + 0.5) if n >= floor else 0
+
+    def known(s, k):
+        two = [min(read(bi[tuple(s[j - 1 : j + 1])]), uni[s[j],], uni[s[j - 1],]) if j else 0 for j in (k - 1, k)]
+        context = two[0] if k > 1 else 0
+        three = min(read(tri[tuple(s[k - 2 : k + 1])]), context, two[1]) if k > 1 and two[1] else 0
+        return two[1], context, three
+
+    one, two, three = model.weights
+    both = [ngramlm.score_texts(df, model), ngramlm.learn_and_score(df, F.expr("doc_id < 40 OR doc_id = 60"), vocabulary, floor_share)]
+    for scored in both:
+        scored = {r.doc_id: r.score for r in scored.collect()}
+        for i, text in enumerate(texts):
+            s, wanted = [ngramlm.END, *(text or "").split(), ngramlm.END], 0.0
+            for k in range(1, len(s)):
+                n2, context, n3 = known(s, k)
+                before = uni[s[k - 1],]
+                said = one * (uni[s[k],] + 0.1) / model.base + two * n2 / (before or 1) + three * n3 / (context or 1)
+                wanted += math.log10(said / (one + two * (before > 0) + three * (context > 0)))
+            assert scored[i] == pytest.approx(wanted, rel=1e-9)
+    if floor_share == 1.0:  # all counts are exact: votes are those of every token on its own
+        votes = [0, 0, 0]
+        for i in [*range(40), 60]:
+            s = [ngramlm.END, *texts[i].split(), ngramlm.END]
+            for k in range(1, len(s)):
+                n2, context, n3 = known(s, k)
+                said = [(uni[s[k],] - 1) / (total - 1)]
+                said += [(n - 1) / max(of - 1, 1) if n > 2 else 0 for n, of in ((n2, uni[s[k - 1],]), (n3, context))]
+                votes[2 if said[2] > max(said[:2]) else 1 if said[1] > said[0] else 0] += 1
+        assert model.weights == pytest.approx([max(v, 1) / sum(max(v, 1) for v in votes) for v in votes])
