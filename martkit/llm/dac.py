@@ -136,6 +136,7 @@ class _Encoder:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.letters = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+        self.space = chr(self.letters[32])
         self.plain = tokenizer.normalizer is None and letters_alone(tokenizer, self.letters)
         self.tail = {c: self._ids(c) for c in ".,"}
         self.units = TextEncoder(self._encode_units)
@@ -143,17 +144,27 @@ class _Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _unit(self, unit: str) -> list[int]:
-        word = unit[1:] if unit[:1] == " " else unit
-        if self.plain and word.isalpha():
-            return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]
-        return self._ids(unit)
-
     def _encode_units(self, units: list[str]) -> list[list[int]]:
         # A full stop or comma behind a letter, at a unit's end, is a piece of its own.
-        stems = {u: u[:-1] for u in units if u[-1:] in self.tail and u[-2:-1].isalpha()}
-        known = {u: self._unit(u) for u in dict.fromkeys(stems.get(u, u) for u in units)}
-        return [known[stems[u]] + self.tail[u[-1]] if u in stems else known[u] for u in units]
+        tail, known, out = self.tail, {}, []
+        tokenize, letters, space, plain = self.model.tokenize, self.letters, self.space, self.plain
+        for unit in units:
+            end = tail.get(unit[-1:])
+            stem = unit[:-1] if end and unit[-2:-1].isalpha() else unit
+            ids = known.get(stem)
+            if ids is None:
+                word = stem[1:] if stem[:1] == " " else stem
+                if plain and word.isalpha():
+                    if not stem.isascii():
+                        spelled = stem.encode().decode("latin-1").translate(letters)
+                    else:  # ASCII letters stand for themselves
+                        spelled = space + word if len(word) < len(stem) else word
+                    ids = [t.id for t in tokenize(spelled)]
+                else:
+                    ids = self._ids(stem)
+                known[stem] = ids
+            out.append(ids if stem is unit else ids + end)
+        return out
 
 
 def letters_alone(tokenizer: tokenizers.Tokenizer, letters: dict[int, int]) -> bool:

@@ -8,8 +8,11 @@ touches other white space are cut by a pattern that keeps runs of white space wi
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,18 @@ UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 TOUCHING = f"[{SPACES}] | [{SPACES}]"
 
 
+@contextmanager
+def _no_collection() -> Iterator[None]:
+    """Without searches for cycles, of which lists of ids have none: they'd look at all lists that are held, again and again."""
+    running = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if running:
+            gc.enable()
+
+
 def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The pieces ``flat[offset : offset + length]``, one after the other."""
     ends = np.cumsum(lengths)
@@ -48,6 +63,22 @@ class Pieces:
         self.count += 1
         return self.count - 1
 
+    def extend(self, rows: Sequence[Sequence[int]]) -> range:
+        """Append many rows at once; their numbers."""
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        total, first = int(lengths.sum()), self.count
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while first + len(rows) > len(self.offsets):
+            self.offsets = np.concatenate([self.offsets, np.empty_like(self.offsets)])
+            self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(rows), self.flat.dtype, total)
+        self.offsets[first : first + len(rows)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first : first + len(rows)] = lengths
+        self.used += total
+        self.count += len(rows)
+        return range(first, self.count)
+
     def rows(self, which: np.ndarray) -> np.ndarray:
         return gather(self.flat, self.offsets[which], self.lengths[which])
 
@@ -64,12 +95,13 @@ class TextEncoder:
         self.pieces = Pieces(np.uint32)
 
     def _lookup(self, units: list[str]) -> np.ndarray:
-        slots = self.slots
-        missing = list(dict.fromkeys([u for u in units if u not in slots]))
-        if missing:
-            for unit, ids in zip(missing, self.encode_units(missing), strict=True):
-                slots[unit] = self.pieces.append(ids)
-        return np.fromiter(map(slots.__getitem__, units), np.int64, len(units))
+        found = list(map(self.slots.get, units))
+        if None in found:
+            missing = list(dict.fromkeys([u for u, slot in zip(units, found, strict=True) if slot is None]))
+            with _no_collection():
+                self.slots.update(zip(missing, self.pieces.extend(self.encode_units(missing)), strict=True))
+            found = list(map(self.slots.__getitem__, units))
+        return np.array(found, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column without nulls, and the number of ids of each text."""

@@ -13,7 +13,7 @@ import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from martkit.llm import dac, spbpe
+from martkit.llm import dac, spbpe, tokens
 from martkit.llm.tokens import TextEncoder
 
 RANKS, JSON = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
@@ -116,3 +116,14 @@ def test_documents(spark, odd_docs, no_docs, reference):
     assert sorted(map(repr, got)) == sorted(map(repr, wanted))
     assert spbpe.encode_digests(no_docs, RANKS, public.PATTERN).count() == 0
     assert dac.read_documents(dac.write_token_files(no_docs, JSON, 2)).count() == 0
+
+
+def test_rows_are_appended_at_once():
+    """Many rows give what each row by itself gives, beyond the room there was."""
+    rows = [list(range(i % 7)) for i in range(40_000)]
+    one, many = tokens.Pieces(np.uint32), tokens.Pieces(np.uint32)
+    assert [one.append(r) for r in rows[:5]] == list(many.extend(rows[:5]))
+    assert [one.append(r) for r in rows[5:]] == list(many.extend(rows[5:]))
+    assert list(many.extend([])) == []
+    which = np.array([0, 39_999, 6, 13, 6])
+    assert one.used == many.used and one.rows(which).tolist() == many.rows(which).tolist()
