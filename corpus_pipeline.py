@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests that tell them and their decoding apart."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return spbpe.encode_documents(docs, path, public_tokenizers.PATTERN).drop("decoded")
+    return spbpe.encode_documents(docs, path, public_tokenizers.PATTERN, decoded=False)
 
 
 STAGES = [

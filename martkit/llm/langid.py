@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkit.llm.common import held_out, slices
+from martkit.llm.common import held_out, release_memory, slices
 
 UNKNOWN = "und"
 DICTIONARY_BYTES = 32_000
@@ -128,6 +128,7 @@ def identify(docs: DataFrame, model: LanguageModel, prefix: str = "") -> DataFra
                     pa.array([lang != UNKNOWN and margin >= model.margin for lang, margin in found], pa.bool_()),
                 ]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *added], names=schema.names)
+            release_memory()
 
     return docs.mapInArrow(run, schema)
 

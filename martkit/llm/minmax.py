@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import slices
+from martkit.llm.common import release_memory, slices
 from martkit.sources.layers import stored
 
 PERMUTATIONS = 80
@@ -153,7 +153,7 @@ def sketch(docs: DataFrame, size: int, permutations: int = PERMUTATIONS, values:
                     pa.array([b for _, b in found], pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", "n_shingles", "set_key", "bands", "nibbles"])
-            pa.default_memory_pool().release_unused()
+            release_memory()
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<bigint>, nibbles array<bigint>")
@@ -207,7 +207,7 @@ def compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, perc
                     [pa.array([p for p, _ in linked], pa.int64()), pa.array([n for _, n in linked], pa.int64())],
                     names=["pivot", "node"],
                 )
-            pa.default_memory_pool().release_unused()
+            release_memory()
 
     return dealt.mapInArrow(run, "pivot long, node long")
 

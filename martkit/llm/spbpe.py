@@ -20,12 +20,14 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from martkit.llm.common import slices
+from martkit.llm.common import release_memory, slices
 from martkit.llm.tokens import Pieces, TextEncoder, gather
 
 #: Letters that stand for bytes: one block of code points, none of them white space.
 FIRST_LETTER = 0x100
 LETTERS = {b: FIRST_LETTER + b for b in range(256)}
+#: Text that is worked on at a time; its bytes and decimal ids are gathered through indices of some eighty times its size.
+SLICE_BYTES = 1_000_000
 #: Fixed values of the sentencepiece model format: piece types, model type, field numbers.
 NORMAL, UNKNOWN, BPE = 1, 2, 2
 
@@ -117,41 +119,48 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids (array), ids_sha256, decoded (bytes), decoded_sha256 of every whole text.
+def encode_documents(docs: DataFrame, path: str, pattern: str, decoded: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (array), decoded (bytes) of every whole text.
 
     Null text counts as empty: no ids, the hashes of nothing. Row by row, no shuffle; repeated rows and null ids
-    pass through. A column that the caller doesn't select isn't shipped back from Python when it uses
-    ``encode_digests``.
+    pass through. With decoded False the bytes are decoded and hashed but not shipped back from Python; ``encode_digests``
+    leaves out the ids as well.
     """
-    return _encode(docs, path, pattern, True)
+    return _encode(docs, path, pattern, ("ids", "decoded") if decoded else ("ids",))
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """As encode_documents, without the ids and bytes themselves."""
-    return _encode(docs, path, pattern, False)
-
-
-def _encode(docs: DataFrame, path: str, pattern: str, whole: bool) -> DataFrame:
+    return _encode(docs, path, pattern, ())
+
+
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, whole: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Batches of doc_id and text to batches of ids and digests; whole: which of ids and decoded come along."""
+    coder = codec(path, pattern)
+    for batch in batches:
+        for rows in slices(batch, "text", SLICE_BYTES):
+            ids, counts = coder.encode(rows.column("text").fill_null(""))
+            decimals = [hashlib.sha256(x[:-1]).hexdigest() for x in coder.decimal_ids(ids, counts)]
+            decoded = list(coder.decode(ids, counts))
+            out = {
+                "doc_id": rows.column("doc_id"),
+                "n_tokens": pa.array(counts, pa.int64()),
+                "ids_sha256": pa.array(decimals, pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
+            }
+            if "ids" in whole:
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                out["ids"] = pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))
+            if "decoded" in whole:
+                out["decoded"] = pa.array([x.tobytes() for x in decoded], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
+        release_memory()
+
+
+def _encode(docs: DataFrame, path: str, pattern: str, whole: tuple[str, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path, pattern)
-        for batch in batches:
-            for rows in slices(batch, "text", 4_000_000):
-                ids, counts = coder.encode(rows.column("text").fill_null(""))
-                decimals = [hashlib.sha256(x[:-1]).hexdigest() for x in coder.decimal_ids(ids, counts)]
-                decoded = list(coder.decode(ids, counts))
-                out = {
-                    "doc_id": rows.column("doc_id"),
-                    "n_tokens": pa.array(counts, pa.int64()),
-                    "ids_sha256": pa.array(decimals, pa.string()),
-                    "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
-                }
-                if whole:
-                    ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-                    out["ids"] = pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))
-                    out["decoded"] = pa.array([x.tobytes() for x in decoded], pa.binary())
-                yield pa.RecordBatch.from_pydict(out)
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    narrow = docs.select(docs["doc_id"].cast("bigint"), "text")
-    return narrow.mapInArrow(run, schema + (", ids array<int>, decoded binary" if whole else ""))
+        return encode_batches(batches, path, pattern, whole)
+
+    types = {"ids": "array<int>", "decoded": "binary"}
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {c} {types[c]}" for c in whole)
+    return docs.select(docs["doc_id"].cast("bigint"), "text").mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -127,3 +128,17 @@ def test_rows_are_appended_at_once():
     assert list(many.extend([])) == []
     which = np.array([0, 39_999, 6, 13, 6])
     assert one.used == many.used and one.rows(which).tolist() == many.rows(which).tolist()
+
+
+def test_a_batch_is_encoded_in_bounded_memory():
+    """The indices by which ids and bytes are gathered take many times the text; they are made for little text at a time."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 5000, 60_000))) for _ in range(12)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(12)), "text": texts})
+    for _ in spbpe.encode_batches(iter([batch.slice(0, 1)]), RANKS, public.PATTERN, ("ids",)):
+        pass
+    tracemalloc.start()
+    counts = [n for out in spbpe.encode_batches(iter([batch]), RANKS, public.PATTERN, ("ids",)) for n in out.column("n_tokens").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(counts) == 12 and peak < 20 * batch.nbytes  # 11 times; 42 times for slices of 4 MB
