@@ -8,8 +8,11 @@ Work is kept linear where groups are large. Documents with equal sets are one no
 compared with one pivot, the member that meets most others over all its buckets; what is linked becomes one
 component, and only pairs of different components are left to compare. A pivot's pairs are then all done, so it leaves
 the bucket and another one's turn comes. What is left, mostly texts with a common passage that are no copies, is bounded
-by the shingles they can have in common at all, and pairs within the bound are compared. So no pair of a bucket is skipped that could join two components, and links inside a component
-don't change the result. With the default bands a pair at the threshold shares no bucket with chance 3e-6.
+by the shingles they can have in common at all. Pairs within the bound are compared: in small buckets pair by pair, while
+the sets of large ones are dealt in blocks, and two blocks that meet in a bucket are multiplied in one task, so that a pair
+of a large group is a number in a matrix and never a row. So no pair of a bucket is skipped that could join two components,
+and links inside a component don't change the result. With the default bands a pair at the threshold shares no bucket with
+chance 3e-6.
 
 Whatever is computed from the texts once is written to the shared folder. Texts of candidates are read again
 to compare full sets; a pivot's text goes to blocks of members, never all members to one task.
@@ -36,8 +39,14 @@ BAND_VALUES = 5
 PERCENT = 80
 #: Members that are compared with one copy of their pivot's text.
 BLOCK_MEMBERS = 128
-#: After so many pivots for each bucket what remains is compared pair by pair.
+#: After so many pivots for each bucket what remains is compared pair by pair or block by block.
 STAR_ROUNDS = 2
+#: Buckets with more members than this after that are compared block by block.
+MOST_PAIRED = 64
+#: Sets, and shingles, that a block of them has on average at most; the shingles that two blocks have in common are
+#: multiplied so many at a time.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 200_000
+COLUMNS = 2048
 #: Four bits of each signature value estimate a pair's similarity before texts are fetched. A pair is left out if its
 #: estimate is so many standard deviations below the threshold (chance 5e-6 for a pair at the threshold); pairs with a
 #: set below LEAST_ESTIMATED, whose estimates spread more, are all compared.
@@ -262,9 +271,9 @@ def _linked_nodes(docs: DataFrame, nodes: DataFrame, size: int, percent: int) ->
             members = stored(named.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
         if members.isEmpty():
             return labels
-        last = rounds >= STAR_ROUNDS
+        last, met = rounds >= STAR_ROUNDS, None
         if last:
-            pairs = _leftover_pairs(docs, members, nodes, size, percent)
+            pairs, met = _leftover(docs, members, nodes, size, percent)
         else:
             # First the node that meets most others, which is the centre of a group if there is one; then any.
             turn = F.col("mass") if rounds == 0 else F.xxhash64(F.lit(rounds), "bucket", "node")
@@ -277,7 +286,8 @@ def _linked_nodes(docs: DataFrame, nodes: DataFrame, size: int, percent: int) ->
             pairs, members = rest.filter(F.col("c") != F.col("comp")), rest.drop("pivot", "other", "c", "bits")
             pairs = pairs.filter(_candidate(percent))
         pairs = stored(pairs.select("pivot", "node").distinct(), "pairs")
-        found = stored(compare(docs, nodes, pairs, size, percent), "found")
+        found = compare(docs, nodes, pairs, size, percent)
+        found = stored(found if met is None else found.unionByName(met), "found")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         if last:
@@ -285,12 +295,12 @@ def _linked_nodes(docs: DataFrame, nodes: DataFrame, size: int, percent: int) ->
         rounds += 1
 
 
-def _leftover_pairs(docs: DataFrame, members: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(pivot, node): the pairs of different components among what is left that may be similar, each once.
+def _leftover(docs: DataFrame, members: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pivot, node) twice: the pairs of small buckets that are yet to be compared, each once, and the links of large ones.
 
-    Members of a bucket may all have a passage in common and yet be no copies; there are too many pairs of those to
-    compare all texts. So it is counted how many shingles of each node any other node that is left has: no intersection
-    can be larger. Nodes, and pairs, for which this is too little are done.
+    Only pairs of different components count. Members of a bucket may all have a passage in common and yet be no copies; there
+    are too many pairs of those to compare all texts. So it is counted how many shingles of each node any other node that is
+    left has: no intersection can be larger. Nodes, and pairs, for which this is too little are done.
     """
     left = members.select("node", "comp", "mass", "nibbles", "n").dropDuplicates(["node"])
     wanted = stored(left.join(nodes.select("node", F.col("doc_id").alias("id"), "text_hash"), "node").select("node", "id", "text_hash"), "left")
@@ -302,15 +312,22 @@ def _leftover_pairs(docs: DataFrame, members: DataFrame, nodes: DataFrame, size:
                 yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     sets = _texts_of(docs, wanted).select("node", "text").mapInArrow(run, "node long, shingles array<bigint>")
-    rows = stored(sets.select("node", F.explode("shingles").alias("shingle")).distinct(), "shingles")
+    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    rows = sets.select("node", F.explode("shingles").alias("shingle"))
     others = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     shared = rows.join(others, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
     known = left.join(shared, "node").filter(100 * F.col("shared") >= percent * F.col("n")).join(nodes.select("node", "bands"), "node")
     b = members.select("bucket", "node").join(known, "node")
     # Of each bucket's nodes those in its largest component needn't meet each other.
     main = b.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket")
-    main = main.agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    main = main.agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m")).filter("parts > 1")
     b = stored(b.join(main.drop("parts"), "bucket"), "meetings")
+    few, many = b.filter(F.col("m") <= MOST_PAIRED).drop("m"), b.filter(F.col("m") > MOST_PAIRED)
+    return _small_buckets(few, percent), _large_buckets(many, sets, percent)
+
+
+def _small_buckets(b: DataFrame, percent: int) -> DataFrame:
+    """(pivot, node): the pairs of different components that may be similar."""
     a = b.select(
         "bucket", F.col("node").alias("pivot"), F.col("n").alias("other"), F.col("comp").alias("c"), (F.col("comp") == F.col("main")).alias("in_main"),
         F.col("shared").alias("s"), F.col("bands").alias("of"), F.col("nibbles").alias("bits"),
@@ -321,7 +338,7 @@ def _leftover_pairs(docs: DataFrame, members: DataFrame, nodes: DataFrame, size:
     enough = 100 * most >= percent * (F.col("n") + F.col("other") - most)
     smaller = (F.col("other") < F.col("n")) | ((F.col("other") == F.col("n")) & (F.col("pivot") < F.col("node")))
     # A pair is taken in the first bucket both were put in. If one of them has left it, it was pivot there, and the pair
-    # has been compared; if a whole bucket is left out, all in it are one component.
+    # has been compared; if a whole bucket is left out, all in it are one component; a large one is compared by itself.
     once = F.get(F.array_intersect("of", "bands"), F.lit(0)) == F.col("bucket")
     wanted = (F.col("c") != F.col("comp")) & smaller & enough & _candidate(percent) & once
     outside = a.filter("NOT in_main").join(b, "bucket").filter(wanted)
@@ -329,6 +346,83 @@ def _leftover_pairs(docs: DataFrame, members: DataFrame, nodes: DataFrame, size:
     return outside.select("pivot", "node").unionByName(inside.select("pivot", "node"))
 
 
+def _large_buckets(b: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, node): links between different components, enough of them to join what any link joins.
+
+    A node belongs to its largest bucket. What belongs to one, its largest component by itself, is cut into blocks; two blocks
+    with members in a common bucket meet in one task, in which all full sets of one are compared with those of the other.
+    """
+    own = b.groupBy("node", "comp", "n").agg(F.max_by(F.struct("bucket", "main"), F.struct("m", "bucket")).alias("home"))
+    own = own.select("node", "comp", "n", F.col("home.bucket").alias("home"), F.when(F.col("comp") == F.col("home.main"), F.col("comp")).alias("main"))
+    group = F.xxhash64("home", F.coalesce("main", F.lit(-1)))
+    own = own.withColumn("part", group)
+    needed = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    cuts = own.groupBy("part").agg(needed.alias("blocks"))
+    number = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = stored(own.join(cuts, "part").select("node", "comp", "main", F.xxhash64("part", number).alias("block")), "blocks")
+    x = b.select("bucket", "node").join(dealt, "node").select("bucket", "block", "main").distinct()
+    y = x.select("bucket", F.col("block").alias("other"), F.col("main").alias("other_main"))
+    alike = F.coalesce(F.col("main") == F.col("other_main"), F.lit(False))
+    tiles = x.join(y, "bucket").filter((F.col("block") <= F.col("other")) & ~alike).select("block", "other").distinct()
+    tiles = stored(tiles, "tiles")
+    sides = tiles.select("block", "other", F.lit(True).alias("first"), F.col("block").alias("of"))
+    sides = sides.unionByName(tiles.filter("block <> other").select("block", "other", F.lit(False).alias("first"), F.col("other").alias("of")))
+    placed = stored(dealt.select(F.col("block").alias("of"), "node", "comp").join(sets, "node"), "placed")
+    met = sides.join(placed, "of").select("block", "other", "first", "node", "comp", "shingles")
+
+    def run(rows: pa.Table) -> pa.Table:
+        a = rows.filter(rows.column("first")).sort_by("node").combine_chunks()
+        b = rows.filter(pc.invert(rows.column("first"))).sort_by("node").combine_chunks()
+        links = _links_between(a, b if len(b) else a, percent)
+        return pa.table({"pivot": pa.array([p for p, _ in links], pa.int64()), "node": pa.array([n for _, n in links], pa.int64())})
+
+    return met.groupBy("block", "other").applyInArrow(run, "pivot long, node long")
+
+
+def _shared_counts(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many shingles each set of a has in common with each of b, and the sizes of both."""
+    sizes = [pc.list_value_length(t.column("shingles")).to_numpy().astype(np.int64) for t in (a, b)]
+    flat = [pc.list_flatten(t.column("shingles")).to_numpy() for t in (a, b)]
+    common = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    entries = []
+    for values, n in zip(flat, sizes, strict=True):
+        at = np.minimum(np.searchsorted(common, values), max(0, len(common) - 1))
+        hit = np.flatnonzero(common[at] == values) if len(common) else np.empty(0, np.int64)
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        entries.append((at[hit], np.repeat(np.arange(len(n)), n)[hit], len(n)))
+    shared = np.zeros((len(a), len(b)), np.int64)
+    for start in range(0, len(common), COLUMNS):
+        both = []
+        for column, row, n in entries:
+            lo, hi = np.searchsorted(column, [start, start + COLUMNS])
+            has = np.zeros((n, min(COLUMNS, len(common) - start)), np.float32)
+            has[row[lo:hi], column[lo:hi] - start] = 1
+            both.append(has)
+        shared += (both[0] @ both[1].T).astype(np.int64)
+    return shared, *sizes
+
+
+def _links_between(a: pa.Table, b: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links of a (node, comp, shingles) with b that join components, each only if those before it don't."""
+    shared, n, other = _shared_counts(a, b)
+    comps = [t.column("comp").to_numpy() for t in (a, b)]
+    similar = 100 * shared >= percent * (n[:, None] + other[None, :] - shared)
+    similar &= comps[0][:, None] != comps[1][None, :]
+    nodes, parent, links = [t.column("node").to_numpy() for t in (a, b)], {}, []
+
+    def top(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    for i, j in zip(*(x.tolist() for x in np.nonzero(similar)), strict=True):
+        x, y = top(int(comps[0][i])), top(int(comps[1][j]))
+        if x != y:
+            parent[x] = y
+            links.append((int(nodes[0][i]), int(nodes[1][j])))
+    return links
+
+
 def near_groups(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, n_shingles, component_id, keep_hash.
 

@@ -70,6 +70,57 @@ def test_more_rounds_give_the_same(spark, monkeypatch, rounds):
     check(docs, 2)
 
 
+@pytest.mark.parametrize("sets, paired", [(512, 64), (40, 2)])
+def test_a_group_that_no_link_joins(spark, monkeypatch, sets, paired):
+    """Texts a little less similar than the threshold, which only full sets can tell; three that are linked among them. Pairs of
+    the group don't become rows."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = [edited(base, 0.045, rng) for _ in range(300)]
+    texts += [edited(texts[7], 0.02, rng), edited(texts[8], 0.02, rng), edited(texts[8], 0.02, rng)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(6)
+    pairs, stored = [], minmax.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        pairs.extend([out.count()] if name == "pairs" else [])
+        return out
+
+    monkeypatch.setattr(minmax, "stored", counted)
+    monkeypatch.setattr(minmax, "BLOCK_SETS", sets, raising=False)
+    monkeypatch.setattr(minmax, "BLOCK_SHINGLES", 300 * sets, raising=False)
+    monkeypatch.setattr(minmax, "MOST_PAIRED", paired, raising=False)
+    monkeypatch.setattr(minmax, "COLUMNS", 100, raising=False)
+    found = minmax.near_groups(docs, 2).groupBy("component_id").agg(F.collect_list("doc_id").alias("ids")).filter("size(ids) > 1")
+    named, (component, _) = found.collect(), near_components(docs.collect(), 2)
+    wanted = defaultdict(list)
+    for r, c in zip(docs.collect(), component, strict=True):
+        wanted[c].append(r.doc_id)
+    assert sorted(sorted(r.ids) for r in named) == sorted(sorted(m) for m in wanted.values() if len(m) > 1)
+    assert {7, 300} <= {i for r in named for i in r.ids}
+    assert max(pairs) < 15_000  # of 45,753
+
+
+def test_links_between_blocks():
+    """Exact counts, only links between components, and no more of them than join all."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**62, 400)
+
+    def block(n, start):
+        sets = [np.unique(np.concatenate([rng.choice(base, 370, False), rng.integers(0, 2**62, 12)])) for _ in range(n)]
+        return pa.table({"node": range(start, start + n), "comp": [start + i // 2 for i in range(n)], "shingles": sets})
+
+    a, b = block(9, 0), block(7, 100)
+    x, y = ([set(s) for s in t.column("shingles").to_pylist()] for t in (a, b))
+    shared, n, other = minmax._shared_counts(a, b)
+    assert shared.tolist() == [[len(s & t) for t in y] for s in x]
+    assert (n.tolist(), other.tolist()) == ([len(s) for s in x], [len(t) for t in y])
+    assert len(minmax._links_between(a, b, 80)) == 5 + 4 - 1 and minmax._links_between(a, b, 99) == []
+    assert all(p // 2 != q // 2 for p, q in minmax._links_between(a, a, 80))
+    empty = a.slice(0, 0)
+    assert minmax._shared_counts(empty, b)[0].shape == (0, 7)
+
+
 def test_corpus(spark, sf_dir):
     check(spark.read.parquet(f"{sf_dir}/documents.parquet"), 2)
 
