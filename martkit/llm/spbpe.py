@@ -26,8 +26,8 @@ from martkit.llm.tokens import Pieces, TextEncoder, gather
 #: Letters that stand for bytes: one block of code points, none of them white space.
 FIRST_LETTER = 0x100
 LETTERS = {b: FIRST_LETTER + b for b in range(256)}
-#: Text that is worked on at a time; its bytes and decimal ids are gathered through indices of some eighty times its size.
-SLICE_BYTES = 1_000_000
+#: Text that is worked on at a time; its bytes and decimal ids are gathered through indices of some sixty times its size.
+SLICE_BYTES = 250_000
 #: Fixed values of the sentencepiece model format: piece types, model type, field numbers.
 NORMAL, UNKNOWN, BPE = 1, 2, 2
 
@@ -115,7 +115,7 @@ class Codec:
 
 @lru_cache(2)
 def codec(path: str, pattern: str) -> Codec:
-    """One per Python worker: building it takes a while, and it remembers pieces it has encoded."""
+    """One per Python worker: building it takes a while, and within a task it remembers pieces it has encoded."""
     return Codec(path, pattern)
 
 
@@ -155,6 +155,9 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, w
                 out["decoded"] = pa.array([x.tobytes() for x in decoded], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
         release_memory()
+    # A worker that waits for its next task, of this job or another, holds no pieces.
+    coder.units.forget()
+    release_memory()
 
 
 def _encode(docs: DataFrame, path: str, pattern: str, whole: tuple[str, ...]) -> DataFrame:

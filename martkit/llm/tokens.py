@@ -40,7 +40,9 @@ def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.nda
     """The pieces ``flat[offset : offset + length]``, one after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(offsets - (ends - lengths), lengths) + np.arange(total)]
+    places = np.repeat(offsets - (ends - lengths), lengths)
+    places += np.arange(total)
+    return flat[places]
 
 
 class Pieces:
@@ -88,9 +90,10 @@ class TextEncoder:
 
     def __init__(self, encode_units: Callable[[list[str]], list[Sequence[int]]], most: int = 1_000_000):
         self.encode_units, self.most = encode_units, most
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
+        """Drop what is remembered."""
         self.slots: dict[str, int] = {}
         self.pieces = Pieces(np.uint32)
 
@@ -106,7 +109,7 @@ class TextEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column without nulls, and the number of ids of each text."""
         if len(self.slots) > self.most or self.pieces.used > 16 * self.most:
-            self._reset()
+            self.forget()
         uneven = pc.match_substring_regex(texts, TOUCHING).to_numpy(zero_copy_only=False)
         parts = pc.split_pattern(pc.if_else(pa.array(~uneven), texts, ""), " ")
         ends = parts.offsets.to_numpy()

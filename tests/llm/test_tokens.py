@@ -142,3 +142,15 @@ def test_a_batch_is_encoded_in_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(counts) == 12 and peak < 20 * batch.nbytes  # 11 times; 42 times for slices of 4 MB
+
+
+def test_a_worker_holds_little():
+    """Neither while it encodes a large batch nor, of remembered pieces, when its task has ended."""
+    held = spbpe.codec(RANKS, public.PATTERN).units
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": ["some words and 12 more, of the usual kind " * 250] * 300})
+    tracemalloc.start()
+    rows = sum(len(out) for out in spbpe.encode_batches(iter([batch]), RANKS, public.PATTERN, ("ids",)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 300 and peak < 15e6
+    assert not held.slots and not held.pieces.count
