@@ -59,6 +59,8 @@ KINDS = 6
 CODES = ("one", "two", "three")
 #: Which of the codes a kind answers.
 ORDER = {WORDS: 0, PAIRS: 1, OTHER_PAIRS: 1, TRIPLES: 2, OTHER_TRIPLES: 2}
+#: Stands where a level would, for an n-gram whose count is asked for.
+ASKED_FOR = 255
 END = ""  # stands for the end token in tables of words
 
 
@@ -206,12 +208,13 @@ class Vocabulary:
         ids[places], codes[places] = found[words.codes] if len(found) else 0, words.codes
         return ids, sizes, words.distinct, codes
 
-    def contexts(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The token before each one (the end token at a text's start) and the one before that (0 at the start)."""
-        before = np.concatenate([[self.end], ids[:-1]])
-        earlier = np.concatenate([[0], before[:-1]])
-        earlier[np.cumsum(sizes) - sizes] = 0
-        return before, earlier
+
+def contexts(end: int, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each one (the end token at a text's start) and the one before that (0 at the start)."""
+    before = np.concatenate([[end], ids[:-1]])
+    earlier = np.concatenate([[0], before[:-1]])
+    earlier[np.cumsum(sizes) - sizes] = 0
+    return before, earlier
 
 
 def bigram_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -243,8 +246,9 @@ class Slice(NamedTuple):
     ids: np.ndarray
     names: np.ndarray
 
-    def ngrams(self, vocabulary: Vocabulary) -> Ngrams:
-        before, earlier = vocabulary.contexts(self.ids, self.sizes)
+    def ngrams(self, end_number: int) -> Ngrams:
+        """By the vocabulary's number of the end token."""
+        before, earlier = contexts(end_number, self.ids, self.sizes)
         first = np.zeros(len(self.ids), bool)
         first[np.cumsum(self.sizes) - self.sizes] = True
         pair, triple = bigram_keys(before, self.ids), trigram_keys(earlier, before, self.ids)
@@ -261,6 +265,20 @@ class Slice(NamedTuple):
             triple[other_triple] = mixed(mixed(mixed(one_more[other_triple]) + last[other_triple]) + word[other_triple])
         return Ngrams(pair, triple, other_pair, other_triple, first)
 
+    def asked(self, found: Ngrams, levels: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(kind, keys, places) of all counts to ask for: those of words without a number, and of n-grams marked in levels."""
+        other = self.ids == 0
+        if other.any():
+            yield WORDS, self.names, np.flatnonzero(other)
+        two, three = levels == ASKED_FOR
+        for kind, keys, which in (
+            (PAIRS, found.pair, two & ~found.other_pair), (OTHER_PAIRS, found.pair, two & found.other_pair),
+            (TRIPLES, found.triple, three & ~found.other_triple), (OTHER_TRIPLES, found.triple, three & found.other_triple),
+        ):
+            places = np.flatnonzero(which)
+            if len(places):
+                yield kind, keys[places], places
+
 
 def _packed(values: np.ndarray) -> bytes:
     """Numbers as compressed bytes: all lowest bytes, then all second ones, and so on."""
@@ -353,13 +371,19 @@ def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
-def _dealt(kind: int, shards: int, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
-    """(bucket, keys, values): keys cut into ranges, a row for each range that has any."""
+def _ranges(kind: int, shards: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, order, cuts): keys in this order are cut into ranges; the bucket of each range that has any, and its start."""
     shard = (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.uint16 if shards < 1 << 16 else np.int64)
     order = np.argsort(shard, kind="stable")
     shard = shard[order].astype(np.int64)
     cuts = np.flatnonzero(np.diff(shard, prepend=-1))
-    return kind * shards + shard[cuts], _blobs(keys[order], cuts), _blobs(values[order], cuts)
+    return kind * shards + shard[cuts], order, cuts
+
+
+def _dealt(kind: int, shards: int, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """(bucket, keys, values), a row for each range that has any keys."""
+    bucket, order, cuts = _ranges(kind, shards, keys)
+    return bucket, _blobs(keys[order], cuts), _blobs(values[order], cuts)
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -392,7 +416,7 @@ def _counted(texts: DataFrame, shipped, gates, total: int, shards: int) -> DataF
                 held.setdefault(kind, []).append(keys)
 
         for rows in _read(batches):
-            found = rows.ngrams(vocabulary)
+            found = rows.ngrams(vocabulary.end)
             mine = np.repeat(rows.learned, rows.sizes)
             if gates is None:
                 hold(WORDS, rows.names[mine[rows.ids == 0]])
@@ -425,7 +449,7 @@ def _counted(texts: DataFrame, shipped, gates, total: int, shards: int) -> DataF
 
     schema = "bucket long, keys binary, n binary"
     parts = _parts(texts, total)
-    return stored(texts.mapInArrow(run, schema).repartition(parts, "bucket").mapInArrow(add, schema), "ngrams")
+    return stored(texts.mapInArrow(run, schema).repartition(parts, "bucket").mapInArrow(add, schema), "ngrams", keep_shuffles=False)
 
 
 def _parts(docs: DataFrame, total: int) -> int:
@@ -484,7 +508,7 @@ def _votes(counts: DataFrame, shipped, bigrams, total: int, floor: int) -> np.nd
 
 def _learned(docs: DataFrame, learned: Column, vocabulary: int, floor_share: float) -> tuple[NgramModel, DataFrame]:
     """The model, as yet without the votes of n-grams that aren't in the filters, and the tokenized texts of all rows."""
-    counts = stored(token_counts(docs.filter(learned)), "tokens")
+    counts = stored(token_counts(docs.filter(learned)), "tokens", keep_shuffles=False)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot_floor = frequent_floor(counts, "n", vocabulary)
     hot = counts.filter((F.col("n") >= hot_floor) | (F.col("word") == END)).orderBy(F.desc("n"), "word").toPandas()
@@ -540,53 +564,52 @@ def learn_and_score(docs: DataFrame, learned: Column, vocabulary: int = VOCABULA
 # --- looking up -------------------------------------------------------------------------------------
 
 
-ASKED = "bucket long, slice long, kind int, keys binary, vals binary, docs binary"
-FOUND = [f"{code}_{what}" for code in CODES for what in ("at", "n")]
+ASKED = "bucket long, slice long, kind int, keys binary, vals binary, docs binary, names binary"
 
 
 def look_up(texts: DataFrame, model: NgramModel) -> DataFrame:
-    """Tokenized texts with what is known of the n-grams that end in each token: the levels that the filters have, and the
-    places and exact counts of other ones.
+    """Tokenized texts with what is known of the n-grams that end in each token, see ``_known``: the levels that the filters
+    have, and the exact counts of other ones.
 
     The filters answer first. What they lack is asked for: keys go to the tasks that hold the counts of their buckets, counts
-    that are found go back to their slices.
+    go back to their slices, in the order of the keys. Places in the texts don't travel: a slice's keys and their order follow
+    from its numbers, and are worked out again when the counts come back.
     """
     sent = model._replace(token_counts=None, rest=None)
     shipped, shards, asks = texts.sparkSession.sparkContext.broadcast(sent), model.shards, model.rest is not None
+    end_number = model.vocabulary.end
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
 
-        def levels_of(keys: np.ndarray, which: np.ndarray, stored: LogFrequencyFilter, more: LogFrequencyFilter) -> tuple[np.ndarray, np.ndarray]:
-            """The levels of some keys, and which of them may have a count below the floor."""
-            levels, below = np.zeros(len(keys), np.uint8), np.zeros(len(keys), bool)
+        def levels_of(keys: np.ndarray, which: np.ndarray, stored: LogFrequencyFilter, more: LogFrequencyFilter) -> np.ndarray:
+            """The levels of some keys, or the mark of those that may have a count below the floor."""
+            levels = np.zeros(len(keys), np.uint8)
             levels[which] = stored.levels(keys[which])
             absent = np.flatnonzero(which & (levels == 0))
-            below[absent] = more.levels(keys[absent]) > 0
-            return levels, below
+            levels[absent[more.levels(keys[absent]) > 0]] = ASKED_FOR
+            return levels
 
         for rows in _read(batches):
-            found = rows.ngrams(known.vocabulary)
-            two, ask_two = levels_of(found.pair, np.ones(len(rows.ids), bool), known.bigrams, known.more_bigrams)
-            pair = ask_two | (two > 0)
+            found = rows.ngrams(end_number)
+            two = levels_of(found.pair, np.ones(len(rows.ids), bool), known.bigrams, known.more_bigrams)
+            pair = two > 0
             deep = pair & np.concatenate([[False], pair[:-1]]) & ~found.first
-            three, ask_three = levels_of(found.triple, deep, known.trigrams, known.more_trigrams)
+            levels = np.stack([two, levels_of(found.triple, deep, known.trigrams, known.more_trigrams)])
             slot = rows.number * 0x9E3779B1 % (shards * KINDS)
-            whole = {"bucket": slot, "slice": rows.number, "kind": 0, "keys": _packed(rows.ids.astype(np.int32)), "vals": _packed(np.concatenate([two, three]))}
-            yield pa.RecordBatch.from_pylist([whole | {"docs": rows.docs}], schema=asked_schema)
+            whole = {
+                "bucket": slot, "slice": rows.number, "kind": 0, "keys": _packed(rows.ids.astype(np.int32)), "vals": _packed(levels.reshape(-1)),
+                "docs": rows.docs, "names": rows.names.tobytes() if asks else b"",
+            }
+            yield pa.RecordBatch.from_pylist([whole], schema=asked_schema)
             if not asks:
                 continue
-            every = np.zeros(len(rows.ids), np.uint64)
-            every[rows.ids == 0] = rows.names
-            for kind, keys, which in (
-                (WORDS, every, rows.ids == 0), (PAIRS, found.pair, ask_two & ~found.other_pair), (OTHER_PAIRS, found.pair, ask_two & found.other_pair),
-                (TRIPLES, found.triple, ask_three & ~found.other_triple), (OTHER_TRIPLES, found.triple, ask_three & found.other_triple),
-            ):
-                places = np.flatnonzero(which).astype(np.int32)
-                bucket, keys, places = _dealt(kind, shards, keys[places], places)
+            for kind, keys, _ in rows.asked(found, levels):
+                bucket, order, cuts = _ranges(kind, shards, keys)
                 n = len(bucket)
                 arrays = [
-                    pa.array(bucket), pa.array([rows.number] * n, pa.int64()), pa.array([kind] * n, pa.int32()), keys, places, pa.nulls(n, pa.binary()),
+                    pa.array(bucket), pa.array([rows.number] * n, pa.int64()), pa.array([kind] * n, pa.int32()), _blobs(keys[order], cuts),
+                    *[pa.nulls(n, pa.binary())] * 3,
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=asked_schema)
 
@@ -603,42 +626,57 @@ def look_up(texts: DataFrame, model: NgramModel) -> DataFrame:
                 elif bucket == at and len(keys):
                     asked = np.frombuffer(rows.column("keys")[i].as_buffer(), np.uint64)
                     place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                    hit = keys[place] == asked
-                    places = np.frombuffer(rows.column("vals")[i].as_buffer(), np.int32)[hit]
-                    out.append({"bucket": bucket, "slice": number, "kind": kind, "keys": places.tobytes(), "vals": n[place[hit]].astype(np.int32).tobytes(), "docs": None})
+                    counts = np.where(keys[place] == asked, n[place], 0).astype(np.int32)
+                    if counts.any():
+                        out.append({"bucket": bucket, "slice": number, "kind": kind, "vals": _packed(counts)})
             yield pa.RecordBatch.from_pylist(out, schema=asked_schema)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, found = None, None
+        whole, answers = None, {}
 
         def joined() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([whole | {c: b"".join(x) for c, x in found.items()}], schema=found_schema)
+            sizes = _docs(pa.py_buffer(whole["docs"])).column("size").to_numpy()
+            total = sizes.sum()
+            ids, levels = _unpacked(pa.py_buffer(whole["keys"]), total, np.int32), _unpacked(pa.py_buffer(whole["vals"]), 2 * total, np.uint8).reshape(2, total)
+            codes = [ids.copy(), *np.where(levels == ASKED_FOR, 0, -levels.astype(np.int32))]
+            if answers:
+                rows = Slice(whole["slice"], whole["docs"], sizes, None, ids.astype(np.int64), np.frombuffer(whole["names"], np.uint64))
+                for kind, keys, places in rows.asked(rows.ngrams(end_number), levels):
+                    bucket, order, cuts = _ranges(kind, shards, keys)
+                    n = np.zeros(len(keys), np.int32)
+                    for of, start, end in zip(bucket.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=True):
+                        if of in answers:
+                            n[order[start:end]] = _unpacked(pa.py_buffer(answers[of]), end - start, np.int32)
+                    codes[ORDER[kind]][places] = -n if kind == WORDS else n
+            packed = {name: _packed(np.ascontiguousarray(code, np.int32)) for name, code in zip(CODES, codes, strict=True)}
+            return pa.RecordBatch.from_pylist([{"docs": whole["docs"]} | packed], schema=found_schema)
 
         for rows in batches:
             for i in range(len(rows)):
-                kind, keys, vals = (rows.column(c)[i].as_py() for c in ("kind", "keys", "vals"))
-                if kind == 0:
+                if rows.column("kind")[i].as_py() == 0:
                     if whole is not None:
                         yield joined()
-                    whole, found = {"docs": rows.column("docs")[i].as_py(), "ids": keys, "levels": vals}, {c: [] for c in FOUND}
+                    whole, answers = rows.slice(i, 1).to_pylist()[0], {}
                 else:
-                    found[f"{CODES[ORDER[kind]]}_at"].append(keys)
-                    found[f"{CODES[ORDER[kind]]}_n"].append(vals)
+                    answers[rows.column("bucket")[i].as_py()] = rows.column("vals")[i].as_py()
         if whole is not None:
             yield joined()
 
-    asked_schema = pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("kind", pa.int32())] + [(c, pa.binary()) for c in ("keys", "vals", "docs")])
-    found_schema = pa.schema([(c, pa.binary()) for c in ("docs", "ids", "levels", *FOUND)])
+    asked_schema = pa.schema(
+        [("bucket", pa.int64()), ("slice", pa.int64()), ("kind", pa.int32())] + [(c, pa.binary()) for c in ("keys", "vals", "docs", "names")]
+    )
+    found_schema = pa.schema([(c, pa.binary()) for c in ("docs", *CODES)])
     found = texts.mapInArrow(ask, ASKED)
     if asks:
         parts = _parts(texts, model.train_tokens)
         none = F.lit(None)
         counts = model.rest.select(
-            "bucket", none.cast("bigint").alias("slice"), F.lit(0).alias("kind"), "keys", F.col("n").alias("vals"), none.cast("binary").alias("docs")
-        )
+            "bucket", none.cast("bigint").alias("slice"), F.lit(0).alias("kind"), "keys", F.col("n").alias("vals"),
+            *[none.cast("binary").alias(c) for c in ("docs", "names")],
+        )
         met = found.unionByName(counts).repartition(parts, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice"))
         found = met.mapInArrow(answer, ASKED).repartition(parts, "slice").sortWithinPartitions("slice", "kind")
-    return stored(found.mapInArrow(put, ", ".join(f"{c} binary" for c in found_schema.names)), "found")
+    return stored(found.mapInArrow(put, ", ".join(f"{c} binary" for c in found_schema.names)), "found", keep_shuffles=False)
 
 
 class Known(NamedTuple):
@@ -659,13 +697,8 @@ def _known(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, floor: int
         for i in range(len(rows)):
             docs = _docs(rows.column("docs")[i].as_buffer())
             sizes = docs.column("size").to_numpy()
-            total = sizes.sum()
-            levels = _unpacked(rows.column("levels")[i].as_buffer(), 2 * total, np.uint8).reshape(2, total)
             # The number of a vocabulary word, else minus the count; minus the level in a filter, else the exact count.
-            codes = [_unpacked(rows.column("ids")[i].as_buffer(), total, np.int32), *(-levels.astype(np.int32))]
-            for code, name in zip(codes, CODES, strict=True):
-                at, n = (np.frombuffer(rows.column(f"{name}_{what}")[i].as_buffer(), np.int32) for what in ("at", "n"))
-                code[at] = -n if name == CODES[0] else n
+            codes = [_unpacked(rows.column(name)[i].as_buffer(), sizes.sum(), np.int32) for name in CODES]
             one = np.where(codes[0] > 0, vocabulary.counts[np.maximum(codes[0], 0)], -codes[0])
             before = np.concatenate([vocabulary.counts[vocabulary.end : vocabulary.end + 1], one[:-1]])
 

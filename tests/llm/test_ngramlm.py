@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -11,6 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit.llm import ngramlm
+from martkit.sources import layers
+from martkit.sources.layers import stored
 
 
 def words(text):
@@ -179,3 +182,37 @@ def test_ngrams_outside_the_filters(spark, vocabulary, floor_share):
                 said += [(n - 1) / max(of - 1, 1) if n > 2 else 0 for n, of in ((n2, uni[s[k - 1],]), (n3, context))]
                 votes[2 if said[2] > max(said[:2]) else 1 if said[1] > said[0] else 0] += 1
         assert model.weights == pytest.approx([max(v, 1) / sum(max(v, 1) for v in votes) for v in votes])
+
+
+def test_asking_ships_no_places(spark, monkeypatch):
+    """What is stored of a look-up are counts in the order of the tokens, and its shuffles aren't kept."""
+    sent = {}
+    monkeypatch.setattr(ngramlm, "stored", lambda df, name, **options: sent.setdefault(name, (df, options)) and stored(df, name, **options))
+    texts = [" ".join(f"w{i * 7 + j}" for j in range(9)) for i in range(100)] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    assert ngramlm.learn_ngrams(df, vocabulary=10, floor_share=1.0).rest is not None
+    assert sent["found"][0].columns == ["docs", "one", "two", "three"]
+    assert all(sent[name][1] == {"keep_shuffles": False} for name in ("tokens", "ngrams", "found"))
+
+
+def test_shuffle_files_of_a_stored_table_go(spark):
+    """None are left of a write without keep_shuffles, and the setting is as it was."""
+    before = spark.conf.get(layers.SHUFFLE_CLEANUP, None)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = blocks.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    df = spark.range(10_000).withColumn("x", F.col("id") % 7).repartition(5, "x")
+    had = files()
+    stored(df, "kept")
+    assert files() - had
+    had = files()
+    gone = stored(df, "gone", keep_shuffles=False)
+    for _ in range(50):  # they are removed in the background
+        if not (left := files() - had):
+            break
+        time.sleep(0.1)
+    assert not left and gone.count() == 10_000
+    assert spark.conf.get(layers.SHUFFLE_CLEANUP, None) == before
