@@ -273,3 +273,43 @@ def test_a_later_month_reads_its_own_rows_only(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(learning, "predict", seen)
     with pytest.raises(Seen):
         registry.later_months(spark, sf_dir)
+
+
+def test_the_price_model_is_fitted_on_all_training_rows(silver, spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(train, *args, **options):
+        raise Seen(train.count())
+
+    monkeypatch.setattr(learning, "fit_price_model", seen)
+    many = silver.crossJoin(spark.range(90).select(F.col("id").alias("copy"))).withColumn("key", F.concat_ws("-", "key", "copy"))
+    with pytest.raises(Seen) as found:
+        learning.train_and_score(many, "key")
+    assert found.value.args == (216_000,)  # four fifths of the rows
+
+
+def test_thresholds_come_from_all_rows(spark):
+    """One row of 60,000 decides, which a sample of rows for the thresholds would miss."""
+    df = spark.range(60_000).selectExpr("int(id = 31) AS a", "id % 50 AS b", "IF(id = 31, 9000D, id % 50 / 100D) AS y")
+    fit = {"trees": 1, "depth": 1, "columns": ("a", "b"), "target": "y", "bootstrap": False}
+    found = learning.root_split(learning.fit_price_model(df, **fit), ("a", "b"))
+    assert (found.variable, found.threshold, round(found.right, 6)) == ("a", 0.5, 9000.0)
+
+
+def test_trees_grow_in_lots(spark, silver, monkeypatch):
+    """With many rows a forest is put together from lots: trees of their own, each with the thresholds of the features."""
+    rows = learning.prepare(silver)
+    fit = {"depth": 4, "key": "key", "parts": 2}
+    first = learning.fit_price_model(rows, trees=2, **fit)
+    monkeypatch.setattr(learning, "FITTED_AT_ONCE", 2 * rows.count())
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = learning.fit_price_model(rows, trees=5, **fit)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    trees = [t.toDebugString.partition("\n")[2] for t in model.trees]
+    assert model.getNumTrees == 5 and len(set(trees)) == 5
+    assert trees[:2] == [t.toDebugString.partition("\n")[2] for t in first.trees]
+    assert math.isclose(model.featureImportances.toArray().sum(), 1.0)
+    row = learning.features(rows).first()
+    assert math.isclose(model.predict(row.features), np.mean([t.predict(row.features) for t in model.trees]))
+    assert abs(row.total_amount - model.predict(row.features)) < 10

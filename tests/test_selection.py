@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from martkit.operators import selection
-from martkit.operators.selection import exact_quantile, exact_quantiles, sample_n, split
+from martkit.operators.selection import exact_quantile, exact_quantiles, sample_n, split, split_points
 
 QUICK = settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -169,3 +170,35 @@ def test_bracket_that_misses(spark, monkeypatch):
         assert math.isclose(exact_quantile(df, "x", q), float(np.quantile(values, q)), rel_tol=1e-9)
     monkeypatch.setattr(selection, "DEVIATIONS", 0)
     assert keys_of(split(df, "id", 0.3, "s").test) == set(by_hash(range(20_000), "s")[:6_000])
+
+
+def cut_plainly(values, bins):
+    """Thresholds by the rule as MLlib states it, one value after the other."""
+    counts = sorted(Counter(values).items())
+    if len(counts) <= bins:
+        return [(a + b) / 2 for (a, _), (b, _) in zip(counts, counts[1:], strict=False)]
+    stride, found, upto = len(values) / bins, [], counts[0][1]
+    target = stride
+    for (a, _), (b, n) in zip(counts, counts[1:], strict=False):
+        if abs(upto - target) < abs(upto + n - target):
+            found.append((a + b) / 2)
+            target += stride
+        upto += n
+    return found
+
+
+@pytest.mark.parametrize("bins", [4, 32])
+def test_split_points(spark, bins):
+    """Few values, one value, a value that most rows hold, at either end, and values in many parts."""
+    rows = [(i % 7, 3, 0 if i % 5 else i, 9_999 if i % 3 else -i, math.sin(i), i * i % 97 - 40) for i in range(4_000)]
+    names = ["few", "one", "low", "high", "many", "some"]
+    df = spark.createDataFrame(rows, "few int, one int, low int, high int, many double, some int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that parts stay small
+    try:
+        total, found = split_points(df, names, bins)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert total == 4_000 and list(found) == names
+    assert found == {c: cut_plainly([float(r[i]) for r in rows], bins) for i, c in enumerate(names)}
+    assert split_points(df.limit(0), names, bins) == (0, {c: [] for c in names})
+    assert split_points(df.limit(1), names, bins) == (1, {c: [] for c in names})
